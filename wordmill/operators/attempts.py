@@ -150,3 +150,29 @@ def language_preference(
     rank = F.struct(pos, F.col(tie_col) if tie_col else F.lit(0))
     best = cand.groupBy(*keys).agg(F.min_by(F.struct(*payload), rank).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
+
+
+def merge_attempts(state: DataFrame, new_log: DataFrame, seq_col: str | None = None) -> DataFrame:
+    """Incremental D9: fold new log entries into an existing state.
+
+    ``new_log`` holds entries later than everything already folded (the log
+    is append-only in time order). A video with a success among the new
+    entries restarts from the failures after that success; otherwise its new
+    failures add to the old count and move ``last_attempt`` forward. Equal to
+    ``fold_attempts`` over the whole log, at the cost of the new entries
+    plus one join with the state.
+    """
+    order = F.struct(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
+    entries = new_log.select("video_id", "at", "ok", order.alias("_o"))
+    last_ok = entries.groupBy("video_id").agg(F.max(F.when(F.col("ok"), F.col("_o"))).alias("_last_ok"))
+    fails = entries.filter(~F.col("ok")).join(last_ok, "video_id", "left")
+    fails = fails.filter(F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok")))
+    new_fails = fails.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n"), F.max("at").alias("_at"))
+    delta = last_ok.join(new_fails, "video_id", "left")
+    old = state.select("video_id", F.col("attempts").alias("_old_n"), F.col("last_attempt").alias("_old_at"))
+    merged = old.join(delta, "video_id", "full_outer")
+    reset = F.col("_last_ok").isNotNull()
+    attempts_col = F.when(reset, F.col("_n")).otherwise(F.coalesce(F.col("_old_n"), F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0)))
+    last_col = F.when(reset, F.col("_at")).otherwise(F.greatest(F.col("_old_at"), F.col("_at")))
+    out = merged.select("video_id", attempts_col.cast("bigint").alias("attempts"), last_col.alias("last_attempt"))
+    return out.filter(F.col("attempts").isNotNull() & (F.col("attempts") > 0))
