@@ -122,7 +122,7 @@ def fingerprint(spark: SparkSession, paths: Iterable[str], params: dict | None =
             meta = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p)
             row = meta.agg(
                 F.count(F.lit(1)).alias("n"),
-                F.sum(F.xxhash64("path", "length", "modificationTime")).alias("h"),
+                F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("h"),
             ).first()
             parts.append(f"{p}:{row['n']}:{row['h']}")
         else:
