@@ -51,3 +51,9 @@ SEGMENT_BLOCK_ROWS = 256
 
 # Upper bound for pivot columns (distinct days) in the word x day matrix.
 PIVOT_MAX_DAYS = 10_000
+
+# Skew handling: a join key holding at least HOT_KEY_ROWS rows on the large
+# side is split over SALT_BUCKETS tasks (session conf overrides:
+# wordmill.skew.hotKeyRows, wordmill.skew.saltBuckets).
+HOT_KEY_ROWS = 1_000_000
+SALT_BUCKETS = 64

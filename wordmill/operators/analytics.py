@@ -18,7 +18,7 @@ from wordmill.constants import (
 )
 from wordmill.functions.text import clean_transcript
 from wordmill.functions.time import day_label, day_of
-from wordmill.operators.tokens import Normalizer, regex_tokens, tokens
+from wordmill.operators.tokens import Normalizer, counted_words, regex_tokens
 
 TRANSCRIPT_KEYS = ("channel_id", "video_id")
 
@@ -58,8 +58,7 @@ def word_frequency(
     holding a large share of all tokens is pre-combined in every task and
     does not skew the shuffle.
     """
-    words = tokens(corpus_df, text_col, (), normalizer, stopwords, min_len)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return counted_words(corpus_df, text_col, (), normalizer, stopwords, min_len).select("word", "count")
 
 
 def sorted_counts(freq: DataFrame) -> DataFrame:
@@ -102,8 +101,7 @@ def word_trend(
     """
     dated = corpus_df.filter(F.col(published_col).isNotNull() & (F.col(published_col) != ""))
     dated = dated.select(day_of(published_col).alias("date"), text_col).filter(F.col("date").isNotNull())
-    words = tokens(dated, text_col, ("date",), normalizer, stopwords, min_len)
-    return words.groupBy("word", "date").agg(F.count(F.lit(1)).alias("count"))
+    return counted_words(dated, text_col, ("date",), normalizer, stopwords, min_len).select("word", "date", "count")
 
 
 def sorted_trend(trend: DataFrame) -> DataFrame:
@@ -154,14 +152,21 @@ def trend_days(trend: DataFrame, max_days: int = PIVOT_MAX_DAYS) -> list[str]:
 def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFrame:
     """A5 + A6: word x day matrix of counts (missing cells 0) plus ``total``.
 
-    One grouped aggregation with one conditional sum per day and the row
-    total as a further sum: a single shuffle, partial aggregation included.
-    Covers all words, not only the top ones.
+    ``trend`` has one row per ``(word, date)`` (as :func:`word_trend`
+    returns). One grouped aggregation per word builds a day -> count map
+    (at most one entry per calendar day, capped by ``PIVOT_MAX_DAYS``) and
+    the row total; the day columns are then read out of the map. One
+    shuffle, work proportional to trend rows plus output cells. A repeated
+    ``(word, date)`` fails loudly (duplicate map key) rather than being
+    miscounted. Covers all words, not only the top ones.
     """
     labels = list(days) if days is not None else trend_days(trend)
+    if len(labels) > PIVOT_MAX_DAYS:
+        raise ValueError(f"more than {PIVOT_MAX_DAYS} day columns")
     labelled = trend.select("word", day_label("date").alias("_day"), "count")
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("_day") == d, F.col("count"))), F.lit(0)).cast("bigint").alias(d)
-        for d in labels
-    ]
-    return labelled.groupBy("word").agg(*cells, F.sum("count").cast("bigint").alias("total"))
+    per_word = labelled.groupBy("word").agg(
+        F.map_from_entries(F.collect_list(F.struct("_day", "count"))).alias("_m"),
+        F.sum("count").cast("bigint").alias("total"),
+    )
+    cells = [F.coalesce(F.col("_m")[d], F.lit(0)).cast("bigint").alias(d) for d in labels]
+    return per_word.select("word", *cells, "total")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import MAX_ATTEMPTS, WAIT_SECONDS
 from wordmill.functions.time import elapsed_micros, timestamp_param
+from wordmill.plans.physical import salted_join
 
 
 def fold_attempts(log: DataFrame, seq_col: str | None = None) -> DataFrame:
@@ -22,20 +23,35 @@ def fold_attempts(log: DataFrame, seq_col: str | None = None) -> DataFrame:
 
     Order is ``(at, seq)``. A video whose last entry is a success, or with
     no failure after its last success, has no row. Two grouped aggregates
-    and one join on ``video_id`` (partial aggregation both times; a video
-    with a huge log is split by AQE's skew-join handling), no window.
+    (partial aggregation both times) and one join on ``video_id``; no
+    window, and a video with a huge log is split over many tasks by the
+    salted join.
     """
-    order = F.struct(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
-    entries = log.select("video_id", "at", "ok", order.alias("_o"))
-    last_ok = entries.groupBy("video_id").agg(F.max(F.when(F.col("ok"), F.col("_o"))).alias("_last_ok"))
-    fails = entries.filter(~F.col("ok")).join(last_ok, "video_id", "left")
-    after = fails.filter(F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok")))
+    after = _fails_after_last_ok(log, seq_col)
     return after.groupBy("video_id").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.max("at").alias("last_attempt"),
     )
 
 
+def _fails_after_last_ok(log: DataFrame, seq_col: str | None) -> DataFrame:
+    """Failure entries ordered after their video's last success.
+
+    The last success per video comes from a grouped aggregate that also
+    counts the video's entries; the count marks hot videos for the salted
+    join back to the failures.
+    """
+    order = F.struct(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
+    entries = log.select("video_id", "at", "ok", order.alias("_o"))
+    last_ok = entries.groupBy("video_id").agg(
+        F.max(F.when(F.col("ok"), F.col("_o"))).alias("_last_ok"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    fails = entries.filter(~F.col("ok"))
+    joined = salted_join(fails, last_ok, ["video_id"], "inner", "_n", ["_o"])
+    return joined.filter(F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok")))
+
+
 def wait_seconds(attempts: Column) -> Column:
     """Minimal wait after ``attempts`` failures: WAIT_SECONDS[min(attempts, 5)]."""
     table = F.array(*[F.lit(w) for w in WAIT_SECONDS])
@@ -162,16 +178,13 @@ def merge_attempts(state: DataFrame, new_log: DataFrame, seq_col: str | None = N
     ``fold_attempts`` over the whole log, at the cost of the new entries
     plus one join with the state.
     """
-    order = F.struct(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
-    entries = new_log.select("video_id", "at", "ok", order.alias("_o"))
-    last_ok = entries.groupBy("video_id").agg(F.max(F.when(F.col("ok"), F.col("_o"))).alias("_last_ok"))
-    fails = entries.filter(~F.col("ok")).join(last_ok, "video_id", "left")
-    fails = fails.filter(F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok")))
+    seen = new_log.groupBy("video_id").agg(F.max("ok").alias("_reset"))
+    fails = _fails_after_last_ok(new_log, seq_col)
     new_fails = fails.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n"), F.max("at").alias("_at"))
-    delta = last_ok.join(new_fails, "video_id", "left")
+    delta = seen.join(new_fails, "video_id", "left")
     old = state.select("video_id", F.col("attempts").alias("_old_n"), F.col("last_attempt").alias("_old_at"))
     merged = old.join(delta, "video_id", "full_outer")
-    reset = F.col("_last_ok").isNotNull()
+    reset = F.coalesce(F.col("_reset"), F.lit(False))
     attempts_col = F.when(reset, F.col("_n")).otherwise(F.coalesce(F.col("_old_n"), F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0)))
     last_col = F.when(reset, F.col("_at")).otherwise(F.greatest(F.col("_old_at"), F.col("_at")))
     out = merged.select("video_id", attempts_col.cast("bigint").alias("attempts"), last_col.alias("last_attempt"))

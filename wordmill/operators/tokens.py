@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -34,23 +34,33 @@ def regex_tokens(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()
     return df.select(*keep, F.explode(token_array(text_col)).alias("word"))
 
 
-def lemma_table(lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> Normalizer:
+class LemmaTable:
     """Normalizer mapping each token through ``lemmas(token, lemma)``.
 
     Tokens without an entry keep their surface form; the lemma is
     lower-cased (the stop-word and length filters run on lemmas). The table
     is broadcast only when its size check passes; a full dictionary falls
     back to a shuffle join chosen by Catalyst/AQE.
+
+    Because the mapping is per token, counting analyses first count surface
+    tokens (partial aggregation) and join the *distinct* tokens to the
+    table (see :func:`counted_words`), never every token occurrence.
     """
-    table = lemmas.select(F.col("token").alias("_token"), F.col("lemma").alias("_lemma"))
-    table = bounded_broadcast(table, max_broadcast_rows)
 
-    def normalize(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-        words = regex_tokens(df, text_col, keep)
-        joined = words.join(table, words["word"] == table["_token"], "left")
-        return joined.select(*keep, F.lower(F.coalesce("_lemma", "word")).alias("word"))
+    def __init__(self, lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+        table = lemmas.select(F.col("token").alias("_token"), F.col("lemma").alias("_lemma"))
+        self.table = bounded_broadcast(table, max_broadcast_rows)
 
-    return normalize
+    def map_words(self, words: DataFrame, cols: Sequence[str]) -> DataFrame:
+        joined = words.join(self.table, words["word"] == self.table["_token"], "left")
+        return joined.select(*cols, F.lower(F.coalesce("_lemma", "word")).alias("word"), *[c for c in words.columns if c not in (*cols, "word")])
+
+    def __call__(self, df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+        return self.map_words(regex_tokens(df, text_col, keep), keep)
+
+
+def lemma_table(lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> LemmaTable:
+    return LemmaTable(lemmas, max_broadcast_rows)
 
 
 def model_normalizer(load_model: Callable[[], Callable[[str], list[str]]]) -> Normalizer:
@@ -111,5 +121,25 @@ def tokens(
     return min_length(drop_stopwords(words, stopwords), min_len)
 
 
-def word_column() -> Column:
-    return F.col("word")
+def counted_words(
+    df: DataFrame,
+    text_col: str = "text",
+    keys: Sequence[str] = (),
+    normalizer: Normalizer = regex_tokens,
+    stopwords: Iterable[str] | DataFrame | None = None,
+    min_len: int = DEFAULT_MIN_LENGTH,
+) -> DataFrame:
+    """``keys..., word, count`` of the cleaned word stream.
+
+    Counting is partial (map-side) + final hash aggregation, so a word that
+    holds a large share of all tokens is combined inside every task before
+    the shuffle. With a lemma table, surface tokens are counted first and
+    only the distinct ``(keys, token)`` rows meet the table; the counts are
+    then re-aggregated per lemma.
+    """
+    if isinstance(normalizer, LemmaTable):
+        surface = regex_tokens(df, text_col, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))
+        mapped = min_length(drop_stopwords(normalizer.map_words(surface, keys), stopwords), min_len)
+        return mapped.groupBy(*keys, "word").agg(F.sum("count").cast("bigint").alias("count"))
+    words = tokens(df, text_col, keys, normalizer, stopwords, min_len)
+    return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))

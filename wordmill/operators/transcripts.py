@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import SEGMENT_BLOCK_ROWS
 from wordmill.functions.text import WHITESPACE, lower_text, segment_line, strip_time_marks
+from wordmill.plans.physical import salted_join
 
 
 def segment_lines(segments: DataFrame, keys: Sequence[str], order_col: str = "ord", start_col: str = "start", text_col: str = "text") -> DataFrame:
@@ -51,7 +52,8 @@ def clean_blocks(blocks: DataFrame, keys: Sequence[str] = ("video_id",), text_co
     text equals: drop leading/trailing blocks that are only whitespace,
     left-strip the first remaining block, right-strip the last one. The
     first/last non-blank block per video comes from a grouped aggregate
-    (partial + final), joined back on the video keys.
+    (partial + final), joined back on the video keys with a salted join so a
+    very long video is split over many tasks.
     """
     marked = blocks.withColumn(text_col, strip_time_marks(lower_text(text_col)))
     blank = F.length(F.btrim(F.col(text_col), F.lit(WHITESPACE))) == 0
@@ -59,8 +61,9 @@ def clean_blocks(blocks: DataFrame, keys: Sequence[str] = ("video_id",), text_co
         F.min(F.when(~blank, F.col("block"))).alias("_first"),
         F.max(F.when(~blank, F.col("block"))).alias("_last"),
         F.min("block").alias("_min"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    joined = marked.join(bounds, list(keys), "left")
+    joined = salted_join(marked, bounds, list(keys), "inner", "_n", ["block"]).drop("_n")
     text = F.col(text_col)
     text = F.when(F.col("block") == F.col("_first"), F.ltrim(text, F.lit(WHITESPACE))).otherwise(text)
     text = F.when(F.col("block") == F.col("_last"), F.rtrim(text, F.lit(WHITESPACE))).otherwise(text)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wordmill.constants import BROADCAST_MAX_ROWS
+from wordmill.constants import BROADCAST_MAX_ROWS, HOT_KEY_ROWS, SALT_BUCKETS
 from wordmill.session import checkpoint_dir
 
 
@@ -77,3 +77,46 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/wordmill/{name or 'frame'}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _conf_int(spark: SparkSession, key: str, default: int) -> int:
+    value = spark.conf.get(key, None)
+    return int(value) if value else default
+
+
+def salted_join(
+    big: DataFrame,
+    keyed: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    count_col: str,
+    spread_cols: Sequence[str],
+) -> DataFrame:
+    """Join ``big`` to ``keyed`` (one row per key) without letting a hot key
+    of ``big`` land in a single task.
+
+    ``keyed[count_col]`` must hold the number of ``big`` rows of each key
+    (it is computed in the same aggregation that builds ``keyed``, so finding
+    hot keys costs no extra pass). Keys with at least
+    ``wordmill.skew.hotKeyRows`` rows are hot: their ``big`` rows are spread
+    over ``wordmill.skew.saltBuckets`` buckets by a hash of ``spread_cols``
+    and their ``keyed`` row is replicated once per bucket; every other key
+    joins in bucket 0. The hot-key list is broadcast: it has at most
+    ``rows(big) / hotKeyRows`` entries. When ``keyed`` turns out small, AQE
+    still turns the final join into a broadcast join at run time.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how}")
+    spark = big.sparkSession
+    hot_rows = _conf_int(spark, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
+    buckets = _conf_int(spark, "wordmill.skew.saltBuckets", SALT_BUCKETS)
+    hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(buckets)).cast("int")
+    big_s = (
+        big.join(hot, list(keys), "left")
+        .withColumn("_salt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
+        .drop("_hot")
+    )
+    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    keyed_s = keyed.join(hot, list(keys), "left").withColumn("_salt", F.explode(fan)).drop("_hot")
+    return big_s.join(keyed_s, [*keys, "_salt"], how).drop("_salt")
