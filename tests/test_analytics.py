@@ -146,3 +146,13 @@ def test_frequency_plan_is_jvm_only(spark, corpus):
     plan = A.word_frequency(corpus, stopwords=STOP)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_segment_arrays(spark):
+    from wordmill.operators.transcripts import has_segments, segments_from_arrays
+
+    rows = [("v1", [(0.0, "a"), (61.5, "b")]), ("v2", []), ("v3", None)]
+    df = spark.createDataFrame(rows, "video_id string, segments array<struct<start:double,text:string>>")
+    assert [r["video_id"] for r in df.filter(has_segments()).collect()] == ["v1"]
+    text = segments_to_text(segments_from_arrays(df)).collect()
+    assert [(r["video_id"], r["text"]) for r in text] == [("v1", "[0:00] a\n[1:01] b")]

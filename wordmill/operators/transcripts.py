@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.constants import SEGMENT_BLOCK_ROWS
@@ -20,6 +20,21 @@ from wordmill.functions.text import WHITESPACE, lower_text, segment_line, strip_
 from wordmill.plans.physical import salted_join
 
 
+def has_segments(segments_col: str = "segments") -> Column:
+    """a fetched transcript counts only if its segment list is neither
+    null nor empty."""
+    return F.coalesce(F.size(F.col(segments_col)) > 0, F.lit(False))
+
+
+def segments_from_arrays(df: DataFrame, keys: Sequence[str] = ("video_id",), segments_col: str = "segments") -> DataFrame:
+    """Per-video ``ARRAY<STRUCT<start, text>>`` -> one row per segment with
+    its position ``ord`` (the form every other operator takes). Narrow:
+    no shuffle; an empty or null list gives no rows."""
+    return df.select(*keys, F.posexplode(segments_col).alias("ord", "_seg")).select(
+        *keys, "ord", F.col("_seg.start").alias("start"), F.col("_seg.text").alias("text")
+    )
+
+
 def segment_lines(segments: DataFrame, keys: Sequence[str], order_col: str = "ord", start_col: str = "start", text_col: str = "text") -> DataFrame:
     """One formatted line per segment."""
     return segments.select(*keys, order_col, segment_line(start_col, text_col).alias("line"))
