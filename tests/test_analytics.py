@@ -156,3 +156,22 @@ def test_segment_arrays(spark):
     assert [r["video_id"] for r in df.filter(has_segments()).collect()] == ["v1"]
     text = segments_to_text(segments_from_arrays(df)).collect()
     assert [(r["video_id"], r["text"]) for r in text] == [("v1", "[0:00] a\n[1:01] b")]
+
+
+def test_wide_matrix_uses_pivot_and_agrees(spark):
+    import datetime as dt
+
+    rows = [(f"w{i % 7}", dt.date(2024, 1, 1) + dt.timedelta(days=i % 90), 1 + i % 3) for i in range(600)]
+    trend = spark.createDataFrame(rows, "word string, date date, count long").groupBy("word", "date").agg(F.sum("count").alias("count"))
+    m = A.trend_matrix(trend)
+    assert len(m.columns) == 2 + 90
+    expect = {}
+    for w, d, c in rows:
+        expect.setdefault(w, {}).setdefault(d.isoformat(), 0)
+        expect[w][d.isoformat()] += c
+    for r in m.collect():
+        assert r["total"] == sum(expect[r["word"]].values())
+        for d, c in expect[r["word"]].items():
+            assert r[d] == c
+    narrow = A.trend_matrix(trend, days=[c for c in m.columns[1:-1]][:10])
+    assert len(narrow.columns) == 12
