@@ -70,3 +70,15 @@ def test_salted_join_spreads_hot_key(spark, all_hot):
     # The hot key's rows use every salt bucket.
     bucket = F.pmod(F.xxhash64("id"), F.lit(4))
     assert big.select(bucket.alias("b")).distinct().count() == 4
+
+
+def test_outcomes_with_hot_listed_video(spark, all_hot):
+    vids = spark.createDataFrame([("a", "R")] * 30 + [("b", "R"), ("c", "S")], "video_id string, channel_name string")
+    state = spark.createDataFrame([("c", 6, dt.datetime(2025, 1, 1))], "video_id string, attempts bigint, last_attempt timestamp_ntz")
+    landed = spark.createDataFrame([("a",)], "video_id string")
+    fetched = spark.createDataFrame([("b", 2, True)], "video_id string, n_segments bigint, saved boolean")
+    out = T.classify_outcomes(vids, state, landed, fetched, "2025-02-01 00:00:00")
+    got = sorted((r["video_id"], r["outcome"]) for r in out.collect())
+    assert got == [("a", "already_landed")] * 30 + [("b", "downloaded"), ("c", "backoff_skip")]
+    counts = {r["channel_name"]: (r["downloaded"], r["missing"]) for r in T.outcome_counts(out).collect()}
+    assert counts == {"R": (31, 0), "S": (0, 1)}

@@ -73,17 +73,10 @@ def retry_eligible(attempts: Column, last_attempt: Column, now: Column) -> Colum
 def retry_status(videos: DataFrame, state: DataFrame, now, key: str = "video_id") -> DataFrame:
     """J7 + F14: every listed video with its state and ``eligible`` flag."""
     now_col = timestamp_param(now) if not isinstance(now, Column) else now
-    joined = videos.join(state.select(key, "attempts", "last_attempt"), key, "left")
+    joined = salted_join(videos, state.select(key, "attempts", "last_attempt"), [key], "left", None, videos.columns)
     return joined.withColumn("eligible", retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col))
 
 
-def _key_flag(df: DataFrame, keys: Sequence[str], name: str, cond: Column | None = None) -> DataFrame:
-    """One row per key with a boolean flag (a grouped aggregate, so the join
-    back never multiplies list rows)."""
-    value = F.max(cond) if cond is not None else F.lit(True)
-    return df.groupBy(*keys).agg(value.alias(name))
-
-
 def work_list(videos: DataFrame, state: DataFrame, transcripts: DataFrame, now, key: str = "video_id") -> DataFrame:
     """Eligible videos that have no transcript yet (F13 via anti join)."""
     status = retry_status(videos, state, now, key).filter(F.col("eligible"))
@@ -106,22 +99,46 @@ def classify_outcomes(
     4. ``save_failed`` - fetched but not saved (failure, not recorded);
     5. ``unavailable`` - nothing fetched or empty (failure, recorded).
 
-    ``fetched`` holds ``key, n_segments, saved``.
+    ``fetched`` holds ``key, n_segments, saved``. The per-video facts (retry
+    state, landed, fetched, saved) are stacked with a union and folded by
+    one grouped aggregate (partial aggregation, one row per video), then
+    joined to the list once; a video listed very many times is split by the
+    salted join.
     """
-    status = retry_status(videos, state, now, key)
-    landed_flag = _key_flag(landed, [key], "_landed")
-    got = _key_flag(fetched, [key], "_got", F.col("n_segments") > 0)
-    saved = _key_flag(fetched.filter(F.col("n_segments") > 0), [key], "_saved", F.col("saved"))
-    out = status.join(landed_flag, key, "left").join(got, key, "left").join(saved, key, "left")
+    now_col = timestamp_param(now) if not isinstance(now, Column) else now
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    null_n = F.lit(None).cast("bigint")
+    null_b = F.lit(None).cast("boolean")
+    parts = [
+        state.select(F.col(key), F.col("attempts").cast("bigint").alias("_a"), F.col("last_attempt").alias("_t"), null_b.alias("_landed"), null_b.alias("_got"), null_b.alias("_saved")),
+        landed.select(F.col(key), null_n.alias("_a"), null_ts.alias("_t"), F.lit(True).alias("_landed"), null_b.alias("_got"), null_b.alias("_saved")),
+        fetched.select(
+            F.col(key), null_n.alias("_a"), null_ts.alias("_t"), null_b.alias("_landed"),
+            (F.col("n_segments") > 0).alias("_got"),
+            ((F.col("n_segments") > 0) & F.col("saved")).alias("_saved"),
+        ),
+    ]
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    facts = stacked.groupBy(key).agg(
+        F.max("_a").alias("attempts"),
+        F.max("_t").alias("last_attempt"),
+        F.max("_landed").alias("_landed"),
+        F.max("_got").alias("_got"),
+        F.max("_saved").alias("_saved"),
+    )
+    out = salted_join(videos, facts, [key], "left", None, videos.columns)
+    eligible = retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col)
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     outcome = (
-        F.when(~F.col("eligible"), F.lit("backoff_skip"))
-        .when(F.coalesce(F.col("_landed"), F.lit(False)), F.lit("already_landed"))
-        .when(F.coalesce(F.col("_got"), F.lit(False)) & F.coalesce(F.col("_saved"), F.lit(False)), F.lit("downloaded"))
-        .when(F.coalesce(F.col("_got"), F.lit(False)), F.lit("save_failed"))
+        F.when(~eligible, F.lit("backoff_skip"))
+        .when(flag("_landed"), F.lit("already_landed"))
+        .when(flag("_saved"), F.lit("downloaded"))
+        .when(flag("_got"), F.lit("save_failed"))
         .otherwise(F.lit("unavailable"))
     )
     return (
-        out.withColumn("outcome", outcome)
+        out.withColumn("eligible", eligible)
+        .withColumn("outcome", outcome)
         .withColumn("success", F.col("outcome").isin("already_landed", "downloaded"))
         .drop("_landed", "_got", "_saved")
     )

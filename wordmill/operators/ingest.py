@@ -79,6 +79,10 @@ def resolve_identifiers(
         F.col("channel_name").alias("_i_name"),
         *[F.col(c).alias(f"_i_{c}") for c in extra],
     )
+    # The channel dimension is normally small: broadcast after a size check
+    # (a hot identifier then never meets a shuffle), else a shuffle join.
+    by_id = bounded_broadcast(by_id)
+    by_name = bounded_broadcast(by_name)
     ident = F.col(ident_col)
     kind_id = is_channel_id(ident)
     out = identifiers.join(by_id, kind_id & (ident == F.col("_i_id")), "left")
@@ -113,10 +117,13 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, key: str = "video_id"
     """Rows of ``batch`` whose key is not in ``existing``.
 
     Duplicates inside the batch are kept (the original appends them all).
+    The target side is a plain key projection (no ``distinct``): both join
+    inputs stay raw shuffles, so AQE can split a hot batch key over several
+    tasks, and an anti join needs only one match per key.
     """
     if existing is None:
         return batch
-    return batch.join(existing.select(key).distinct(), key, "left_anti")
+    return batch.join(existing.select(key), key, "left_anti")
 
 
 def advance_watermarks(old: DataFrame | None, kept: DataFrame) -> DataFrame:

@@ -89,15 +89,16 @@ def salted_join(
     keyed: DataFrame,
     keys: Sequence[str],
     how: str,
-    count_col: str,
+    count_col: str | None,
     spread_cols: Sequence[str],
 ) -> DataFrame:
     """Join ``big`` to ``keyed`` (one row per key) without letting a hot key
     of ``big`` land in a single task.
 
     ``keyed[count_col]`` must hold the number of ``big`` rows of each key
-    (it is computed in the same aggregation that builds ``keyed``, so finding
-    hot keys costs no extra pass). Keys with at least
+    (ideally computed in the same aggregation that builds ``keyed``, so
+    finding hot keys costs no extra pass); with ``count_col=None`` the counts
+    come from one extra partial aggregation over ``big``'s keys. Keys with at least
     ``wordmill.skew.hotKeyRows`` rows are hot: their ``big`` rows are spread
     over ``wordmill.skew.saltBuckets`` buckets by a hash of ``spread_cols``
     and their ``keyed`` row is replicated once per bucket; every other key
@@ -110,7 +111,11 @@ def salted_join(
     spark = big.sparkSession
     hot_rows = _conf_int(spark, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
     buckets = _conf_int(spark, "wordmill.skew.saltBuckets", SALT_BUCKETS)
-    hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+    if count_col is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        hot = F.broadcast(counts.filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+    else:
+        hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(buckets)).cast("int")
     big_s = (
         big.join(hot, list(keys), "left")
