@@ -446,6 +446,29 @@ def q_stopword_union(spark, sf_dir):
     return base.union(custom).distinct()
 
 
+# ---------------------------------------------------------------------------
+# End to end: list -> transcripts -> clean -> count
+# ---------------------------------------------------------------------------
+
+
+def q_selected_corpus_frequency(spark, sf_dir):
+    """Select videos (channels + start date), join the landed transcripts
+    (labelled documents), clean, count words."""
+    listed = selection.select_videos(videos(spark, sf_dir), channels=CHANNELS, start_date=START_DATE)
+    landed = table(spark, sf_dir, "labels").select("doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    texts = docs.join(landed, "doc_id", "left_semi").select(
+        F.col("source").alias("channel_id"), F.col("doc_id").cast("string").alias("video_id"), "text"
+    )
+    return analytics.word_frequency(analytics.cleaned(analytics.corpus(listed, texts)), stopwords=STOPWORDS)
+
+
+def q_transcript_frequency(spark, sf_dir):
+    """Segments -> transcript text blocks -> cleaned -> word counts."""
+    blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=SEGMENT_BLOCK_ROWS)
+    return analytics.word_frequency(transcripts.clean_blocks(blocks, keys=("conv_id",)), stopwords=STOPWORDS)
+
+
 QUERIES: dict[str, Query] = {
     "word_frequency": q_word_frequency,
     "top_words": q_top_words,
@@ -483,4 +506,6 @@ QUERIES: dict[str, Query] = {
     "size_histogram": q_size_histogram,
     "row_counts": q_row_counts,
     "stopword_union": q_stopword_union,
+    "selected_corpus_frequency": q_selected_corpus_frequency,
+    "transcript_frequency": q_transcript_frequency,
 }

@@ -133,6 +133,22 @@ CHUNK_K = f"""CASE WHEN length(rest) <= {N} THEN length(rest)
             ELSE {N} END"""
 
 
+def _freq_of(texts_sql: str) -> str:
+    return f"""SELECT word, CAST(count(*) AS BIGINT) AS count
+FROM (SELECT unnest(regexp_extract_all(lower(text), {TOKEN})) AS word FROM ({texts_sql}))
+WHERE word NOT IN {SW} AND length(word) >= 3
+GROUP BY word"""
+
+
+CLEAN = "trim(regexp_replace(lower(text), '\\[\\p{{Nd}}+:\\p{{Nd}}+\\]', '', 'g'), {ws})"
+
+SELECTED_TEXTS = f"""WITH {VIDEOS},
+listed AS (SELECT * FROM videos WHERE {CH_COND} AND coalesce({TS} >= TIMESTAMP '{C.START_DATE} 00:00:00', false)),
+landed AS (SELECT d.source AS channel_id, CAST(d.doc_id AS VARCHAR) AS video_id, d.text FROM documents d
+           WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))
+SELECT {CLEAN.format(ws=WS)} AS text FROM listed JOIN landed
+  ON landed.channel_id = listed.channel_id AND landed.video_id = listed.video_id"""
+
 SQL: dict[str, str] = {
     "word_frequency": _freq(),
     "top_words": f"SELECT word, count FROM ({_freq()}) ORDER BY count DESC, word LIMIT {C.TOP_N}",
@@ -259,6 +275,8 @@ GROUP BY bins.bin_no, bins.bin""",
     "row_counts": f"""SELECT (SELECT count(*) FROM documents) AS loaded,
        (SELECT count(*) FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS landed,
        (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM ({_freq()})) AS tokens""",
+    "selected_corpus_frequency": _freq_of(SELECTED_TEXTS),
+    "transcript_frequency": _freq_of(f"SELECT regexp_replace(lower(text), '\\[\\p{{Nd}}+:\\p{{Nd}}+\\]', '', 'g') AS text FROM ({SEGMENTS_TEXT})"),
     "stopword_union": f"""SELECT DISTINCT word FROM (
   SELECT lower(trim(line, {WS})) AS word
   FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
