@@ -13,6 +13,15 @@ def files_per_channel(transcripts: DataFrame, channel_col: str = "channel_id") -
     return transcripts.groupBy(channel_col).agg(F.count(F.lit(1)).alias("files"))
 
 
+def transcript_sizes(blocks: DataFrame, keys=("channel_id", "video_id"), text_col: str = "text") -> DataFrame:
+    """Byte size of each video's full text from its blocks: the block bytes
+    plus one newline between consecutive blocks. A grouped sum (partial
+    aggregation), so a long video is never gathered in one place."""
+    return blocks.groupBy(*keys).agg(
+        (F.sum(F.octet_length(text_col)) + F.count(F.lit(1)) - 1).cast("bigint").alias("size")
+    )
+
+
 def size_bin(size: Column) -> Column:
     """Index (0-5) of the size bin of a byte size."""
     expr = F.lit(len(SIZE_BINS) - 1)

@@ -64,6 +64,17 @@ TRANSCRIPTS = StructType(
     ]
 )
 
+# Landed transcripts in block form: a video's text is its blocks joined in
+# ``block`` order with a newline (see operators.transcripts).
+TRANSCRIPT_BLOCKS = StructType(
+    [
+        StructField("channel_id", StringType()),
+        StructField("video_id", StringType()),
+        StructField("block", LongType()),
+        StructField("text", StringType()),
+    ]
+)
+
 STOPWORDS = StructType([StructField("word", StringType())])
 
 WATERMARKS = StructType(
