@@ -101,3 +101,13 @@ def test_time_parsing(spark):
     assert rows[1]["ts"] is None and rows[1]["d"] is None
     assert rows[2]["ts"] is None
     assert str(rows[3]["ts"]) == "2025-01-30 10:30:00"
+
+
+def test_time_parsing_independent_of_session_zone(spark):
+    df = spark.createDataFrame([("2025-01-29T10:00:00Z",), ("2025-01-30T12:30:00+02:00",)], "p string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [str(r["ts"]) for r in df.select(parse_timestamp("p").alias("ts")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2025-01-29 10:00:00", "2025-01-30 10:30:00"]

@@ -21,9 +21,11 @@ def parse_timestamp(c: ColumnOrName) -> Column:
     is converted to UTC and then dropped (``timestamp_ntz``).
 
     Every row is parsed on its own, so mixed formats do not null each other.
-    Requires the session time zone UTC (see ``session.BASE_CONF``).
+    The result is the UTC wall clock whatever the session time zone: the
+    instant is read as session-zone wall time and converted to UTC.
     """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    local = F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
 
 
 def parse_date_param(value: str) -> dt.datetime:

@@ -464,9 +464,12 @@ def q_selected_corpus_frequency(spark, sf_dir):
 
 
 def q_transcript_frequency(spark, sf_dir):
-    """Segments -> transcript text blocks -> cleaned -> word counts."""
+    """Segments -> transcript text blocks -> cleaned -> word counts. Tokens
+    never span a line, so per-block cleaning gives the same words as
+    cleaning the joined text (the exact whole-text strip is
+    ``strip_time_marks``)."""
     blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=SEGMENT_BLOCK_ROWS)
-    return analytics.word_frequency(transcripts.clean_blocks(blocks, keys=("conv_id",)), stopwords=STOPWORDS)
+    return analytics.word_frequency(analytics.cleaned(blocks), stopwords=STOPWORDS)
 
 
 QUERIES: dict[str, Query] = {
