@@ -111,3 +111,18 @@ def test_time_parsing_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == ["2025-01-29 10:00:00", "2025-01-30 10:30:00"]
+
+
+def test_iso_and_trunc_independent_of_zone(spark):
+    import datetime as dt
+
+    from wordmill.functions import iso_utc, trunc_second
+
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 5, 123456),)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 falls in a DST gap there
+    try:
+        row = df.select(iso_utc("ts").alias("iso"), trunc_second("ts").alias("t")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row["iso"] == "2024-03-10T02:30:05Z"
+    assert row["t"] == dt.datetime(2024, 3, 10, 2, 30, 5)

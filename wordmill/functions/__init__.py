@@ -23,6 +23,7 @@ from wordmill.functions.time import (
     parse_date_param,
     parse_timestamp,
     timestamp_param,
+    trunc_second,
 )
 
 __all__ = [
@@ -45,4 +46,5 @@ __all__ = [
     "strip_ws",
     "timestamp_param",
     "token_array",
+    "trunc_second",
 ]

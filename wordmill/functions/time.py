@@ -52,8 +52,20 @@ def day_label(c: ColumnOrName) -> Column:
 
 
 def iso_utc(ts: ColumnOrName) -> Column:
-    """A timestamp as the API's ISO-8601 UTC text (second precision)."""
-    return F.date_format(_col(ts), ISO_UTC_FORMAT)
+    """A UTC wall-clock ``timestamp_ntz`` as the API's ISO-8601 text
+    (second precision). Built from the fields, so no session time zone is
+    involved."""
+    t = _col(ts)
+    return F.format_string(
+        "%04d-%02d-%02dT%02d:%02d:%02dZ",
+        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t),
+    )
+
+
+def trunc_second(ts: ColumnOrName) -> Column:
+    """A ``timestamp_ntz`` truncated to whole seconds, zone-independent."""
+    t = _col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
 
 
 def elapsed_micros(now: Column, last: ColumnOrName) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.constants import MAX_ATTEMPTS, WAIT_SECONDS
-from wordmill.functions.time import elapsed_micros, timestamp_param
+from wordmill.functions.time import elapsed_micros, timestamp_param, trunc_second
 from wordmill.plans.physical import salted_join
 
 
@@ -152,7 +152,7 @@ def attempt_entries(outcomes: DataFrame, now, key: str = "video_id") -> DataFram
     recorded = outcomes.filter(F.col("outcome").isin("downloaded", "unavailable"))
     return recorded.select(
         F.col(key).alias("video_id"),
-        F.date_trunc("second", now_col).cast("timestamp_ntz").alias("at"),
+        trunc_second(now_col).alias("at"),
         (F.col("outcome") == "downloaded").alias("ok"),
     )
 

@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from wordmill.constants import CONFIG_STOPWORDS, SEGMENT_BLOCK_ROWS
 from wordmill.functions.text import cut_comment, sanitize_path_part, strip_ws
-from wordmill.functions.time import iso_utc
+from wordmill.functions.time import iso_utc, trunc_second
 from wordmill.operators import analytics, attempts, chunking, ingest, occurrences, profile, selection, transcripts
 from wordmill.operators.tokens import lemma_table
 from wordmill.plans.physical import materialize, small_table, spread
@@ -145,7 +145,7 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "purchase"))
     return ev.select(
         F.col("user_id").alias("video_id"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("at"),
+        trunc_second("ts").alias("at"),
         (F.col("event_type") == "purchase").alias("ok"),
         "event_id",
     )
