@@ -56,3 +56,12 @@ def test_literal_keywords(spark):
 def test_selection_is_one_narrow_stage(lists):
     plan = select_videos(lists, keywords=["x"], channels=["Radio A"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_date_filter_independent_of_session_zone(spark, lists):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = sorted(r["video_id"] for r in select_videos(lists, start_date="2025-01-29", end_date="2025-01-30").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["v1", "v1", "v2"]

@@ -19,6 +19,7 @@ from wordmill.functions.time import (
     day_label,
     day_of,
     elapsed_micros,
+    instant_param,
     iso_utc,
     parse_date_param,
     parse_timestamp,
@@ -35,6 +36,7 @@ __all__ = [
     "day_label",
     "day_of",
     "elapsed_micros",
+    "instant_param",
     "iso_utc",
     "lower_text",
     "parse_date_param",

@@ -53,19 +53,23 @@ def day_label(c: ColumnOrName) -> Column:
 
 def iso_utc(ts: ColumnOrName) -> Column:
     """A UTC wall-clock ``timestamp_ntz`` as the API's ISO-8601 text
-    (second precision). Built from the fields, so no session time zone is
-    involved."""
-    t = _col(ts)
-    return F.format_string(
-        "%04d-%02d-%02dT%02d:%02d:%02dZ",
-        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t),
-    )
+    (second precision). Cut from the zone-free text form of the value, so
+    the session time zone plays no part."""
+    text = _col(ts).cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
 
 
 def trunc_second(ts: ColumnOrName) -> Column:
     """A ``timestamp_ntz`` truncated to whole seconds, zone-independent."""
-    t = _col(ts)
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+    return F.substring(_col(ts).cast("string"), 1, 19).cast("timestamp_ntz")
+
+
+def instant_param(value: str | dt.datetime) -> Column:
+    """A UTC wall-clock parameter as an instant (``timestamp``) literal, for
+    comparisons with parsed instants that need no per-row conversion."""
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    return F.lit(value.replace(tzinfo=dt.timezone.utc))
 
 
 def elapsed_micros(now: Column, last: ColumnOrName) -> Column:

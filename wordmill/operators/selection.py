@@ -6,6 +6,7 @@ into the scan where the source supports it, and nothing shuffles.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import re
 from collections.abc import Sequence
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.functions.time import parse_date_param, parse_timestamp, timestamp_param
+from wordmill.functions.time import instant_param, parse_date_param
 
 
 def union_lists(*lists: DataFrame) -> DataFrame:
@@ -47,24 +48,30 @@ def channel_condition(channels: Sequence[str], column: str = "channel_name") ->
     return F.coalesce(F.col(column).isin(list(channels)), F.lit(False))
 
 
+def _instant(column: str) -> Column:
+    # The publish time as an instant. Zoned text ("...Z", "+02:00") is exact
+    # in any session zone; text without a zone is read in the session zone.
+    return F.try_to_timestamp(F.col(column))
+
+
 def start_condition(start_date: str, column: str = "published_at") -> Column:
-    """publish time at or after ``start_date`` 00:00 (UTC); unparsable -> false."""
-    start = timestamp_param(parse_date_param(start_date))
-    return F.coalesce(parse_timestamp(column) >= start, F.lit(False))
+    """publish time at or after ``start_date`` 00:00 UTC; unparsable ->
+    false. Compared as instants: no per-row zone conversion."""
+    return F.coalesce(_instant(column) >= instant_param(parse_date_param(start_date)), F.lit(False))
 
 
 def end_condition(end_date: str, column: str = "published_at", inclusive_day: bool = False) -> Column:
-    """publish time at or before ``end_date`` 00:00:00.
+    """publish time at or before ``end_date`` 00:00:00 UTC.
 
     As originally defined the end day itself is excluded except for its very
     first instant; ``inclusive_day=True`` keeps the whole end day instead.
     """
     end = parse_date_param(end_date)
-    ts = parse_timestamp(column)
+    ts = _instant(column)
     if inclusive_day:
-        cond = ts < timestamp_param(end) + F.expr("INTERVAL 1 DAY")
+        cond = ts < instant_param(end + dt.timedelta(days=1))
     else:
-        cond = ts <= timestamp_param(end)
+        cond = ts <= instant_param(end)
     return F.coalesce(cond, F.lit(False))
 
 
