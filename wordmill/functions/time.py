@@ -73,5 +73,7 @@ def instant_param(value: str | dt.datetime) -> Column:
 
 
 def elapsed_micros(now: Column, last: ColumnOrName) -> Column:
-    """Microseconds from ``last`` to ``now`` (both wall-clock UTC)."""
-    return F.unix_micros(now.cast("timestamp")) - F.unix_micros(_col(last).cast("timestamp"))
+    """Microseconds from ``last`` to ``now`` (both UTC wall clock,
+    ``timestamp_ntz``). Computed on the wall-clock values, so a daylight
+    saving change in the session zone never shifts it."""
+    return F.timestamp_diff("MICROSECOND", _col(last).cast("timestamp_ntz"), now.cast("timestamp_ntz"))
