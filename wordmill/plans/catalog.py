@@ -296,7 +296,8 @@ def q_new_watermarks(spark, sf_dir):
 
 
 def q_api_items(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    # JSON encode/parse is per-row CPU work: spread a few large files first.
+    ev = spread(table(spark, sf_dir, "events"), "event_id")
     item = F.struct(
         F.struct(
             F.col("event_type").alias("title"),
@@ -440,7 +441,8 @@ def q_row_counts(spark, sf_dir):
 
 
 def q_stopword_union(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     custom = lines.select(F.lower(strip_ws("line")).alias("word")).filter(F.col("word") != "")
     base = small_table(spark, [(w,) for w in CONFIG_STOPWORDS], "word string")
     return base.union(custom).distinct()
