@@ -54,3 +54,20 @@ def test_attempt_log_scan_pushes_event_type(spark):
 def test_word_cloud_max_is_scalar_subquery(spark):
     text = formatted(E.queries()["word_cloud_weights"](spark, SF))
     assert "Subquery" in text and "Window" not in text
+
+
+def _is_broadcast_hinted(df):
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from wordmill.plans.physical import bounded_broadcast, broadcast_size
+
+    narrow = spark.createDataFrame([(i, f"w{i}") for i in range(10)], "id bigint, word string")
+    assert broadcast_size(narrow, 100) == (10, 10 * (16 + 8) + sum(len(f"w{i}") for i in range(10)))
+    assert _is_broadcast_hinted(bounded_broadcast(narrow, max_rows=10))
+    # One row too many, or a few rows too wide: no hint, Catalyst/AQE decide.
+    assert not _is_broadcast_hinted(bounded_broadcast(narrow, max_rows=9))
+    wide = spark.createDataFrame([(i, "x" * 10_000) for i in range(3)], "id bigint, text string")
+    assert not _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=20_000))
+    assert _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=40_000))

@@ -44,6 +44,8 @@ DEFAULT_CHUNK_SIZE = 5000
 
 # Largest row count we allow to be broadcast after a size check.
 BROADCAST_MAX_ROWS = 200_000
+# ... and the largest estimated size in bytes (conf: wordmill.broadcast.maxBytes).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 # Rows (segments) per text block when segment lines are assembled into text.
 # Bounds the size of every aggregation group, whatever the video length.

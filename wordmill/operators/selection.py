@@ -83,16 +83,23 @@ def selection_condition(
     literal_keywords: bool = False,
     end_inclusive_day: bool = False,
 ) -> Column:
-    """conjunction of the active conditions; none active -> true."""
+    """conjunction of the active conditions; none active -> true.
+
+    Catalyst keeps the order of the conjuncts and generated code stops at
+    the first false one, so the cheap tests (hash-set membership, date
+    comparisons) come first and the regex over the whole description runs
+    only on rows that passed them. Every conjunct is null-safe, so the
+    order does not change the result.
+    """
     conds: list[Column] = []
-    if keywords:
-        conds.append(keyword_condition(keywords, literal=literal_keywords))
     if channels:
         conds.append(channel_condition(channels))
     if start_date:
         conds.append(start_condition(start_date))
     if end_date:
         conds.append(end_condition(end_date, inclusive_day=end_inclusive_day))
+    if keywords:
+        conds.append(keyword_condition(keywords, literal=literal_keywords))
     return functools.reduce(lambda a, b: a & b, conds, F.lit(True))
 
 

@@ -6,14 +6,32 @@ everything else is left to Catalyst and AQE.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from wordmill.constants import BROADCAST_MAX_ROWS, HOT_KEY_ROWS, SALT_BUCKETS
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from wordmill.constants import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, HOT_KEY_ROWS, SALT_BUCKETS
 from wordmill.session import checkpoint_dir
 
 
@@ -34,14 +52,52 @@ def small_table(
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
+# Fixed in-memory width of atomic columns; strings, binaries and nested
+# values are measured per row instead.
+_FIXED_WIDTH = {
+    BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4,
+    LongType: 8, DoubleType: 8, TimestampType: 8, TimestampNTZType: 8, DecimalType: 16,
+}
+_ROW_OVERHEAD_BYTES = 16
+
+
+def row_bytes(schema: StructType) -> Column:
+    """Estimated size of one row: byte length of string and binary values,
+    JSON length of nested values, fixed width of the other types."""
+    parts = [F.lit(_ROW_OVERHEAD_BYTES)]
+    for field in schema.fields:
+        c = F.col(f"`{field.name}`")
+        t = field.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(type(t), 16)))
+    return functools.reduce(lambda a, b: a + b, parts).cast("bigint")
+
+
+def broadcast_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df``, reading at most ``max_rows + 1`` rows
+    (one job, one result row to the driver)."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
+
+
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int | None = None
+) -> DataFrame:
+    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows
+    and at most ``max_bytes`` bytes (default ``wordmill.broadcast.maxBytes``,
+    else ``BROADCAST_MAX_BYTES``).
 
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame
-    is returned unchanged and Catalyst/AQE pick a shuffle join.
+    The check reads at most ``max_rows + 1`` rows. Above either bound the
+    frame is returned unchanged and Catalyst/AQE pick a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if max_bytes is None:
+        max_bytes = _conf_int(df.sparkSession, "wordmill.broadcast.maxBytes", BROADCAST_MAX_BYTES)
+    n, nbytes = broadcast_size(df, max_rows)
+    return F.broadcast(df) if n <= max_rows and nbytes <= max_bytes else df
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
