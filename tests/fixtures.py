@@ -1,5 +1,7 @@
 """Hand-checked inputs from FIXTURES.md."""
 
+from pyspark.sql import functions as F
+
 from wordmill import schemas
 
 CHANNEL_LIST = [
@@ -26,3 +28,10 @@ def videos(spark, rows):
 
 def transcripts(spark):
     return spark.createDataFrame(TRANSCRIPTS, schemas.TRANSCRIPTS)
+
+
+def assemble(blocks, keys=("video_id",), text_col="text"):
+    """Test oracle only: join a video's blocks into its whole text (the
+    group is the whole video, which the library never builds)."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("block").alias("b"), F.col(text_col).alias("t"))))
+    return blocks.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), "\n").alias(text_col))

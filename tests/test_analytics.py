@@ -5,10 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import CHANNEL_LIST, PLAYLIST_LIST, transcripts, videos
+from tests.fixtures import CHANNEL_LIST, PLAYLIST_LIST, assemble, transcripts, videos
 from wordmill.operators import analytics as A
 from wordmill.operators.tokens import lemma_table, model_normalizer
-from wordmill.operators.transcripts import assemble, clean_blocks, segments_to_text
+from wordmill.operators.transcripts import clean_blocks, segments_to_text
 
 STOP = ["i", "oraz"]
 

@@ -7,8 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.fixtures import assemble
 from wordmill.operators import attempts as T
-from wordmill.operators.transcripts import assemble, clean_blocks, segments_to_text
+from wordmill.operators.transcripts import clean_blocks, segments_to_text
 from wordmill.plans.physical import salted_join
 
 

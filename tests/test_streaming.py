@@ -52,3 +52,32 @@ def test_attempt_state_stream(spark, scratch):
     whole = spark.createDataFrame(first + second, schemas.ATTEMPT_LOG)
     assert got == {r["video_id"]: (r["attempts"], r["last_attempt"]) for r in T.fold_attempts(whole).collect()}
     assert got == {"x": (1, t("2025-01-01 00:00:05")), "y": (2, t("2025-01-01 00:00:06"))}
+
+
+def test_replayed_attempt_batch_counts_once(spark, scratch):
+    from wordmill.streaming.ingest import attempt_microbatch
+
+    state = os.path.join(scratch, "state")
+    t = lambda s: dt.datetime.fromisoformat(s)
+    process = attempt_microbatch(state)
+    b0 = spark.createDataFrame([("x", t("2025-01-01 00:00:01"), False)], schemas.ATTEMPT_LOG)
+    b1 = spark.createDataFrame([("x", t("2025-01-01 00:00:02"), False), ("y", t("2025-01-01 00:00:03"), False)], schemas.ATTEMPT_LOG)
+    process(b0, 0)
+    process(b1, 1)
+    process(b1, 1)  # replay after a failure that followed the state write
+    got = {r["video_id"]: r["attempts"] for r in StateTable(state, schemas.ATTEMPTS).read(spark).collect()}
+    assert got == {"x": 2, "y": 1}
+
+
+def test_replayed_ingest_batch_is_harmless(spark, scratch):
+    from wordmill.streaming.ingest import ingest_microbatch
+
+    target, wm = os.path.join(scratch, "videos"), os.path.join(scratch, "wm")
+    sources = spark.createDataFrame([("playlists", "PL1", "UCa", "Radio A")], schemas.SOURCES)
+    process = ingest_microbatch(sources, target, wm)
+    page = [("playlists", "PL1", [{"snippet": {"title": "v1", "description": "", "publishedAt": "2025-01-29T10:00:00Z", "resourceId": {"videoId": "v1"}}}])]
+    batch = spark.createDataFrame(page, schemas.PAGE)
+    process(batch, 0)
+    process(batch, 0)
+    assert [r["video_id"] for r in spark.read.parquet(target).collect()] == ["v1"]
+    assert StateTable(wm, schemas.WATERMARKS).read(spark).first()["last_date"] == "2025-01-29T10:00:00Z"

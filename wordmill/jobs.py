@@ -163,7 +163,7 @@ def ingest_sources(
     rows appended with dedup, then one new watermark version."""
     pages = readers.read_pages(spark, pages_path)
     table = writers.StateTable(watermark_path, schemas.WATERMARKS)
-    old = table.read(spark)
+    old = table.read(spark, before=version)  # a re-run of this version starts from the same state
     merged = old
     for source_type, target, use_wm in (("channels", channel_target, False), ("playlists", playlist_target, True)):
         part = pages.filter(F.col("source_type") == source_type)

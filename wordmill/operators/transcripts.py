@@ -89,12 +89,3 @@ def clean_blocks(blocks: DataFrame, keys: Sequence[str] = ("video_id",), text_co
         *keys, "block", F.when(empty_video, F.lit("")).otherwise(text).alias(text_col)
     )
 
-
-def assemble(blocks: DataFrame, keys: Sequence[str] = ("video_id",), text_col: str = "text") -> DataFrame:
-    """Join block texts into one text per video.
-
-    Only for consumers that need a single value per video (file export,
-    small corpora): the group is the whole video.
-    """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("block").alias("b"), F.col(text_col).alias("t"))))
-    return blocks.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), "\n").alias(text_col))

@@ -82,14 +82,22 @@ class StateTable:
         self.path = path
         self.schema = schema
 
-    def latest_version(self, spark: SparkSession) -> int | None:
+    def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
+        """Highest written version (below ``before`` when given)."""
         if not path_exists(spark, self.path):
             return None
-        row = spark.read.parquet(self.path).agg(F.max("version").alias("v")).first()
+        versions = spark.read.parquet(self.path)
+        if before is not None:
+            versions = versions.filter(F.col("version") < int(before))
+        row = versions.agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        v = self.latest_version(spark)
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The latest version, or with ``before`` the latest version older
+        than ``before``. A micro-batch reads ``before=batch_id``: a replay of
+        the batch then starts from the same state as its first attempt, even
+        if that attempt already wrote its own version."""
+        v = self.latest_version(spark, before)
         if v is None:
             return empty(spark, self.schema)
         df = spark.read.parquet(self.path).filter(F.col("version") == v)

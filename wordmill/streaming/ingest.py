@@ -14,6 +14,8 @@ is the same as a single successful run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +26,49 @@ from wordmill.sources.readers import path_exists
 from wordmill.sources.writers import StateTable
 
 
+def ingest_microbatch(
+    sources: DataFrame, target_path: str, watermark_path: str, use_watermark: bool = True
+) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body of the ingest stream.
+
+    Rows first, watermark version ``batch_id`` second. The batch starts
+    from the watermark version before its own, so a replay (after a failure
+    at any point) sees the state of the first attempt; rows it already
+    appended are skipped by the anti join against the target.
+    """
+    wm_table = StateTable(watermark_path, schemas.WATERMARKS)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        existing = None
+        if path_exists(session, target_path):
+            existing = session.read.parquet(target_path)
+        old = wm_table.read(session, before=batch_id)
+        result = ingest_batch(batch, sources, existing, old, use_watermark)
+        result.rows.write.mode("append").parquet(target_path)
+        wm_table.write(result.watermarks, batch_id)
+
+    return process
+
+
+def attempt_microbatch(state_path: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body of the attempt-state stream.
+
+    Merging is not idempotent (failures add up), so a batch merges into the
+    state version *before* its own and overwrites version ``batch_id``: a
+    replayed batch recomputes the same version instead of counting its
+    entries twice.
+    """
+    table = StateTable(state_path, schemas.ATTEMPTS)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        merged = attempt_ops.merge_attempts(table.read(session, before=batch_id), batch)
+        table.write(merged, batch_id)
+
+    return process
+
+
 def start_ingest(
     spark: SparkSession,
     landing_dir: str,
@@ -44,18 +89,7 @@ def start_ingest(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.json(landing_dir)
-    wm_table = StateTable(watermark_path, schemas.WATERMARKS)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        existing = None
-        if path_exists(session, target_path):
-            existing = session.read.parquet(target_path)
-        old = wm_table.read(session)
-        result = ingest_batch(batch, sources, existing, old, use_watermark)
-        result.rows.write.mode("append").parquet(target_path)
-        wm_table.write(result.watermarks, batch_id)
-
+    process = ingest_microbatch(sources, target_path, watermark_path, use_watermark)
     writer = pages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -72,13 +106,7 @@ def start_attempt_state(
     into the versioned state table (``merge_attempts``); only the new
     entries and the current state are read per batch."""
     log = spark.readStream.schema(schemas.ATTEMPT_LOG).parquet(log_dir)
-    table = StateTable(state_path, schemas.ATTEMPTS)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        merged = attempt_ops.merge_attempts(table.read(session), batch)
-        table.write(merged, batch_id)
-
+    process = attempt_microbatch(state_path)
     writer = log.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
