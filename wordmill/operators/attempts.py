@@ -8,6 +8,7 @@ function of its inputs and an explicit ``now``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,30 @@ def fold_attempts(log: DataFrame, seq_col: str | None = None) -> DataFrame:
     )
 
 
+# Entry order (at, seq) packed into one DECIMAL(38,0):
+#   (micros since 1970 + MICROS_SHIFT) * SEQ_SPAN + (seq + 2**63).
+# MICROS_SHIFT exceeds the microseconds before 1970 of any year from 1, and
+# SEQ_SPAN exceeds the whole bigint range, so the packing is order-preserving
+# and stays below 10**38. A max over it is a hash aggregate; a max over a
+# struct is a sort aggregate that sorts every log entry.
+_MICROS_SHIFT = 10**17
+_SEQ_SPAN = 10**20
+_SEQ_SHIFT = 2**63
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _dec(value: int, precision: int) -> Column:
+    return F.lit(str(value)).cast(f"decimal({precision},0)")
+
+
+def entry_order(at: Column, seq: Column) -> Column:
+    """Sort key of an attempt-log entry: by ``at`` (wall clock), then ``seq``."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), at.cast("timestamp_ntz"))
+    high = (micros.cast("decimal(18,0)") + _dec(_MICROS_SHIFT, 18)) * _dec(_SEQ_SPAN, 21)
+    low = seq.cast("decimal(20,0)") + _dec(_SEQ_SHIFT, 20)
+    return (high + low).cast("decimal(38,0)")
+
+
 def _fails_after_last_ok(log: DataFrame, seq_col: str | None) -> DataFrame:
     """Failure entries ordered after their video's last success.
 
@@ -41,7 +66,7 @@ def _fails_after_last_ok(log: DataFrame, seq_col: str | None) -> DataFrame:
     counts the video's entries; the count marks hot videos for the salted
     join back to the failures.
     """
-    order = F.struct(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
+    order = entry_order(F.col("at"), F.col(seq_col) if seq_col else F.lit(0))
     entries = log.select("video_id", "at", "ok", order.alias("_o"))
     last_ok = entries.groupBy("video_id").agg(
         F.max(F.when(F.col("ok"), F.col("_o"))).alias("_last_ok"),
