@@ -102,21 +102,3 @@ def test_language_preference(spark):
     df = spark.createDataFrame(rows, "video_id string, lang string, seq int, text string")
     got = {r["video_id"]: r["text"] for r in T.language_preference(df, ["pl", "en"], tie_col="seq").collect()}
     assert got == {"v1": "z", "v3": "u"}
-
-
-def test_entry_order_packs_time_then_sequence(spark):
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    from wordmill.operators.attempts import entry_order
-
-    rows = [
-        (dt.datetime(1, 1, 1), -(2**63)), (dt.datetime(1, 1, 1), 2**63 - 1),
-        (dt.datetime(1969, 12, 31, 23, 59, 59, 999999), 5), (dt.datetime(1970, 1, 1), -1),
-        (dt.datetime(1970, 1, 1), 0), (dt.datetime(2025, 1, 1, 0, 0, 0, 1), 3),
-        (dt.datetime(9999, 12, 31, 23, 59, 59, 999999), 2**63 - 1),
-    ]
-    df = spark.createDataFrame(rows, "at timestamp_ntz, seq bigint")
-    keys = [r["k"] for r in df.select(entry_order(F.col("at"), F.col("seq")).alias("k")).collect()]
-    assert keys == sorted(keys) and len(set(keys)) == len(keys) and keys[-1] < 10**38

@@ -71,11 +71,3 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     wide = spark.createDataFrame([(i, "x" * 10_000) for i in range(3)], "id bigint, text string")
     assert not _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=20_000))
     assert _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=40_000))
-
-
-@pytest.mark.parametrize("name", ["attempt_state", "retry_eligibility", "retry_work_list", "outcome_classes", "outcome_counts"])
-def test_attempt_fold_is_hash_aggregated(spark, name):
-    # The entry order is one packed decimal, so "last success per video" is a
-    # hash aggregate; a max over a struct would sort every log entry.
-    df = E.queries()[name](spark, SF)
-    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
