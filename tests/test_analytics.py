@@ -43,6 +43,7 @@ def test_frequency(corpus):
     ordered = [(r["word"], r["count"]) for r in A.sorted_counts(freq).collect()]
     assert ordered[:3] == [("kot", 4), ("pies", 2), ("widzi", 2)]
     assert A.token_total(freq).first()["tokens"] == 11
+    assert A.token_count(corpus, stopwords=STOP).first()["tokens"] == 11
     assert [r["word"] for r in A.top_words(freq, 2).collect()] == ["kot", "pies"]
 
 

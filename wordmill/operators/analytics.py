@@ -19,7 +19,7 @@ from wordmill.constants import (
 )
 from wordmill.functions.text import clean_transcript
 from wordmill.functions.time import day_label, day_of
-from wordmill.operators.tokens import Normalizer, counted_words, regex_tokens
+from wordmill.operators.tokens import Normalizer, counted_words, regex_tokens, tokens
 
 TRANSCRIPT_KEYS = ("channel_id", "video_id")
 
@@ -83,10 +83,24 @@ def word_cloud_weights(freq: DataFrame) -> DataFrame:
 
 
 def token_total(freq: DataFrame) -> DataFrame:
-    """Number of tokens kept after cleaning."""
+    """Number of tokens kept after cleaning, from word counts."""
     return freq.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("tokens"))
 
 
+def token_count(
+    corpus_df: DataFrame,
+    text_col: str = "text",
+    normalizer: Normalizer = regex_tokens,
+    stopwords=None,
+    min_len: int = DEFAULT_MIN_LENGTH,
+) -> DataFrame:
+    """A12 without the word counts: one global count over the cleaned word
+    stream (a partial count per task, no shuffle of the vocabulary). Equal to
+    ``token_total(word_frequency(...))`` with the same arguments."""
+    words = tokens(corpus_df, text_col, (), normalizer, stopwords, min_len)
+    return words.agg(F.count(F.lit(1)).cast("bigint").alias("tokens"))
+
+
 def word_trend(
     corpus_df: DataFrame,
     text_col: str = "text",

@@ -436,7 +436,7 @@ def q_row_counts(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     loaded = docs.select(F.count(F.lit(1))).scalar()
     landed = docs.join(labels, "doc_id", "left_semi").select(F.count(F.lit(1))).scalar()
-    tokens = analytics.token_total(q_word_frequency(spark, sf_dir)).scalar()
+    tokens = analytics.token_count(documents_text(spark, sf_dir), stopwords=STOPWORDS).scalar()
     return spark.range(1).select(loaded.alias("loaded"), landed.alias("landed"), tokens.alias("tokens"))
 
 
