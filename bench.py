@@ -31,7 +31,7 @@ def run(spark, name, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app_name="wordmill-bench", shuffle_partitions=int(cpus) * 2)
     names = only or list(HEADLINE) + [q for q in QUERIES if q not in HEADLINE]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.constants import CHANNEL_ID_PREFIX, VIDEO_COLUMNS
-from wordmill.plans.physical import bounded_broadcast
+from wordmill.plans.physical import bounded_broadcast, fits_broadcast
 
 SOURCE_KEYS = ("source_type", "source_id")
 
@@ -81,8 +81,10 @@ def resolve_identifiers(
     )
     # The channel dimension is normally small: broadcast after a size check
     # (a hot identifier then never meets a shuffle), else a shuffle join.
-    by_id = bounded_broadcast(by_id)
-    by_name = bounded_broadcast(by_name)
+    # Both lookup sides come from ``channels`` with no more rows and no wider
+    # rows, so one check of the dimension bounds both.
+    if fits_broadcast(channels):
+        by_id, by_name = F.broadcast(by_id), F.broadcast(by_name)
     ident = F.col(ident_col)
     kind_id = is_channel_id(ident)
     out = identifiers.join(by_id, kind_id & (ident == F.col("_i_id")), "left")

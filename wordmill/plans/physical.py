@@ -94,10 +94,18 @@ def bounded_broadcast(
     The check reads at most ``max_rows + 1`` rows. Above either bound the
     frame is returned unchanged and Catalyst/AQE pick a shuffle join.
     """
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int | None = None) -> bool:
+    """The size check of :func:`bounded_broadcast` on its own: true when
+    ``df`` holds at most ``max_rows`` rows and ``max_bytes`` estimated bytes.
+    A frame derived from ``df`` with no more rows and no wider rows (a
+    projection, a grouping of it) is bounded by the same check."""
     if max_bytes is None:
         max_bytes = _conf_int(df.sparkSession, "wordmill.broadcast.maxBytes", BROADCAST_MAX_BYTES)
     n, nbytes = broadcast_size(df, max_rows)
-    return F.broadcast(df) if n <= max_rows and nbytes <= max_bytes else df
+    return n <= max_rows and nbytes <= max_bytes
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
