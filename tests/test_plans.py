@@ -71,3 +71,14 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     wide = spark.createDataFrame([(i, "x" * 10_000) for i in range(3)], "id bigint, text string")
     assert not _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=20_000))
     assert _is_broadcast_hinted(bounded_broadcast(wide, max_rows=10, max_bytes=40_000))
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from wordmill.session import checkpoint_dir
+
+    # The folder is the session's setting (Spark adds a per-application
+    # subfolder under it); asking again never picks another one.
+    first = checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert first.replace("file:", "").startswith(configured.replace("file:", "").rstrip("/"))
+    assert checkpoint_dir(spark) == first

@@ -51,12 +51,17 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialized intermediates.
 
-    Read from ``spark.checkpoint.dir``; only when unset (local runs, tests)
-    a folder under ``WORDMILL_CHECKPOINT_DIR`` or ``/tmp`` is chosen.
+    Read from ``spark.checkpoint.dir``. Only a local-mode session (tests,
+    single-machine runs) may leave it unset; it then gets a folder under
+    ``WORDMILL_CHECKPOINT_DIR`` or ``/tmp``. On a cluster a machine-local
+    folder would lose intermediates with their executor, so an unset
+    setting is an error there.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder (e.g. on HDFS or object storage) on a cluster")
         configured = os.environ.get("WORDMILL_CHECKPOINT_DIR", "/tmp/wordmill-checkpoints")
         spark.conf.set("spark.checkpoint.dir", configured)
     if not sc.getCheckpointDir():
