@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.constants import (
+    BROADCAST_MAX_ROWS,
     CONDITIONAL_PIVOT_MAX_DAYS,
     DEFAULT_MIN_LENGTH,
     DEFAULT_TOP_N,
@@ -141,8 +142,12 @@ def top_trend_words(trend: DataFrame, n: int = DEFAULT_TREND_TOP_N) -> DataFrame
 
 def top_series(trend: DataFrame, n: int = DEFAULT_TREND_TOP_N) -> DataFrame:
     """T5 (with J5): the trend rows of the top-``n`` words, in rank then date
-    order. The top list has ``n`` rows, so broadcasting it is bounded."""
-    top = F.broadcast(top_trend_words(trend, n).select("word", "rank"))
+    order. The top list has at most ``n`` rows: it is broadcast when ``n`` is
+    within ``BROADCAST_MAX_ROWS`` (always, for chart-sized N), otherwise
+    Catalyst/AQE choose the join."""
+    top = top_trend_words(trend, n).select("word", "rank")
+    if n <= BROADCAST_MAX_ROWS:
+        top = F.broadcast(top)
     return trend.join(top, "word", "inner").select("rank", "word", "date", "count").orderBy("rank", "date")
 
 
