@@ -88,3 +88,27 @@ def test_state_table_versions(spark, scratch):
     t.write(spark.createDataFrame([("p", "a", "2")], schemas.WATERMARKS), 1)
     t.write(spark.createDataFrame([("p", "a", "3")], schemas.WATERMARKS), 1)  # replay rewrites its version
     assert [r["last_date"] for r in t.read(spark).collect()] == ["3"]
+
+
+def test_resolve_identifiers_shuffle_path_agrees(spark):
+    # A zero byte bound forces the salted shuffle joins; with a hot-key
+    # threshold of 2 the repeated identifiers and the null keys are salted.
+    channels = spark.createDataFrame(
+        [("UC1", "Radio A", "up1"), ("UC2", "Radio B", "up2"), ("UC0", "Radio B", "up0")],
+        "channel_id string, channel_name string, uploads string",
+    )
+    idents = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(["UC1", "Radio B", "UC9", "Nope", "UC1", "Radio B", "Radio B", None])],
+        "n int, identifier string",
+    )
+    cols = ["n", "identifier", "channel_id", "channel_name", "uploads", "status"]
+    want = sorted(tuple(r) for r in I.resolve_identifiers(idents, channels).select(*cols).collect())
+    spark.conf.set("wordmill.broadcast.maxBytes", "0")
+    spark.conf.set("wordmill.skew.hotKeyRows", "2")
+    try:
+        got = sorted(tuple(r) for r in I.resolve_identifiers(idents, channels).select(*cols).collect())
+    finally:
+        spark.conf.unset("wordmill.broadcast.maxBytes")
+        spark.conf.unset("wordmill.skew.hotKeyRows")
+    assert got == want
+    assert [r for r in got if r[1] == "UC9"][0][5] == "unresolved"

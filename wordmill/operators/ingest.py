@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.constants import CHANNEL_ID_PREFIX, VIDEO_COLUMNS
-from wordmill.plans.physical import bounded_broadcast, fits_broadcast
+from wordmill.plans.physical import bounded_broadcast, fits_broadcast, salted_join
 
 SOURCE_KEYS = ("source_type", "source_id")
 
@@ -79,16 +79,30 @@ def resolve_identifiers(
         F.col("channel_name").alias("_i_name"),
         *[F.col(c).alias(f"_i_{c}") for c in extra],
     )
-    # The channel dimension is normally small: broadcast after a size check
-    # (a hot identifier then never meets a shuffle), else a shuffle join.
-    # Both lookup sides come from ``channels`` with no more rows and no wider
-    # rows, so one check of the dimension bounds both.
-    if fits_broadcast(channels):
-        by_id, by_name = F.broadcast(by_id), F.broadcast(by_name)
     ident = F.col(ident_col)
     kind_id = is_channel_id(ident)
-    out = identifiers.join(by_id, kind_id & (ident == F.col("_i_id")), "left")
-    out = out.join(by_name, ~kind_id & (ident == F.col("_n_name")), "left")
+    # The channel dimension is normally small: broadcast after a size check
+    # (a hot identifier then never meets a shuffle). Both lookup sides come
+    # from ``channels`` with no more rows and no wider rows, so one check of
+    # the dimension bounds both.
+    if fits_broadcast(channels):
+        out = identifiers.join(F.broadcast(by_id), kind_id & (ident == F.col("_i_id")), "left")
+        out = out.join(F.broadcast(by_name), ~kind_id & (ident == F.col("_n_name")), "left")
+    else:
+        # Shuffle joins. Each lookup is an equi-join on a key that is null
+        # for the other identifier kind; by_name is an aggregate, so AQE
+        # cannot split a hot identifier, and all null keys would meet in one
+        # task: salted joins spread hot keys (null included) over many tasks.
+        keyed = identifiers.select(
+            "*", F.when(kind_id, ident).alias("_i_id"), F.when(~kind_id, ident).alias("_n_name")
+        )
+        cols = list(keyed.columns)
+        out = salted_join(keyed, by_id.withColumn("_i_hit", F.lit(True)), ["_i_id"], "left", None, cols)
+        out = salted_join(out, by_name.withColumn("_n_hit", F.lit(True)), ["_n_name"], "left", None, cols)
+        # The key columns come from the identifier side: keep them only on a match.
+        out = out.withColumn("_i_id", F.when(F.col("_i_hit"), F.col("_i_id"))).withColumn(
+            "_n_name", F.when(F.col("_n_hit"), F.col("_n_name"))
+        )
     channel_id = F.when(kind_id, F.col("_i_id")).otherwise(F.col("_n_id"))
     channel_name = F.when(kind_id, F.col("_i_name")).otherwise(F.col("_n_name"))
     cols = [c for c in identifiers.columns]

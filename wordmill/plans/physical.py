@@ -172,6 +172,20 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
+    # A null key never matches: such rows skip the shuffle join (where they
+    # would all meet in one task) and are added back as the join type says.
+    has_key = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    null_rows = big.filter(~has_key)
+    big = big.filter(has_key)
+    joined = _salted(big, keyed, keys, how, count_col, spread_cols)
+    if how == "left":
+        return joined.unionByName(null_rows, allowMissingColumns=True)
+    if how == "left_anti":
+        return joined.unionByName(null_rows)
+    return joined
+
+
+def _salted(big, keyed, keys, how, count_col, spread_cols):
     spark = big.sparkSession
     hot_rows = _conf_int(spark, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
     buckets = _conf_int(spark, "wordmill.skew.saltBuckets", SALT_BUCKETS)
