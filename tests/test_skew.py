@@ -83,3 +83,17 @@ def test_outcomes_with_hot_listed_video(spark, all_hot):
     assert got == [("a", "already_landed")] * 30 + [("b", "downloaded"), ("c", "backoff_skip")]
     counts = {r["channel_name"]: (r["downloaded"], r["missing"]) for r in T.outcome_counts(out).collect()}
     assert counts == {"R": (31, 0), "S": (0, 1)}
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner", "left_semi"])
+def test_salted_join_null_keys(spark, all_hot, how):
+    # A third of the rows have a null key: they match nothing, keep (left,
+    # anti) or lose (inner, semi) their row exactly as in a plain join, and
+    # are spread over many salts instead of one task.
+    big = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 5).cast("string")).alias("k"), "id")
+    keyed = spark.createDataFrame([(str(i), f"p{i}") for i in range(3)], "k string, p string")
+    got = sorted((tuple(r) for r in salted_join(big, keyed, ["k"], how, None, ["id"]).collect()), key=repr)
+    want = sorted((tuple(r) for r in big.join(keyed, "k", how).collect()), key=repr)
+    assert got == want
+    salts = big.filter(F.col("k").isNull()).select(F.pmod(F.xxhash64("id"), F.lit(1 << 16)).alias("s")).distinct().count()
+    assert salts > 250

@@ -143,6 +143,11 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Salt range for rows whose join key is null (they match nothing and are
+# only spread, never replicated).
+NULL_KEY_SALTS = 1 << 16
+
+
 def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value else default
@@ -172,20 +177,6 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    # A null key never matches: such rows skip the shuffle join (where they
-    # would all meet in one task) and are added back as the join type says.
-    has_key = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    null_rows = big.filter(~has_key)
-    big = big.filter(has_key)
-    joined = _salted(big, keyed, keys, how, count_col, spread_cols)
-    if how == "left":
-        return joined.unionByName(null_rows, allowMissingColumns=True)
-    if how == "left_anti":
-        return joined.unionByName(null_rows)
-    return joined
-
-
-def _salted(big, keyed, keys, how, count_col, spread_cols):
     spark = big.sparkSession
     hot_rows = _conf_int(spark, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
     buckets = _conf_int(spark, "wordmill.skew.saltBuckets", SALT_BUCKETS)
@@ -194,12 +185,18 @@ def _salted(big, keyed, keys, how, count_col, spread_cols):
         hot = F.broadcast(counts.filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
     else:
         hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(buckets)).cast("int")
-    big_s = (
-        big.join(hot, list(keys), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
-        .drop("_hot")
+    spread = F.xxhash64(*[F.col(c) for c in spread_cols])
+    has_key = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # A null key matches nothing, so its rows need no partner copies: they get
+    # a salt from a range wider than any reducer count and spread over every
+    # task instead of meeting in one (same single join, no second pass).
+    salt = (
+        F.when(~has_key, F.pmod(spread, F.lit(NULL_KEY_SALTS)))
+        .when(F.col("_hot"), F.pmod(spread, F.lit(buckets)))
+        .otherwise(F.lit(0))
+        .cast("int")
     )
+    big_s = big.join(hot, list(keys), "left").withColumn("_salt", salt).drop("_hot")
     fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     keyed_s = keyed.join(hot, list(keys), "left").withColumn("_salt", F.explode(fan)).drop("_hot")
     return big_s.join(keyed_s, [*keys, "_salt"], how).drop("_salt")
