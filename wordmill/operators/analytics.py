@@ -5,6 +5,7 @@ Covers J1, J2, J5, F10-F12, A1-A6, A12, T1-T5, T7.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -19,7 +20,7 @@ from wordmill.constants import (
     PIVOT_MAX_DAYS,
 )
 from wordmill.functions.text import clean_transcript
-from wordmill.functions.time import day_label, day_of
+from wordmill.functions.time import day_of
 from wordmill.operators.tokens import Normalizer, counted_words, regex_tokens, tokens
 
 TRANSCRIPT_KEYS = ("channel_id", "video_id")
@@ -158,7 +159,8 @@ def trend_days(trend: DataFrame, max_days: int = PIVOT_MAX_DAYS) -> list[str]:
     calendar days (checked against ``max_days``), not the data size.
     """
     rows = (
-        trend.select(day_label("date").alias("d"))
+        trend.select(F.col("date").cast("date").alias("d"))
+        .filter(F.col("d").isNotNull())
         .distinct()
         .orderBy("d")
         .limit(max_days + 1)
@@ -166,7 +168,7 @@ def trend_days(trend: DataFrame, max_days: int = PIVOT_MAX_DAYS) -> list[str]:
     )
     if len(rows) > max_days:
         raise ValueError(f"trend spans more than {max_days} days; pass `days` explicitly")
-    return [r["d"] for r in rows]
+    return [r["d"].isoformat() for r in rows]
 
 
 def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFrame:
@@ -182,14 +184,17 @@ def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFra
     labels = list(days) if days is not None else trend_days(trend)
     if len(labels) > PIVOT_MAX_DAYS:
         raise ValueError(f"more than {PIVOT_MAX_DAYS} day columns")
-    labelled = trend.select("word", day_label("date").alias("_day"), "count")
+    # Rows are matched on the date value (an int compare per cell); the
+    # ``YYYY-MM-DD`` labels are only the column names.
+    dates = [dt.date.fromisoformat(d) for d in labels]
+    dated = trend.select("word", F.col("date").cast("date").alias("_day"), "count")
     if len(labels) <= CONDITIONAL_PIVOT_MAX_DAYS:
         cells = [
-            F.coalesce(F.sum(F.when(F.col("_day") == d, F.col("count"))), F.lit(0)).cast("bigint").alias(d)
-            for d in labels
+            F.coalesce(F.sum(F.when(F.col("_day") == F.lit(d), F.col("count"))), F.lit(0)).cast("bigint").alias(label)
+            for d, label in zip(dates, labels)
         ]
-        return labelled.groupBy("word").agg(*cells, F.sum("count").cast("bigint").alias("total"))
-    wide = labelled.groupBy("word").pivot("_day", labels).agg(F.sum("count"))
-    filled = [F.coalesce(F.col(f"`{d}`"), F.lit(0)).cast("bigint") for d in labels]
+        return dated.groupBy("word").agg(*cells, F.sum("count").cast("bigint").alias("total"))
+    wide = dated.groupBy("word").pivot("_day", dates).agg(F.sum("count"))
+    filled = [F.coalesce(wide[i + 1], F.lit(0)).cast("bigint") for i in range(len(dates))]
     total = F.aggregate(F.array(*filled), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return wide.select("word", *[c.alias(d) for c, d in zip(filled, labels)], total.alias("total"))
