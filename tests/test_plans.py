@@ -82,3 +82,11 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert first.replace("file:", "").startswith(configured.replace("file:", "").rstrip("/"))
     assert checkpoint_dir(spark) == first
+
+
+def test_selection_runs_regex_after_cheap_conditions(spark):
+    # Conjuncts keep their order in the plan: the hash-set channel test must
+    # come before the keyword regex over the description.
+    text = formatted(E.queries()["select_all_conditions"](spark, SF))
+    cond = next(line for line in text.splitlines() if "RLIKE" in line)
+    assert cond.index(" IN (") < cond.index("RLIKE")
