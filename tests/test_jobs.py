@@ -93,3 +93,23 @@ def test_ingest_sources(spark, scratch):
     assert [(r["video_id"], r["channel_name"]) for r in spark.read.parquet(pl).collect()] == [("p1", "Radio B")]
     marks = {r["source_id"]: r["last_date"] for r in StateTable(wm, schemas.WATERMARKS).read(spark).collect()}
     assert marks == {"UCa": "2025-01-02T00:00:00Z", "PL1": "2025-01-03T00:00:00Z"}
+
+
+def test_command_line(spark, scratch):
+    from wordmill.__main__ import main
+
+    ch = os.path.join(scratch, "channel.csv")
+    write_csv(ch, CHANNEL_LIST + PLAYLIST_LIST[:1])
+    sel = os.path.join(scratch, "sel")
+    main(["select", "--lists", ch, "--output", sel, "--channels", "Radio A"])
+    assert sorted(r["video_id"] for r in spark.read.option("header", True).csv(sel).collect()) == ["v1", "v2", "v3"]
+    tdir, logdir = os.path.join(scratch, "transcripts"), os.path.join(scratch, "attempts")
+    jobs.land_transcripts(spark, ch, fetched(spark), tdir, logdir, NOW).collect()
+    out = os.path.join(scratch, "freq")
+    main(["analyze", "--mode", "frequency", "--input", ch, "--transcripts", tdir, "--output", out, "--top", "2"])
+    assert [r["word"] for r in spark.read.option("header", True).csv(f"{out}/top").collect()] == ["kot", "pies"]
+    main(["analyze", "--mode", "trend", "--input", ch, "--transcripts", tdir, "--output", os.path.join(scratch, "trend")])
+    assert spark.read.option("header", True).csv(os.path.join(scratch, "trend", "matrix")).count() == 6
+    main(["profile", "--transcripts", tdir, "--output", os.path.join(scratch, "prof")])
+    sizes = spark.read.option("header", True).csv(os.path.join(scratch, "prof", "sizes")).collect()
+    assert [int(r["files"]) for r in sizes] == [3, 0, 0, 0, 0, 0]
