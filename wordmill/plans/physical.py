@@ -172,8 +172,10 @@ def salted_join(
     over ``wordmill.skew.saltBuckets`` buckets by a hash of ``spread_cols``
     and their ``keyed`` row is replicated once per bucket; every other key
     joins in bucket 0. The hot-key list is broadcast: it has at most
-    ``rows(big) / hotKeyRows`` entries. When ``keyed`` turns out small, AQE
-    still turns the final join into a broadcast join at run time.
+    ``rows(big) / hotKeyRows`` entries. Rows of ``big`` with a null key
+    match nothing; they are spread over ``NULL_KEY_SALTS`` salts without any
+    replication. When ``keyed`` turns out small, AQE still turns the final
+    join into a broadcast join at run time.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
@@ -185,14 +187,14 @@ def salted_join(
         hot = F.broadcast(counts.filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
     else:
         hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
-    spread = F.xxhash64(*[F.col(c) for c in spread_cols])
+    row_hash = F.xxhash64(*[F.col(c) for c in spread_cols])
     has_key = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # A null key matches nothing, so its rows need no partner copies: they get
     # a salt from a range wider than any reducer count and spread over every
     # task instead of meeting in one (same single join, no second pass).
     salt = (
-        F.when(~has_key, F.pmod(spread, F.lit(NULL_KEY_SALTS)))
-        .when(F.col("_hot"), F.pmod(spread, F.lit(buckets)))
+        F.when(~has_key, F.pmod(row_hash, F.lit(NULL_KEY_SALTS)))
+        .when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
         .otherwise(F.lit(0))
         .cast("int")
     )
