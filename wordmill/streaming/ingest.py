@@ -10,6 +10,10 @@ Exactly-once: the video rows are written first, the watermark second. A
 micro-batch replayed after a failure skips rows already appended (anti join
 against the target) and rewrites its own watermark version, so the result
 is the same as a single successful run.
+
+State versions are the stream's batch ids, so a state table belongs to one
+checkpoint location: a stream started over with a fresh checkpoint needs a
+fresh state path (or a copy of the last version written as version -1).
 """
 
 from __future__ import annotations
