@@ -126,3 +126,21 @@ def test_iso_and_trunc_independent_of_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert row["iso"] == "2024-03-10T02:30:05Z"
     assert row["t"] == dt.datetime(2024, 3, 10, 2, 30, 5)
+
+
+def test_timestamp_param_independent_of_session_zone(spark):
+    import datetime as dt
+
+    from wordmill.functions.time import timestamp_param
+
+    got = []
+    for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            got.append(spark.range(1).select(
+                timestamp_param("2024-01-30 12:00:00").alias("a"),
+                timestamp_param(dt.datetime(2024, 1, 30, 13, 0, tzinfo=dt.timezone(dt.timedelta(hours=1)))).alias("b"),
+            ).first())
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(r["a"] == dt.datetime(2024, 1, 30, 12, 0) and r["b"] == dt.datetime(2024, 1, 30, 12, 0) for r in got)

@@ -90,3 +90,14 @@ def test_new_watermarks_are_the_max_of_kept_items(spark):
     old = {sid: v for _, sid, v in C.OLD_WATERMARKS}
     for sid, v in marks.items():
         assert sid not in old or v >= old[sid]
+
+
+@pytest.mark.parametrize("name", ["select_date_range", "word_trend", "attempt_state", "retry_eligibility", "outcome_counts", "new_watermarks", "api_items"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    utc = sorted(map(repr, Q[name](spark, SF).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = sorted(map(repr, Q[name](spark, SF).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == utc

@@ -34,10 +34,17 @@ def parse_date_param(value: str) -> dt.datetime:
 
 
 def timestamp_param(value: str | dt.datetime) -> Column:
-    """A driver-side parameter as a ``timestamp_ntz`` literal."""
+    """A driver-side wall-clock parameter as a ``timestamp_ntz`` literal.
+
+    Built from its ISO text: a naive ``datetime`` literal would be read in
+    the Python process's zone and cast back in the session zone, shifting
+    the value whenever the two differ.
+    """
     if isinstance(value, str):
         value = dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp_ntz")
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def day_of(published_at: ColumnOrName) -> Column:
