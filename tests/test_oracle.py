@@ -11,6 +11,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from compare import compare, duck  # noqa: E402
 
+from wordmill.plans.catalog import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -22,10 +24,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     status, n, m = compare(spark, con, name, SF)
     assert status == "OK", status

@@ -6,9 +6,10 @@ everything else is left to Catalyst and AQE.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,17 +131,53 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     return df.repartition(target)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder (``spark.checkpoint.dir``),
+    one folder per application; it is deleted when the application ends."""
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wordmill/{app}/{name}-{uuid.uuid4().hex}"
+    jpath, fs = _hadoop(spark, path)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it exists."""
+    jpath, fs = _hadoop(spark, path)
+    fs.delete(jpath, True)
+
+
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
-    folder (``spark.checkpoint.dir``) and reading it back.
+    folder and reading it back.
 
     Used where one intermediate feeds several outputs: a lost executor then
-    re-reads the written files instead of recomputing the whole chain.
+    re-reads the written files instead of recomputing the whole chain. The
+    copy lives until the application ends; :func:`materialized` drops it
+    after use.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wordmill/{name or 'frame'}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name or "frame")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def materialized(df: DataFrame, name: str | None = None) -> Iterator[DataFrame]:
+    """:func:`materialize` for the length of a ``with`` block; the copy is
+    deleted at its end, so nothing lazy may leave the block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name or "frame")
+    try:
+        df.write.mode("overwrite").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
 
 
 # Salt range for rows whose join key is null (they match nothing and are
