@@ -3,12 +3,15 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import exact_dedup, line_dedup
+from wordmill.llm import exact_dedup, license_scan, line_dedup, pieces, quality
 from wordmill.llm.common import table
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def hex_sha256(text) -> F.Column:
     return F.sha2(text.cast("binary"), 256)
@@ -26,9 +29,48 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    words = F.transform(base, lambda p: p["word"])
+    return done.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        license_scan.labels(base_only=True).alias("base_labels"),
+        license_scan.labels().alias("labels"),
+        "score",
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    done = quality.score_quality(docs, model)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return done.select("doc_id", *counts, "base_failed", "kept", "probability")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proto = pieces.read_model(PIECE_MODEL)
+    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), proto)
+    decoded = pieces.decode_ids(encoded, proto)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 
 SQL = {
