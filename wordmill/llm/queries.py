@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import exact_dedup, license_scan, line_dedup, pieces, quality
+from wordmill.llm import exact_dedup, license_scan, line_dedup, near_dedup, pieces, quality
 from wordmill.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -45,6 +45,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = near_dedup.mark_near_duplicates(docs, words=3, percent=85)
+    return done.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -69,6 +75,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_license_scan": op3_license_scan,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
 }
