@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import exact_dedup, license_scan, line_dedup, near_dedup, pieces, quality
+from wordmill.llm import exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, pieces, quality
 from wordmill.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -71,6 +71,24 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIX_SHARE = 0.5
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix_sources(docs, mixing.document_levels(), mixing.DOCUMENT_WEIGHTS, share=MIX_SHARE)
+    return mixed.select("doc_id", "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("tokens"))
+
+
+END_ID = 2  # </s> of the piece model
+
+
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode_texts(docs, pieces.read_model(PIECE_MODEL))
+    return packing.pack_ids(encoded, end_id=END_ID)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -78,6 +96,8 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_packed_ids": op10_packed_ids,
 }
 
 SQL = {
@@ -110,5 +130,67 @@ WITH n AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM n
+""",
+    "op9_source_mixing": r"""
+WITH based AS (
+  SELECT doc_id, lang, source,
+    coalesce('domain' || (try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') AS BIGINT) % 4), 'unknown') AS d,
+    coalesce(lang, 'unknown') AS l, coalesce(source, 'unknown') AS s,
+    (strlen(coalesce(text, '')) + 3) // 4 AS tokens
+  FROM documents
+), leaves AS (
+  SELECT d, l, s, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * 3 AS cap FROM based GROUP BY d, l, s
+), w1 AS (
+  SELECT d, sum(cap)::BIGINT AS cap,
+    CASE d WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END::BIGINT AS weight
+  FROM leaves GROUP BY d
+), b1 AS (
+  SELECT *, least((SELECT floor(sum(tokens) * 0.5)::BIGINT FROM leaves), (SELECT sum(cap)::BIGINT FROM leaves)) AS budget FROM w1
+), r1 AS (
+  SELECT *, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS rest_w, budget - coalesce(sum(cap) OVER b, 0) AS rest_b
+  FROM b1 WINDOW b AS (ORDER BY cap / weight, d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f1 AS (
+  SELECT d, CASE WHEN cap * rest_w <= weight * rest_b THEN cap
+    ELSE (weight * max(rest_b) FILTER (WHERE cap * rest_w > weight * rest_b) OVER ())
+      // max(rest_w) FILTER (WHERE cap * rest_w > weight * rest_b) OVER () END AS budget
+  FROM r1
+), w2 AS (
+  SELECT d, l, sum(cap)::BIGINT AS cap,
+    CASE l WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END::BIGINT AS weight
+  FROM leaves GROUP BY d, l
+), r2 AS (
+  SELECT w2.*, budget, sum(weight) OVER (PARTITION BY d) - coalesce(sum(weight) OVER b, 0) AS rest_w,
+    budget - coalesce(sum(cap) OVER b, 0) AS rest_b
+  FROM w2 JOIN f1 USING (d)
+  WINDOW b AS (PARTITION BY d ORDER BY cap / weight, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f2 AS (
+  SELECT d, l, CASE WHEN cap * rest_w <= weight * rest_b THEN cap
+    ELSE (weight * max(rest_b) FILTER (WHERE cap * rest_w > weight * rest_b) OVER (PARTITION BY d))
+      // max(rest_w) FILTER (WHERE cap * rest_w > weight * rest_b) OVER (PARTITION BY d) END AS budget
+  FROM r2
+), r3 AS (
+  SELECT leaves.*, budget, count(*) OVER (PARTITION BY d, l) - coalesce(count(*) OVER b, 0) AS rest_w,
+    budget - coalesce(sum(cap) OVER b, 0) AS rest_b
+  FROM leaves JOIN f2 USING (d, l)
+  WINDOW b AS (PARTITION BY d, l ORDER BY cap, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f3 AS (
+  SELECT d, l, s, tokens, CASE WHEN cap * rest_w <= rest_b THEN cap
+    ELSE max(rest_b) FILTER (WHERE cap * rest_w > rest_b) OVER (PARTITION BY d, l)
+      // max(rest_w) FILTER (WHERE cap * rest_w > rest_b) OVER (PARTITION BY d, l) END AS budget
+  FROM r3
+), plan AS (
+  SELECT d, l, s, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END::BIGINT AS whole,
+    (budget - CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END * tokens)::BIGINT AS rest
+  FROM f3
+), keyed AS (
+  SELECT doc_id, lang, source, d, l, s, tokens, whole, rest,
+    md5('20240229/' || whole || '/' || coalesce(doc_id::VARCHAR, 'null')) AS key
+  FROM based JOIN plan USING (d, l, s)
+), run AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY d, l, s ORDER BY key) AS upto FROM keyed
+)
+SELECT doc_id, lang, source, unnest(CASE WHEN whole < 3 AND upto <= rest THEN range(whole + 1) ELSE range(whole) END) AS epoch,
+  tokens::BIGINT AS tokens
+FROM run
 """,
 }
