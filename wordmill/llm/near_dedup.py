@@ -16,12 +16,14 @@ with nothing). Documents are linked when their sets overlap by at least
    from the threshold and ``miss``, the chance to lose a pair right at the
    threshold. Bands that no other class shares are dropped before keys are
    formed.
-3. *Verification.* In each bucket every class is compared with the bucket's
-   pivot on full sets. Components of the links follow. Where a bucket still
-   holds several components, the remaining pairs across components are compared
-   too, unless sizes or the distances to the pivot (Jaccard distance is a
-   metric) rule a link out. Pairs inside a component need no comparison: they
-   cannot change it.
+3. *Verification.* In each bucket every class is compared on full sets with the
+   bucket's pivot, the member with most neighbours, such as the text that the
+   others are copies of. Components of the links follow. Where a bucket still
+   holds several components, links across them are searched too, in exact steps:
+   shingles that no other class of such buckets has cannot be common to any
+   pair, which bounds the overlap of two classes from above. Only pairs that the
+   bound allows are formed, once each, and compared on full sets. Pairs inside a
+   component need no comparison: they cannot change it.
 4. *Components* by repeated minimum over neighbours with pointer jumping, all
    in tables; nothing is collected.
 
@@ -41,10 +43,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wordmill.llm.common import quoted, unused_name, utf8
-from wordmill.plans.physical import bounded_broadcast, delete_path, materialize, scratch_path
+from wordmill.plans.physical import bounded_broadcast, delete_path, materialize, materialized, scratch_path
 
 WORDS = 5
 PERCENT = 80
@@ -147,22 +149,18 @@ def _sets(words: int):
     return run
 
 
-@F.arrow_udf(DoubleType())
-def _similarity(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Jaccard similarity of two sets, as a float; see ``_linked`` for the exact
-    test."""
-    out = []
-    for x, y in zip(left.to_pylist(), right.to_pylist()):
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(common / (len(a) + len(b) - common))
-    return pa.array(out, pa.float64())
+OVERLAP = StructType([StructField("common", LongType()), StructField("union", LongType())])
 
 
-def _linked(similarity, percent: int):
-    """100 * intersection >= percent * union. Two different fractions of sets
-    of less than 2**24 shingles differ by more than the tolerance."""
-    return similarity * 100 >= percent - 1e-11
+@F.arrow_udf(OVERLAP)
+def _overlap(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Sizes of the intersection and of the union of two sets."""
+    common, union = [], []
+    for x, y in zip(left.to_pylist(), right.to_pylist()):
+        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        common.append(len(np.intersect1d(a, b, assume_unique=True)))
+        union.append(len(a) + len(b) - common[-1])
+    return pa.StructArray.from_arrays([pa.array(common, pa.int64()), pa.array(union, pa.int64())], OVERLAP.names)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -227,21 +225,17 @@ def near_duplicates(
     sets = _full_sets(texts, classes, buckets, words)
 
     # Every member against the pivot of its bucket.
-    member = buckets.select("key", "class", "n")
-    pivots = materialize(buckets.groupBy("key").agg(F.min(F.struct("class", "n")).alias("pivot")), "near-pivots")
-    starred = member.join(pivots, "key").select(
-        "key", F.col("pivot.class").alias("a"), F.col("pivot.n").alias("n_a"), F.col("class").alias("b"), F.col("n").alias("n_b")
+    pivots = materialize(buckets.groupBy("key").agg(F.max(F.struct("score", "class", "n")).alias("pivot")), "near-pivots")
+    starred = buckets.join(pivots, "key").select(
+        F.col("pivot.class").alias("a"), F.col("pivot.n").alias("n_a"), F.col("class").alias("b"), F.col("n").alias("n_b")
     )
-    starred = starred.filter("a <> b")
-    star = _verified(starred, sets, percent)
-    same = _same_id(classes, signed)
-    first_links = star.filter(_linked(F.col("similarity"), percent)).select("a", "b").unionByName(same)
-    labels = components(first_links)
-
-    rest = _unsettled(member, pivots, star, labels, percent)
-    more = _verified(rest, sets, percent).filter(_linked(F.col("similarity"), percent)).select("a", "b")
+    links = _links(starred.filter("a <> b"), sets, percent).unionByName(_same_id(classes, signed))
+    links = materialize(links, "near-links")
+    labels = components(links)
+
+    more = _links(_unsettled(classes, buckets, sets, labels, s, percent), sets, percent)
     if not more.isEmpty():
-        labels = components(first_links.unionByName(more))
+        labels = components(links.unionByName(more))
 
     labels = labels.withColumnRenamed("node", "class")
     ids = classes.select("class", "first").join(labels, "class", "left")
@@ -261,27 +255,31 @@ def _same_id(classes: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, s: int) -> DataFrame:
-    """``key, class, n`` of every table key that two classes or more share."""
+    """``key, class, n, score`` of every table key that two classes or more
+    share; the score adds up the classes that share a class's bands."""
     bands = classes.select("class", "n", F.posexplode("bands").alias("place", "band"))
-    shared = bands.groupBy("place", "band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("place", "band")
+    shared = bands.groupBy("place", "band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     shared = materialize(shared, "near-bands")
     live = bands.join(shared, ["place", "band"]).groupBy("class").agg(
-        F.first("n").alias("n"), F.collect_list(F.struct("place", "band")).alias("bands")  # 2 * s at most
+        F.first("n").alias("n"),
+        F.sum("m").alias("score"),
+        F.collect_list(F.struct("place", "band")).alias("bands"),  # 2 * s at most
     )
     sides = live.select(
         "class",
         "n",
+        "score",
         F.filter("bands", lambda b: b["place"] < s).alias("left"),
         F.filter("bands", lambda b: b["place"] >= s).alias("right"),
     )
     keys = (
         sides.withColumn("left", F.explode("left"))
         .withColumn("right", F.explode("right"))
-        .select("class", "n", F.xxhash64("left.place", "left.band", "right.place", "right.band").alias("key"))
+        .select("class", "n", "score", F.xxhash64("left.place", "left.band", "right.place", "right.band").alias("key"))
     )
-    keys = materialize(keys, "near-keys")
-    full = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "near-full")
-    return materialize(keys.join(full, "key"), "near-buckets")
+    with materialized(keys, "near-keys") as keys:
+        full = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "near-full")
+        return materialize(keys.join(full, "key"), "near-buckets")
 
 
 def _full_sets(texts: DataFrame, classes: DataFrame, buckets: DataFrame, words: int) -> DataFrame:
@@ -294,38 +292,70 @@ def _full_sets(texts: DataFrame, classes: DataFrame, buckets: DataFrame, words:
     return materialize(sets, "near-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, similarity`` of the distinct pairs whose sizes allow a link."""
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the distinct pairs that are linked on full sets. Sizes that
+    rule a link out save the comparison."""
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     pairs = materialize(pairs.filter(sizes).select("a", "b").distinct(), "near-pairs")
     left = sets.select(F.col("class").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
-    similar = pairs.join(left, "a").join(right, "b").select("a", "b", _similarity("set_a", "set_b").alias("similarity"))
-    return materialize(similar, "near-verified")
-
-
-def _unsettled(member: DataFrame, pivots: DataFrame, star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components, neither of them the pivot,
-    that sizes and distances to the pivot do not rule out."""
-    limit = 1 - percent / 100 + 1e-9
-    pivot = pivots.select("key", F.col("pivot.class").alias("pivot"))
-    known = star.select(F.col("a").alias("pivot"), F.col("b").alias("class"), (1 - F.col("similarity")).alias("far"))
-    placed = (
-        member.join(pivot, "key")
-        .join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
-    )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    common = pairs.join(left, "a").join(right, "b").select("a", "b", _overlap("set_a", "set_b").alias("o"))
+    linked = common.filter(100 * F.col("o.common") >= percent * F.col("o.union"))
+    return materialize(linked.select("a", "b"), "near-links")
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            elements = np.frombuffer(blob, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(elements), pa.DictionaryArray.from_arrays(np.zeros(len(elements), np.int32), [name]).cast(pa.binary())],
+                ["element", "class"],
+            )
+
+
+def _unsettled(
+    classes: DataFrame, buckets: DataFrame, sets: DataFrame, labels: DataFrame, s: int, percent: int
+) -> DataFrame:
+    """Pairs of classes in different components, from buckets that hold more
+    than one, whose overlap may reach the threshold.
+
+    A shingle that one class alone has, of all classes in such buckets, is
+    common to no pair. So two classes have at most ``min(n - alone)`` shingles
+    in common; where that is below the threshold against every size of partner,
+    the class needs no pairs at all. The others meet by the bands of one
+    collection, which is enough to find every pair of a bucket, and each pair
+    is formed at the first band that it shares.
+    """
+    labels = labels.withColumnRenamed("node", "class")
+    named = buckets.select("key", "class").join(labels, "class", "left")
+    named = named.withColumn("component", F.coalesce("component", "class"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     mixed = materialize(mixed.select("key"), "near-mixed")
-    placed = placed.join(mixed, "key").filter("class <> pivot").join(known, ["pivot", "class"], "left")
-    placed = materialize(placed.select("key", "class", "n", "component", "far"), "near-unsettled")
-    a = placed.select("key", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "component", "far")))
-    b = placed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "component", "far")))
-    apart = F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) > limit, F.lit(False))
+    opened = materialize(named.join(mixed, "key").select("class", "component").distinct(), "near-open")
+    elements = sets.join(opened.select("class"), "class", "left_semi").mapInArrow(_elements, "element bigint, class binary")
+    single = elements.groupBy("element").agg(F.count(F.lit(1)).alias("m"), F.min("class").alias("class")).filter("m = 1")
+    alone = materialize(single.groupBy("class").agg(F.count(F.lit(1)).alias("alone")), "near-alone")
+    able = (
+        opened.join(alone, "class", "left")
+        .join(classes.select("class", "n", F.slice("bands", 1, s).alias("bands")), "class")
+        .withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+        .filter(100 * F.col("most") >= percent * F.col("n"))
+        .select("class", "component", "n", "most", "bands")
+    )
+    able = materialize(able, "near-able")
+
+    def side(mark: str) -> DataFrame:
+        place = able.select("*", F.posexplode("bands").alias("place", "band"))
+        return place.select("place", "band", *(F.col(c).alias(f"{c}_{mark}") for c in able.columns))
+
+    within = F.least("most_a", "most_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    same = F.transform(F.arrays_zip("bands_a", "bands_b"), lambda z: z["bands_a"] == z["bands_b"])
+    first = F.array_position(same, True) == F.col("place") + 1
     return (
-        a.join(b, "key")
-        .filter("class_a < class_b AND component_a <> component_b")
-        .filter(~apart & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+        side("a")
+        .join(side("b"), ["place", "band"])
+        .filter((F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & within & first)
         .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b")
     )
 
