@@ -19,11 +19,15 @@ with nothing). Documents are linked when their sets overlap by at least
 3. *Verification.* In each bucket every class is compared on full sets with the
    bucket's pivot, the member with most neighbours, such as the text that the
    others are copies of. Components of the links follow. Where a bucket still
-   holds several components, links across them are searched too, in exact steps:
-   shingles that no other class of such buckets has cannot be common to any
-   pair, which bounds the overlap of two classes from above. Only pairs that the
-   bound allows are formed, once each, and compared on full sets. Pairs inside a
-   component need no comparison: they cannot change it.
+   holds several components, links across them are searched too, in exact steps.
+   Classes around the same hub (the pivot with the highest score that a class
+   has met) are compared by their differences from the hub: with ``added`` and
+   ``removed`` shingles, the overlap of two classes is the hub's size less the
+   union of what they removed, plus the common part of what they added. Classes
+   of different hubs meet by bands; shingles that no other class of such buckets
+   has bound their overlap from above, and pairs that the bound allows are
+   compared on full sets. Pairs inside a component need no comparison: they
+   cannot change it.
 4. *Components* by repeated minimum over neighbours with pointer jumping, all
    in tables; nothing is collected.
 
@@ -43,7 +47,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from wordmill.llm.common import quoted, unused_name, utf8
 from wordmill.plans.physical import bounded_broadcast, delete_path, materialize, materialized, scratch_path
@@ -233,7 +237,9 @@ def near_duplicates(
     links = materialize(links, "near-links")
     labels = components(links)
 
-    more = _links(_unsettled(classes, buckets, sets, labels, s, percent), sets, percent)
+    able = _unsettled(classes, buckets, pivots, sets, labels, s, percent)
+    apart = _links(_across_hubs(able, percent), sets, percent)
+    more = materialize(_around_hubs(able, percent).unionByName(apart), "near-more")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
@@ -314,25 +320,47 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+DIFFERENCE = StructType(
+    [StructField("added", ArrayType(LongType())), StructField("removed", ArrayType(LongType())), StructField("size", LongType())]
+)
+
+
+@F.arrow_udf(DIFFERENCE)
+def _difference(own: pa.Array, hub: pa.Array) -> pa.Array:
+    """What a set has beyond its hub's, what it lacks, and the hub's size. Null
+    for a set that shares less than half with its hub."""
+    rows = []
+    for x, y in zip(own.to_pylist(), hub.to_pylist()):
+        if x is None or y is None:
+            rows.append(None)
+            continue
+        a, b = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+        added, removed = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+        near = 2 * (len(added) + len(removed)) <= len(a) + len(b)
+        rows.append({"added": added, "removed": removed, "size": len(b)} if near else None)
+    longs = pa.list_(pa.int64())
+    return pa.array(rows, pa.struct([("added", longs), ("removed", longs), ("size", pa.int64())]))
+
+
 def _unsettled(
-    classes: DataFrame, buckets: DataFrame, sets: DataFrame, labels: DataFrame, s: int, percent: int
+    classes: DataFrame, buckets: DataFrame, pivots: DataFrame, sets: DataFrame, labels: DataFrame, s: int, percent: int
 ) -> DataFrame:
-    """Pairs of classes in different components, from buckets that hold more
-    than one, whose overlap may reach the threshold.
+    """The classes that may have links across components: those in a bucket
+    with several components, unless too many of their shingles are theirs alone.
 
     A shingle that one class alone has, of all classes in such buckets, is
-    common to no pair. So two classes have at most ``min(n - alone)`` shingles
-    in common; where that is below the threshold against every size of partner,
-    the class needs no pairs at all. The others meet by the bands of one
-    collection, which is enough to find every pair of a bucket, and each pair
-    is formed at the first band that it shares.
+    common to no pair. So a class can share ``most = n - alone`` shingles at
+    most; where that is below the threshold against every size of partner, the
+    class has no link there.
     """
     labels = labels.withColumnRenamed("node", "class")
-    named = buckets.select("key", "class").join(labels, "class", "left")
-    named = named.withColumn("component", F.coalesce("component", "class"))
+    named = buckets.select("key", "class").join(pivots, "key").join(labels, "class", "left")
+    named = named.select("key", "class", "pivot", F.coalesce("component", "class").alias("component"))
+    named = materialize(named, "near-named")
     mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     mixed = materialize(mixed.select("key"), "near-mixed")
-    opened = materialize(named.join(mixed, "key").select("class", "component").distinct(), "near-open")
+    opened = named.join(mixed, "key", "left_semi").groupBy("class", "component").agg(F.max("pivot").alias("pivot"))
+    opened = materialize(opened.select("class", "component", F.col("pivot.class").alias("hub")), "near-open")
     elements = sets.join(opened.select("class"), "class", "left_semi").mapInArrow(_elements, "element bigint, class binary")
     single = elements.groupBy("element").agg(F.count(F.lit(1)).alias("m"), F.min("class").alias("class")).filter("m = 1")
     alone = materialize(single.groupBy("class").agg(F.count(F.lit(1)).alias("alone")), "near-alone")
@@ -341,22 +369,57 @@ def _unsettled(
         .join(classes.select("class", "n", F.slice("bands", 1, s).alias("bands")), "class")
         .withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
         .filter(100 * F.col("most") >= percent * F.col("n"))
-        .select("class", "component", "n", "most", "bands")
+        .select("class", "component", "hub", "n", "most", "bands")
     )
     able = materialize(able, "near-able")
+    own = sets.select("class", F.col("set").alias("own"))
+    hubs = sets.select(F.col("class").alias("hub"), F.col("set").alias("of_hub"))
+    compared = able.join(own, "class").join(hubs, "hub").withColumn("diff", _difference("own", "of_hub"))
+    return materialize(compared.drop("own", "of_hub").dropDuplicates(["class"]), "near-differences")
 
-    def side(mark: str) -> DataFrame:
-        place = able.select("*", F.posexplode("bands").alias("place", "band"))
-        return place.select("place", "band", *(F.col(c).alias(f"{c}_{mark}") for c in able.columns))
 
+def _side(able: DataFrame, mark: str, on: list[str], columns: list[str]) -> DataFrame:
+    return able.select(*on, *(F.col(c).alias(f"{c}_{mark}") for c in columns))
+
+
+def _may_link(percent: int):
+    """Pairs once, across components, that ``most`` allows."""
     within = F.least("most_a", "most_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    return (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & within
+
+
+def _around_hubs(able: DataFrame, percent: int) -> DataFrame:
+    """Links across components between classes of the same hub."""
+    near = able.filter(F.col("diff").isNotNull())
+    columns = ["class", "component", "n", "most", "diff"]
+    a, b = (F.col(f"diff_{m}") for m in "ab")
+    need = percent * (F.col("n_a") + F.col("n_b"))
+    # First by sizes alone, then exactly.
+    at_most = a["size"] - F.greatest(F.size(a["removed"]), F.size(b["removed"])) + F.least(F.size(a["added"]), F.size(b["added"]))
+    common = (
+        a["size"]
+        - F.size(a["removed"])
+        - F.size(b["removed"])
+        + F.size(F.array_intersect(a["removed"], b["removed"]))
+        + F.size(F.array_intersect(a["added"], b["added"]))
+    )
+    pairs = _side(near, "a", ["hub"], columns).join(_side(near, "b", ["hub"], columns), "hub")
+    linked = _may_link(percent) & (at_most * (100 + percent) >= need) & (common * (100 + percent) >= need)
+    return pairs.filter(linked).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+
+
+def _across_hubs(able: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that are not compared around one hub. They meet
+    by the bands of one collection, which is enough to find every pair of a
+    bucket; each pair is formed at the first band that it shares."""
+    placed = able.select("*", F.posexplode("bands").alias("place", "band"), F.col("diff").isNotNull().alias("near"))
+    columns = ["class", "component", "n", "most", "hub", "near", "bands"]
+    pairs = _side(placed, "a", ["place", "band"], columns).join(_side(placed, "b", ["place", "band"], columns), ["place", "band"])
+    done = (F.col("hub_a") == F.col("hub_b")) & F.col("near_a") & F.col("near_b")
     same = F.transform(F.arrays_zip("bands_a", "bands_b"), lambda z: z["bands_a"] == z["bands_b"])
     first = F.array_position(same, True) == F.col("place") + 1
-    return (
-        side("a")
-        .join(side("b"), ["place", "band"])
-        .filter((F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & within & first)
-        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b")
+    return pairs.filter(_may_link(percent) & ~done & first).select(
+        F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b"
     )
 
 
