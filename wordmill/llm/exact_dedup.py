@@ -36,6 +36,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # Only changes since the last snapshot are uploaded after a batch.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # No space is reserved ahead: there is a store for each shuffle partition,
+    # and many of them are small.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 # Every micro-batch takes at most so many files; later batches meet the state
 # of the earlier ones.
