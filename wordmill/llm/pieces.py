@@ -31,7 +31,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from wordmill.llm.common import quoted, utf8
 
 MARK = "▁"
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 300_000
 MAX_CHUNK_CHARS = 20_000_000
 # New chunks go to the library in texts of about so many characters, which
 # costs much less than a call for each chunk.
@@ -146,7 +146,7 @@ def joined_texts(single: list[str]) -> Iterator[str]:
 
 
 # Texts encoded at a time inside a task; bounds the index arrays.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(bodies: list[bytes]) -> Iterator[list[bytes]]:
@@ -187,6 +187,12 @@ def decode_ids(docs: DataFrame, proto: bytes, ids_col: str = "ids", text_col: st
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for batch in batches:
-            yield pa.array([processor.decode(ids) if ids else "" for ids in batch.to_pylist()], pa.string())
+            # One document's ids at a time as Python numbers.
+            flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy().tolist()
+            valid = batch.is_valid().to_pylist()
+            texts = [
+                processor.decode(flat[a:b].tolist()) if ok and b > a else "" for a, b, ok in zip(ends, ends[1:], valid)
+            ]
+            yield pa.array(texts, pa.string())
 
     return docs.withColumn(text_col, decode(quoted(ids_col)))
