@@ -62,16 +62,13 @@ def weight_of(name: Column, weights: Mapping[str, int]) -> Column:
     return F.coalesce(F.try_element_at(table, name), F.lit(1)).cast("bigint")
 
 
-def fill(parent: DataFrame, children: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Spread ``parent.budget`` over children with ``cap`` and ``weight``.
+def fill(joined: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Spread the parent's ``budget``, which is on every row, over the children
+    ``on`` the same parent with ``cap`` and ``weight``.
 
     In order of ``cap / weight`` a child is filled up as long as its capacity
     is within its share of what is left; the others share the rest by weight.
     """
-    if on:
-        joined = children.join(parent, list(on))
-    else:
-        joined = children.join(F.broadcast(parent))  # one root row
     order = Window.partitionBy(*(on or [F.lit(0)])).orderBy(F.col("cap") / F.col("weight"), "name")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -92,18 +89,18 @@ def leaf_budgets(
     leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], total_tokens: int, max_epochs: int
 ) -> DataFrame:
     """``*levels, tokens, budget`` from ``leaves(*levels, tokens)``."""
-    spark = leaves.sparkSession
     sized = leaves.withColumn("cap", F.col("tokens") * max_epochs)
     for level in levels:
         # A node of weight 0 takes part in nothing, whatever its leaves hold.
         sized = sized.filter(weight_of(F.col(level), weights.get(level, {})) > 0)
     capacity = sized.agg(F.sum("cap")).first()[0] or 0
-    budget = spark.createDataFrame([(min(int(total_tokens), capacity),)], "budget bigint")
+    root, budget = min(int(total_tokens), capacity), None
     for depth, level in enumerate(levels):
         path = list(levels[: depth + 1])
         nodes = sized.groupBy(*path).agg(F.sum("cap").alias("cap"))
         nodes = nodes.withColumn("weight", weight_of(F.col(level), weights.get(level, {}))).withColumn("name", F.col(level))
-        budget = fill(budget, nodes, path[:-1]).select(*path, "budget")
+        nodes = nodes.join(budget, path[:-1]) if depth else nodes.withColumn("budget", F.lit(root).cast("bigint"))
+        budget = fill(nodes, path[:-1]).select(*path, "budget")
     return leaves.join(budget, list(levels))
 
 
