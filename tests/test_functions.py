@@ -40,9 +40,9 @@ def test_segment_line(spark):
 
 
 def test_sanitize(spark):
-    df = spark.createDataFrame([("Radio: ZET/1",), ("a" * 60,), ('a<b>c:d"e/f\\g|h?i*j k',)], "s string")
+    df = spark.createDataFrame([("Voice: OAK/1",), ("a" * 60,), ('a<b>c:d"e/f\\g|h?i*j k',)], "s string")
     got = [r[0] for r in df.select(sanitize_path_part("s")).collect()]
-    assert got == ["Radio_ZET1", "a" * 50, "abcdefghij_k"]
+    assert got == ["Voice_OAK1", "a" * 50, "abcdefghij_k"]
 
 
 def test_chunk_fixtures(spark):

@@ -11,7 +11,7 @@ from wordmill.plans import catalog as C
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-Q = E.queries()
+Q = E.QUERIES
 
 
 def rows(df, *cols):

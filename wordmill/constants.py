@@ -51,9 +51,7 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Bounds the size of every aggregation group, whatever the video length.
 SEGMENT_BLOCK_ROWS = 256
 
-# Upper bound for pivot columns (distinct days) in the word x day matrix,
-# and the width up to which the matrix uses one conditional sum per day.
-PIVOT_MAX_DAYS = 10_000
+# Width up to which the word x day matrix uses one conditional sum per day.
 CONDITIONAL_PIVOT_MAX_DAYS = 64
 
 # Skew handling: a join key holding at least HOT_KEY_ROWS rows on the large

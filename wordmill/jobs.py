@@ -91,7 +91,10 @@ def analyze_frequency(
 
     if cache_dir:
         paths = [list_path, transcripts_path] + ([stopwords_path] if stopwords_path else [])
-        key = writers.fingerprint(spark, paths, {"min_length": min_length, "normalizer": getattr(normalizer, "__name__", repr(normalizer))})
+        name = getattr(normalizer, "cache_key", None)
+        if name is None:
+            raise ValueError("a cached analysis needs a normalizer with a cache_key that names its model or table")
+        key = writers.fingerprint(spark, paths, {"min_length": min_length, "normalizer": name})
         counts = writers.cached(spark, cache_dir, key, compute)
     else:
         counts = materialize(compute(), "counts")

@@ -17,7 +17,6 @@ from wordmill.constants import (
     DEFAULT_MIN_LENGTH,
     DEFAULT_TOP_N,
     DEFAULT_TREND_TOP_N,
-    PIVOT_MAX_DAYS,
 )
 from wordmill.functions.text import clean_transcript
 from wordmill.functions.time import day_of
@@ -152,49 +151,37 @@ def top_series(trend: DataFrame, n: int = DEFAULT_TREND_TOP_N) -> DataFrame:
     return trend.join(top, "word", "inner").select("rank", "word", "date", "count").orderBy("rank", "date")
 
 
-def trend_days(trend: DataFrame, max_days: int = PIVOT_MAX_DAYS) -> list[str]:
+def trend_days(trend: DataFrame) -> list[str]:
     """Distinct days of a trend as ``YYYY-MM-DD`` labels, ascending.
 
-    The only driver collect of the analytics: its size is the number of
-    calendar days (checked against ``max_days``), not the data size.
+    The only driver collect of the analytics: one label per calendar day,
+    which are the matrix's column names; it does not grow with the data.
     """
-    rows = (
-        trend.select(F.col("date").cast("date").alias("d"))
-        .filter(F.col("d").isNotNull())
-        .distinct()
-        .orderBy("d")
-        .limit(max_days + 1)
-        .collect()
-    )
-    if len(rows) > max_days:
-        raise ValueError(f"trend spans more than {max_days} days; pass `days` explicitly")
+    rows = trend.select(F.col("date").cast("date").alias("d")).filter(F.col("d").isNotNull()).distinct().orderBy("d").collect()
     return [r["d"].isoformat() for r in rows]
 
 
 def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFrame:
-    """A5 + A6: word x day matrix of counts (missing cells 0) plus ``total``.
+    """A5 + A6: word x day matrix of counts (missing cells 0) plus ``total``,
+    the sum of the row's cells. ``days`` lists the columns; without it, all
+    days of the trend.
 
     Covers all words, not only the top ones. Up to ``CONDITIONAL_PIVOT_MAX_DAYS``
-    day columns: one grouped aggregation with a conditional sum per day and
-    the total as a further sum (a single shuffle with partial aggregation;
-    measured fastest). Wider matrices use Spark's two-phase pivot, whose
-    cost does not grow with days per row; the row total is then summed over
-    the (bounded) day columns. No group is ever collected.
+    day columns: one grouped aggregation with a conditional sum per day (a
+    single shuffle with partial aggregation; measured fastest). Wider matrices
+    use Spark's two-phase pivot, whose cost does not grow with days per row.
+    The result is the same either way. No group is ever collected.
     """
     labels = list(days) if days is not None else trend_days(trend)
-    if len(labels) > PIVOT_MAX_DAYS:
-        raise ValueError(f"more than {PIVOT_MAX_DAYS} day columns")
     # Rows are matched on the date value (an int compare per cell); the
     # ``YYYY-MM-DD`` labels are only the column names.
     dates = [dt.date.fromisoformat(d) for d in labels]
     dated = trend.select("word", F.col("date").cast("date").alias("_day"), "count")
     if len(labels) <= CONDITIONAL_PIVOT_MAX_DAYS:
-        cells = [
-            F.coalesce(F.sum(F.when(F.col("_day") == F.lit(d), F.col("count"))), F.lit(0)).cast("bigint").alias(label)
-            for d, label in zip(dates, labels)
-        ]
-        return dated.groupBy("word").agg(*cells, F.sum("count").cast("bigint").alias("total"))
-    wide = dated.groupBy("word").pivot("_day", dates).agg(F.sum("count"))
-    filled = [F.coalesce(wide[i + 1], F.lit(0)).cast("bigint") for i in range(len(dates))]
-    total = F.aggregate(F.array(*filled), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return wide.select("word", *[c.alias(d) for c, d in zip(filled, labels)], total.alias("total"))
+        sums = [F.sum(F.when(F.col("_day") == F.lit(d), F.col("count"))).alias(label) for d, label in zip(dates, labels)]
+        wide = dated.groupBy("word").agg(F.count(F.lit(1)).alias("_n"), *sums).drop("_n")
+    else:
+        wide = dated.groupBy("word").pivot("_day", dates).agg(F.sum("count"))
+    cells = [F.coalesce(wide[i + 1], F.lit(0)).cast("bigint") for i in range(len(dates))]
+    total = F.aggregate(F.array(*cells), F.lit(0).cast("bigint"), lambda acc, x: acc + x) if cells else F.lit(0).cast("bigint")
+    return wide.select("word", *[c.alias(d) for c, d in zip(cells, labels)], total.alias("total"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.functions.time import instant_param, parse_date_param
+from wordmill.functions.time import parse_date_param, timestamp_param
 
 
 def union_lists(*lists: DataFrame) -> DataFrame:
@@ -48,30 +48,34 @@ def channel_condition(channels: Sequence[str], column: str = "channel_name") ->
     return F.coalesce(F.col(column).isin(list(channels)), F.lit(False))
 
 
-def _instant(column: str) -> Column:
-    # The publish time as an instant. Zoned text ("...Z", "+02:00") is exact
-    # in any session zone; text without a zone is read in the session zone.
-    return F.try_to_timestamp(F.col(column))
+# A time of day followed by a zone: "Z", "UTC", "+02:00", "+0200", "+02".
+_ZONE = r"(:[0-9]{2}(?:\.[0-9]+)?)\s*(?:[Zz]|UTC|[+-][0-9]{2}(?::?[0-9]{2})?)$"
+
+
+def _wall_clock(column: str) -> Column:
+    """X9 + X10: the publish time as written, its zone dropped (not
+    converted). The session zone plays no part."""
+    return F.regexp_replace(F.trim(F.col(column)), _ZONE, "$1").try_cast("timestamp_ntz")
 
 
 def start_condition(start_date: str, column: str = "published_at") -> Column:
-    """publish time at or after ``start_date`` 00:00 UTC; unparsable ->
-    false. Compared as instants: no per-row zone conversion."""
-    return F.coalesce(_instant(column) >= instant_param(parse_date_param(start_date)), F.lit(False))
+    """publish wall clock at or after ``start_date`` 00:00; unparsable ->
+    false."""
+    return F.coalesce(_wall_clock(column) >= timestamp_param(parse_date_param(start_date)), F.lit(False))
 
 
 def end_condition(end_date: str, column: str = "published_at", inclusive_day: bool = False) -> Column:
-    """publish time at or before ``end_date`` 00:00:00 UTC.
+    """publish wall clock at or before ``end_date`` 00:00:00.
 
     As originally defined the end day itself is excluded except for its very
     first instant; ``inclusive_day=True`` keeps the whole end day instead.
     """
     end = parse_date_param(end_date)
-    ts = _instant(column)
+    ts = _wall_clock(column)
     if inclusive_day:
-        cond = ts < instant_param(end + dt.timedelta(days=1))
+        cond = ts < timestamp_param(end + dt.timedelta(days=1))
     else:
-        cond = ts <= instant_param(end)
+        cond = ts <= timestamp_param(end)
     return F.coalesce(cond, F.lit(False))
 
 

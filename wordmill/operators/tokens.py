@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from wordmill.constants import BROADCAST_MAX_ROWS, DEFAULT_MIN_LENGTH
-from wordmill.functions.text import token_array
+from wordmill.functions.text import strip_ws, token_array
 from wordmill.plans.physical import bounded_broadcast
 
 Normalizer = Callable[[DataFrame, str, Sequence[str]], DataFrame]
@@ -47,7 +47,8 @@ class LemmaTable:
     table (see :func:`counted_words`), never every token occurrence.
     """
 
-    def __init__(self, lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+    def __init__(self, lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None):
+        self.cache_key = cache_key
         table = lemmas.select(F.col("token").alias("_token"), F.col("lemma").alias("_lemma"))
         self.table = bounded_broadcast(table, max_broadcast_rows)
 
@@ -59,16 +60,17 @@ class LemmaTable:
         return self.map_words(regex_tokens(df, text_col, keep), keep)
 
 
-def lemma_table(lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> LemmaTable:
-    return LemmaTable(lemmas, max_broadcast_rows)
+def lemma_table(lemmas: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS, cache_key: str | None = None) -> LemmaTable:
+    return LemmaTable(lemmas, max_broadcast_rows, cache_key)
 
 
-def model_normalizer(load_model: Callable[[], Callable[[str], list[str]]]) -> Normalizer:
+def model_normalizer(load_model: Callable[[], Callable[[str], list[str]]], cache_key: str | None = None) -> Normalizer:
     """Normalizer backed by a Python model (tokenizer + lemmatizer).
 
     ``load_model()`` runs once per task (not per row); the returned callable
     maps one text to its list of lemmas. Arrow moves texts in batches. This
     is the slow path: use it only when the words must come from a model.
+    ``cache_key`` names the model and its version; cached results need it.
     """
 
     @F.pandas_udf(ArrayType(StringType()))
@@ -80,15 +82,18 @@ def model_normalizer(load_model: Callable[[], Callable[[str], list[str]]]) -> No
     def normalize(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
         return df.select(*keep, F.explode(_lemmas(F.col(text_col))).alias("word"))
 
+    normalize.cache_key = cache_key
     return normalize
 
 
 def drop_stopwords(words: DataFrame, stopwords: Iterable[str] | DataFrame | None) -> DataFrame:
-    """Remove stop words (exact match on the lower-cased word)."""
+    """Remove stop words. Entries of a list or of a frame's first
+    column are stripped and lower-cased and then match exactly."""
     if stopwords is None:
         return words
     if isinstance(stopwords, DataFrame):
-        table = bounded_broadcast(stopwords.select(F.col(stopwords.columns[0]).alias("word")).distinct())
+        word = F.lower(strip_ws(stopwords.columns[0]))
+        table = bounded_broadcast(stopwords.select(word.alias("word")).filter("word <> ''").distinct())
         return words.join(table, "word", "left_anti")
     values = sorted({w.strip().lower() for w in stopwords if w and w.strip()})
     if not values:
@@ -143,3 +148,6 @@ def counted_words(
         return mapped.groupBy(*keys, "word").agg(F.sum("count").cast("bigint").alias("count"))
     words = tokens(df, text_col, keys, normalizer, stopwords, min_len)
     return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))
+
+
+regex_tokens.cache_key = "regex"

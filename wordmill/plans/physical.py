@@ -44,13 +44,12 @@ def small_table(
 ) -> DataFrame:
     """A driver-side parameter table, marked for broadcast.
 
-    Its size is known before the job starts, so the broadcast is bounded by
-    construction; a parameter list above ``max_rows`` is refused.
+    Its size is known before the job starts; a list above ``max_rows`` is
+    returned without the hint, and Catalyst picks the join.
     """
     rows = list(rows)
-    if len(rows) > max_rows:
-        raise ValueError(f"parameter table has {len(rows)} rows; limit is {max_rows}")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= max_rows else df
 
 
 # Fixed in-memory width of atomic columns; strings, binaries and nested
@@ -81,7 +80,9 @@ def row_bytes(schema: StructType) -> Column:
 def broadcast_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
     """``(rows, bytes)`` of ``df``, reading at most ``max_rows + 1`` rows
     (one job, one result row to the driver)."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")).first()
+    # Rows are reduced to their size before the limit gathers them.
+    sizes = df.select(row_bytes(df.schema).alias("b")).limit(max_rows + 1)
+    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 

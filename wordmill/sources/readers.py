@@ -3,9 +3,9 @@ gives an empty frame with that schema instead of an error."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,17 +29,16 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def read_video_list(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A video list CSV (header, quoted multi-line fields, every
-    column a string, only an empty cell is null); optional projection."""
+    column a string, only an empty cell is null); optional projection.
+    Columns go by the names in the header; a missing one is null."""
     if not path_exists(spark, path):
         df = empty(spark, schemas.VIDEOS)
     else:
-        df = (
-            spark.read.schema(schemas.VIDEOS)
-            .option("header", True)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path)
+        # Without a schema every column is a string under its header's name.
+        read = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        have = set(read.columns)
+        df = read.select(
+            *(F.col(f.name) if f.name in have else F.lit(None).cast("string").alias(f.name) for f in schemas.VIDEOS.fields)
         )
     return df.select(*columns) if columns else df
 
@@ -81,16 +80,51 @@ def read_transcript_tree(spark: SparkSession, base_dir: str) -> DataFrame:
     """
     if not path_exists(spark, base_dir):
         return empty(spark, schemas.TRANSCRIPTS)
-    raw = spark.read.option("recursiveFileLookup", True).text(base_dir, wholetext=True)
-    base = base_dir.rstrip("/").split(":", 1)[-1] if base_dir.startswith("file:") else base_dir.rstrip("/")
-    pattern = re.escape(base) + r"/([^/]+)/([^/]+)\.txt$"
-    files = raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    files = files.filter(F.col("path").rlike(pattern))
-    return files.select(
-        F.regexp_extract("path", pattern, 1).alias("channel_id"),
-        F.regexp_extract("path", pattern, 2).alias("video_id"),
-        "text",
-    )
+    # Spark's file sources hide names with a leading "_" or ".", which video
+    # ids may have, so the tasks list and read the files themselves.
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(base_dir)
+    fs = root.getFileSystem(conf)
+    uri = fs.makeQualified(root).toUri()
+    local = uri.getScheme() == "file"
+    base = uri.getPath() if local else fs.makeQualified(root).toString()
+    channels = [(s.getPath().getName(),) for s in fs.listStatus(root) if s.isDirectory()]
+    folders = spark.createDataFrame(channels, "channel_id string").repartition("channel_id")
+    files = folders.mapInPandas(_list_folders(base, local), "channel_id string, video_id string").repartition("channel_id", "video_id")
+    return files.mapInPandas(_read_files(base, local), "channel_id string, video_id string, text string")
+
+
+def _file_system(base: str, local: bool):
+    """The store of ``base`` and the folder's path in it."""
+    from pyarrow import fs
+
+    return (fs.LocalFileSystem(), base) if local else fs.FileSystem.from_uri(base)
+
+
+def _list_folders(base: str, local: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = _file_system(base, local)
+        for batch in batches:
+            for channel in batch["channel_id"]:
+                found = store.get_file_info(fs.FileSelector(f"{root}/{channel}"))
+                names = [f.base_name[: -len(".txt")] for f in found if f.is_file and f.base_name.endswith(".txt")]
+                yield pd.DataFrame({"channel_id": [channel] * len(names), "video_id": names}, dtype=object)
+
+    return run
+
+
+def _read_files(base: str, local: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = _file_system(base, local)
+        for batch in batches:
+            for channel, video in zip(batch["channel_id"], batch["video_id"]):
+                with store.open_input_stream(f"{root}/{channel}/{video}.txt", compression=None) as f:
+                    text = f.read().decode("utf-8", "replace")
+                yield pd.DataFrame({"channel_id": [channel], "video_id": [video], "text": [text]}, dtype=object)
+
+    return run
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from wordmill.operators.analytics import sorted_counts, sorted_trend
 from wordmill.operators.ingest import new_rows
+from wordmill.plans.physical import delete_path
 from wordmill.sources.readers import empty, path_exists
 
 
@@ -23,13 +24,15 @@ def _writer(df: DataFrame, fmt: str, mode: str):
     w = df.write.mode(mode)
     if fmt == "csv":
         w = w.option("header", True).option("escape", '"')
+        w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     return w.format(fmt)
 
 
 def append_new(batch: DataFrame, target: str, key: str = "video_id", fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """K1: append the rows of ``batch`` whose ``key`` is not yet in
     ``target`` (created if absent). Duplicates inside the batch are kept.
-    Returns the appended rows (a lazily evaluated frame).
+    Returns the appended rows (a lazily evaluated frame). Without new rows
+    an existing target is not written.
 
     The target's ids are read before the write starts (file listing at plan
     time), so re-running the same batch appends nothing.
@@ -37,10 +40,15 @@ def append_new(batch: DataFrame, target: str, key: str = "video_id", fmt: str =
     spark = batch.sparkSession
     existing = None
     if path_exists(spark, target):
-        reader = spark.read.schema(schema or batch.schema)
-        existing = reader.option("header", True).csv(target) if fmt == "csv" else reader.format(fmt).load(target)
+        if fmt == "csv":
+            # As the lists are read: by header, with multi-line fields.
+            reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            existing = reader.csv(target)
+        else:
+            existing = spark.read.schema(schema or batch.schema).format(fmt).load(target)
     rows = new_rows(batch, existing, key)
-    _writer(rows, fmt, "append").save(target)
+    if existing is None or not rows.isEmpty():
+        _writer(rows, fmt, "append").save(target)
     return rows
 
 
@@ -73,24 +81,32 @@ def write_transcripts(transcripts: DataFrame, path: str, mode: str = "append") -
 class StateTable:
     """A small state table kept as numbered versions.
 
-    ``write(df, version)`` replaces exactly one version partition (dynamic
-    partition overwrite), so a replayed micro-batch rewrites its own
-    version; ``read()`` returns the highest version, or an empty frame.
+    Each version is a folder ``v=<n>`` of its own, also when it has no rows.
+    ``write(df, version)`` replaces exactly that folder, so a replayed
+    micro-batch rewrites its own version; ``read()`` returns the highest
+    committed version, or an empty frame. The newest ``KEEP`` versions stay,
+    older ones are deleted after a write.
     """
 
+    KEEP = 5
+
     def __init__(self, path: str, schema: StructType):
-        self.path = path
+        self.path = path.rstrip("/")
         self.schema = schema
 
+    def versions(self, spark: SparkSession) -> list[int]:
+        """Committed versions, ascending."""
+        if not path_exists(spark, self.path):
+            return []
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+        found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+        return sorted(v for v in found if path_exists(spark, f"{self.path}/v={v}/_SUCCESS"))
+
     def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
         """Highest written version (below ``before`` when given)."""
-        if not path_exists(spark, self.path):
-            return None
-        versions = spark.read.parquet(self.path)
-        if before is not None:
-            versions = versions.filter(F.col("version") < int(before))
-        row = versions.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        return max((v for v in self.versions(spark) if before is None or v < int(before)), default=None)
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The latest version, or with ``before`` the latest version older
@@ -100,17 +116,14 @@ class StateTable:
         v = self.latest_version(spark, before)
         if v is None:
             return empty(spark, self.schema)
-        df = spark.read.parquet(self.path).filter(F.col("version") == v)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        return spark.read.schema(self.schema).parquet(f"{self.path}/v={v}")
 
     def write(self, df: DataFrame, version: int) -> None:
-        out = df.select(*[f.name for f in self.schema.fields]).withColumn("version", F.lit(int(version)).cast("bigint"))
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("version")
-            .parquet(self.path)
-        )
+        spark = df.sparkSession
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        out.write.mode("overwrite").parquet(f"{self.path}/v={int(version)}")
+        for old in self.versions(spark)[: -self.KEEP]:
+            delete_path(spark, f"{self.path}/v={old}")
 
 
 def append_log(entries: DataFrame, path: str) -> None:
