@@ -53,8 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the digest of what they decode to."""
     proto = pieces.read_model(PIECE_MODEL)
-    encoded = pieces.encode_texts(docs.select("doc_id", "lang", "source", "text"), proto)
-    return pieces.decode_ids(encoded, proto).select(
+    return pieces.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), proto).select(
         "doc_id",
         "lang",
         "source",

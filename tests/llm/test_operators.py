@@ -293,7 +293,7 @@ def test_pieces(spark, clashing, empty):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     proto = pieces.read_model(MODEL)
     done = pieces.decode_ids(pieces.encode_texts(frame, proto), proto)
-    for r in done.collect():
+    for r in [*done.collect(), *pieces.encode_and_decode(frame, proto).collect()]:
         assert list(r.ids) == library.encode(texts[r.doc_id]) and r.decoded == library.decode(list(r.ids))
     assert pieces.encode_texts(clashing, proto).count() == clashing.count()  # replaces ``ids``
     assert pieces.encode_texts(empty, proto).count() == 0

@@ -18,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH_ROWS = 500
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def long_rows(df: DataFrame) -> None:
+    """Whole documents are long rows: lower the session's Arrow batches to
+    ``BATCH_ROWS`` rows (never raise them), so that a Python worker holds about
+    a megabyte or two of text at a time. Batches are cut when a plan runs, so
+    the setting stays."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, BATCH_ROWS)
+
+
 def utf8(text: Column) -> Column:
     """The UTF-8 bytes of a text column; null counts as empty. Python tasks
     take bytes: ``bytes.lower`` changes A-Z only, and text that is not valid

@@ -37,7 +37,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from wordmill.llm.common import quoted, unused_name, utf8
+from wordmill.llm.common import long_rows, quoted, unused_name, utf8
 
 # The phrases every scan has, with their labels.
 BASE_PHRASES = {
@@ -236,6 +236,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", more_phrases: dict[st
     """``docs`` with ``n_words``, ``places`` (word, label, base), ``expressions``
     (text, valid, level, licenses) and ``score`` (0: no notice found, towards
     1: surely licensed text)."""
+    long_rows(docs)
     phrases = {p: (label, False) for p, label in {**MORE_PHRASES, **TAG_PHRASES, **(more_phrases or {})}.items()}
     phrases |= {p: (label, True) for p, label in BASE_PHRASES.items()}
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from wordmill.llm.common import SPACE_BYTES, quoted, unused_name, utf8
+from wordmill.llm.common import SPACE_BYTES, long_rows, quoted, unused_name, utf8
 from wordmill.plans.physical import bounded_broadcast, materialize
 
 MIN_CHARS = 20
@@ -194,6 +194,7 @@ def repeated_lines(
     max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
     """``(holder, line)``: the keys that document ``holder`` loses."""
+    long_rows(docs)
     spark = docs.sparkSession
     known = docs.filter(quoted(id_col).isNotNull())
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))

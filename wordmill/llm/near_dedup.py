@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from wordmill.llm.common import quoted, unused_name, utf8
+from wordmill.llm.common import long_rows, quoted, unused_name, utf8
 from wordmill.plans.physical import bounded_broadcast, delete_path, materialize, materialized, scratch_path
 
 WORDS = 5
@@ -57,7 +57,7 @@ PERCENT = 80
 BAND = 3  # minhashes in a band
 MISS = 2e-5
 SEED = 17
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -212,6 +212,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc, n_shingles, component, class`` per row of ``docs``; ``component``
     is the smallest id reachable over links."""
+    long_rows(docs)
     s = n_bands(percent, band, miss)
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(quoted(id_col).alias("doc"), utf8(quoted(text_col)).alias("text"))

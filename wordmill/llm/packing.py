@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import quoted
+from wordmill.llm.common import long_rows, quoted
 
 ROW_LENGTH = 2048
 ROWS_PER_MATRIX = 64
@@ -195,6 +195,7 @@ def pack_ids(
 ) -> DataFrame:
     """Matrices of packed rows (see ``SCHEMA``). Ids are stored in two bytes if
     ``vocabulary`` allows it, else in four."""
+    long_rows(docs)
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     runs = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(ids_col).cast("array<int>").alias("ids"))
     return runs.mapInArrow(_pack(row_length, rows_per_matrix, end_id, pad_id, dtype, window_ids), SCHEMA)

@@ -26,12 +26,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from wordmill.llm.common import quoted, utf8
+from wordmill.llm.common import long_rows, quoted, unused_name, utf8
 
 MARK = "▁"
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 150_000
 MAX_CHUNK_CHARS = 20_000_000
 # New chunks go to the library in texts of about so many characters, which
 # costs much less than a call for each chunk.
@@ -162,37 +162,64 @@ def slices(bodies: list[bytes]) -> Iterator[list[bytes]]:
         yield part
 
 
+def encode_batch(table: ChunkTable, batch: pa.Array) -> pa.ListArray:
+    parts = [table.encode([b.decode("utf-8", "replace") for b in part]) for part in slices(batch.to_pylist())]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
+def decode_batch(model: sentencepiece.SentencePieceProcessor, batch: pa.ListArray) -> pa.Array:
+    """One document's ids at a time as Python numbers."""
+    flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy().tolist()
+    valid = batch.is_valid().to_pylist()
+    texts = [model.decode(flat[a:b].tolist()) if ok and b > a else "" for a, b, ok in zip(ends, ends[1:], valid)]
+    return pa.array(texts, pa.string())
+
+
 def encode_texts(docs: DataFrame, proto: bytes, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of the text as ``array<int>``, as the library's
     ``encode`` gives them (no begin or end ids)."""
+    long_rows(docs)
     model = docs.sparkSession.sparkContext.broadcast(proto)
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = ChunkTable(model.value)
         for batch in batches:
-            parts = [
-                table.encode([b.decode("utf-8", "replace") for b in part]) for part in slices(batch.to_pylist())
-            ]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            yield encode_batch(table, batch)
 
     return docs.withColumn(ids_col, encode(utf8(quoted(text_col))))
 
 
 def decode_ids(docs: DataFrame, proto: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the text of the ids, as the library's ``decode``."""
+    long_rows(docs)
     model = docs.sparkSession.sparkContext.broadcast(proto)
 
     @F.arrow_udf(StringType())
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for batch in batches:
-            # One document's ids at a time as Python numbers.
-            flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy().tolist()
-            valid = batch.is_valid().to_pylist()
-            texts = [
-                processor.decode(flat[a:b].tolist()) if ok and b > a else "" for a, b, ok in zip(ends, ends[1:], valid)
-            ]
-            yield pa.array(texts, pa.string())
+            yield decode_batch(processor, batch)
 
     return docs.withColumn(text_col, decode(quoted(ids_col)))
+
+
+ROUND_TRIP = StructType([StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
+
+
+def encode_and_decode(docs: DataFrame, proto: bytes, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: both directions in one Python
+    task, which takes half the workers of the two operators in a row."""
+    long_rows(docs)
+    model = docs.sparkSession.sparkContext.broadcast(proto)
+
+    @F.arrow_udf(ROUND_TRIP)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = ChunkTable(model.value)
+        for batch in batches:
+            ids = encode_batch(table, batch)
+            yield pa.StructArray.from_arrays([ids, decode_batch(table.model, ids)], ROUND_TRIP.names)
+
+    out = unused_name(docs, "pieces_out")
+    done = docs.withColumn(out, both(utf8(quoted(text_col))))
+    return done.withColumns({name: F.col(out)[name] for name in ROUND_TRIP.names}).drop(out)

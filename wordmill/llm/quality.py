@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from wordmill.llm.common import SPACE_BYTES, quoted, unused_name, utf8
+from wordmill.llm.common import SPACE_BYTES, long_rows, quoted, unused_name, utf8
 from wordmill.plans.physical import materialize
 
 # Fixed values of the counted rules.
@@ -53,7 +53,7 @@ CALIBRATION_SHARE = 4  # every fourth labelled row
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 SHIFT = np.uint64(64 - BLOCK_BITS)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 
 class WordHashes(dict):
@@ -186,6 +186,7 @@ def fit_quality(
     max_rows: int = MAX_ROWS,
 ) -> QualityModel | None:
     """Fit and calibrate the classifier on labelled rows of ``docs``."""
+    long_rows(docs)
     # Bounded by max_rows, so the broadcast is too; the texts are not shuffled.
     sample = F.broadcast(labelled_sample(docs, labels, id_col, label_col, max_rows))
     texts = docs.join(sample, quoted(id_col) == F.col("sample_id")).select(
@@ -242,6 +243,7 @@ def score_quality(
 ) -> DataFrame:
     """``docs`` with the counted rules, ``probability`` (of good quality),
     ``base_failed`` and ``kept``."""
+    long_rows(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model and model.parts())
 
     @F.arrow_udf(SCORES)

@@ -66,9 +66,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     proto = pieces.read_model(PIECE_MODEL)
-    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), proto)
-    decoded = pieces.decode_ids(encoded, proto)
-    return decoded.select(
+    done = pieces.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), proto)
+    return done.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
