@@ -15,7 +15,8 @@ largest document id that holds them.
    lines to step 3 but changes no result.
 3. Only lines whose hash is in *twice* are shuffled, as full keys. Counting
    the documents of each key confirms or rejects the suspicion exactly, and
-   the largest id keeps the key.
+   the largest id keeps the key. From there on a key is its 128-bit digest:
+   documents are told which digests they lose, not which lines.
 
 Defined cases: null text is one empty line, as is empty text; rows with a
 null id keep all lines and do not count as holders; rows that share an id are
@@ -169,16 +170,18 @@ def twice_filter(texts: DataFrame, min_chars: int, max_bytes: int) -> np.ndarray
 def _suspects(twice: Broadcast, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
+            ids, keys = [], []  # distinct keys of each document
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = long_keys(text, min_chars)
                 keys += found
                 ids += [doc_id] * len(found)
             known = holds(twice.value, *bit_places(hash_keys(keys), len(twice.value))) if keys else []
+            lines = [k for k, y in zip(keys, known) if y]
             yield pa.RecordBatch.from_pydict(
                 {
                     "holder": pa.array([i for i, y in zip(ids, known) if y], batch.column(0).type),
-                    "line": pa.array([k for k, y in zip(keys, known) if y], pa.binary()),
+                    "digest": pa.array(map(xxhash.xxh3_128_digest, lines), pa.binary()),
+                    "line": pa.array(lines, pa.binary()),
                 }
             )
 
@@ -193,7 +196,7 @@ def repeated_lines(
     min_docs: int = MIN_DOCS,
     max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
-    """``(holder, line)``: the keys that document ``holder`` loses."""
+    """``(holder, digest)``: the digests of the keys that document ``holder`` loses."""
     long_rows(docs)
     spark = docs.sparkSession
     known = docs.filter(quoted(id_col).isNotNull())
@@ -201,20 +204,21 @@ def repeated_lines(
     twice = spark.sparkContext.broadcast(twice_filter(known.select(text.alias("text")), min_chars, max_filter_bytes))
     id_type = docs.schema[id_col].dataType.simpleString()
     suspects = known.select(quoted(id_col).alias("holder"), text.cast("binary").alias("text")).mapInArrow(
-        _suspects(twice, min_chars), f"holder {id_type}, line binary"
+        _suspects(twice, min_chars), f"holder {id_type}, digest binary, line binary"
     )
     # Written once: read for the count and for the join. Read back, both join
     # sides are plain shuffles, so AQE can split a line that a third of all
     # documents hold.
     suspects = materialize(suspects, "line-suspects")
     confirmed = (
-        suspects.groupBy("line")
+        suspects.groupBy("digest", "line")
         .agg(F.count_distinct("holder").alias("n"), F.max("holder").alias("keeper"))
         .filter(F.col("n") >= min_docs)
-        .select("line", "keeper")
+        .select("digest", "keeper")
     )
     confirmed = materialize(confirmed, "line-repeats")
-    return suspects.join(confirmed, "line").filter(F.col("holder") < F.col("keeper")).select("holder", "line")
+    held = suspects.select("holder", "digest").join(confirmed, "digest")
+    return held.filter(F.col("holder") < F.col("keeper")).select("holder", "digest")
 
 
 KEPT = StructType(
@@ -230,7 +234,7 @@ def _without(text: pa.Array, lost: pa.Array) -> pa.Array:
         kept = lines
         if drop:
             drop = set(drop)
-            kept = [line for line in lines if line_key(line) not in drop]
+            kept = [line for line in lines if xxhash.xxh3_128_digest(line_key(line)) not in drop]
         texts.append(body if kept is lines else b"\n".join(kept))
         n_lines.append(len(lines))
         n_dropped.append(len(lines) - len(kept))
@@ -251,12 +255,12 @@ def dedup_lines(
     """``docs`` with the kept lines as text, ``n_lines`` (before) and
     ``n_dropped``.
 
-    The lines to drop are collected per document (no more than the document
-    has) and written; if they are small enough they are broadcast and the
+    The digests to drop are collected per document (no more than the document
+    has lines) and written; if they are small enough they are broadcast and the
     texts are not shuffled, else both sides are joined by document id.
     """
     lost = repeated_lines(docs, id_col, text_col, min_chars, min_docs, max_filter_bytes)
-    lost = materialize(lost.groupBy("holder").agg(F.collect_set("line").alias("lost")), "line-drops")
+    lost = materialize(lost.groupBy("holder").agg(F.collect_set("digest").alias("lost")), "line-drops")
     lost_col, out = unused_name(docs, "lost_lines"), unused_name(docs, "kept_lines")
     holder = unused_name(docs, "lost_holder")
     lost = bounded_broadcast(lost.select(F.col("holder").alias(holder), F.col("lost").alias(lost_col)))
