@@ -84,6 +84,18 @@ def test_line_dedup(rows, clashing, filter_bytes):
     assert set(CLASHES) <= set(done.columns)
 
 
+def test_line_dedup_without_broadcast(spark, rows, clashing):
+    """Drops too large to broadcast are joined by document id, same result."""
+    bound = "wordmill.broadcast.maxBytes"
+    spark.conf.set(bound, "1")
+    try:
+        done = line_dedup.dedup_lines(clashing)
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in done.collect()}
+    finally:
+        spark.conf.unset(bound)
+    assert got == drop_lines([(r[0], r[1]) for r in rows])
+
+
 def test_line_dedup_ids(spark, empty):
     line = "a line of twenty characters"
     rows = [(None, line), (1, line), (1, line), (2, line), (None, None)]
