@@ -97,3 +97,22 @@ def test_salted_join_null_keys(spark, all_hot, how):
     assert got == want
     salts = big.filter(F.col("k").isNull()).select(F.pmod(F.xxhash64("id"), F.lit(1 << 16)).alias("s")).distinct().count()
     assert salts > 250
+
+
+def test_hot_list_is_bounded(spark, all_hot, monkeypatch):
+    """Keys beyond the hot list's length are joined without salt."""
+    monkeypatch.setattr("wordmill.plans.physical.HOT_KEYS_MAX", 1)
+    big = spark.createDataFrame([("a", i) for i in range(5)] + [("b", i) for i in range(5)] + [("c", 9)], "k string, id int")
+    keyed = spark.createDataFrame([("a", 5, "x"), ("b", 5, "y"), ("d", 0, "z")], "k string, n int, v string")
+    for count_col in ("n", None):
+        got = salted_join(big, keyed, ["k"], "left", count_col, ["id"]).groupBy("k", "v").count().collect()
+        assert sorted((r["k"], r["v"], r["count"]) for r in got if r["v"]) == [("a", "x", 5), ("b", "y", 5)]
+        assert [r["count"] for r in got if r["v"] is None] == [1]
+
+
+def test_repeated_listing_keeps_every_row(spark, all_hot):
+    vids = spark.createDataFrame([("a",), ("a",), ("a",), (None,), ("b",)], "video_id string")
+    state = spark.sql("SELECT 'a' AS video_id, 6L AS attempts, TIMESTAMP_NTZ '2025-01-01 00:00:00' AS last_attempt")
+    got = T.retry_status(vids, state, "2025-02-01 00:00:00").collect()
+    rows = sorted((str(r["video_id"]), r["attempts"], r["eligible"]) for r in got)
+    assert rows == [("None", None, True), ("a", 6, False), ("a", 6, False), ("a", 6, False), ("b", None, True)]

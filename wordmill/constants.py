@@ -58,4 +58,6 @@ CONDITIONAL_PIVOT_MAX_DAYS = 64
 # side is split over SALT_BUCKETS tasks (session conf overrides:
 # wordmill.skew.hotKeyRows, wordmill.skew.saltBuckets).
 HOT_KEY_ROWS = 1_000_000
+# Length of the broadcast hot-key list.
+HOT_KEYS_MAX = 10_000
 SALT_BUCKETS = 64

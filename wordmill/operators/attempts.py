@@ -71,9 +71,20 @@ def retry_eligible(attempts: Column, last_attempt: Column, now: Column) -> Colum
 
 
 def retry_status(videos: DataFrame, state: DataFrame, now, key: str = "video_id") -> DataFrame:
-    """J7 + F14: every listed video with its state and ``eligible`` flag."""
+    """J7 + F14: every listed video with its state and ``eligible`` flag.
+
+    The list's own keys are folded together with the state, so the counts that
+    find often-listed videos come from the same aggregate.
+    """
     now_col = timestamp_param(now) if not isinstance(now, Column) else now
-    joined = salted_join(videos, state.select(key, "attempts", "last_attempt"), [key], "left", None, videos.columns)
+    listed = videos.select(
+        key, F.lit(None).cast("bigint").alias("attempts"), F.lit(None).cast("timestamp_ntz").alias("last_attempt"), F.lit(1).alias("_n")
+    )
+    known = state.select(key, "attempts", "last_attempt", F.lit(0).alias("_n"))
+    facts = known.unionByName(listed).groupBy(key).agg(
+        F.max("attempts").alias("attempts"), F.max("last_attempt").alias("last_attempt"), F.sum("_n").alias("_n")
+    )
+    joined = salted_join(videos, facts, [key], "left", "_n", videos.columns).drop("_n")
     return joined.withColumn("eligible", retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col))
 
 
@@ -100,7 +111,7 @@ def classify_outcomes(
     5. ``unavailable`` - nothing fetched or empty (failure, recorded).
 
     ``fetched`` holds ``key, n_segments, saved``. The per-video facts (retry
-    state, landed, fetched, saved) are stacked with a union and folded by
+    state, landed, fetched, saved, times listed) are stacked with a union and folded by
     one grouped aggregate (partial aggregation, one row per video), then
     joined to the list once; a video listed very many times is split by the
     salted join.
@@ -118,15 +129,17 @@ def classify_outcomes(
             ((F.col("n_segments") > 0) & F.col("saved")).alias("_saved"),
         ),
     ]
-    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    facts = stacked.groupBy(key).agg(
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("_n", F.lit(0))
+    listed = videos.select(F.col(key), F.lit(1).alias("_n"))
+    facts = stacked.unionByName(listed, allowMissingColumns=True).groupBy(key).agg(
+        F.sum("_n").alias("_n"),
         F.max("_a").alias("attempts"),
         F.max("_t").alias("last_attempt"),
         F.max("_landed").alias("_landed"),
         F.max("_got").alias("_got"),
         F.max("_saved").alias("_saved"),
     )
-    out = salted_join(videos, facts, [key], "left", None, videos.columns)
+    out = salted_join(videos, facts, [key], "left", "_n", videos.columns).drop("_n")
     eligible = retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col)
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     outcome = (

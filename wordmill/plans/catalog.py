@@ -23,14 +23,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from wordmill.constants import CONFIG_STOPWORDS, SEGMENT_BLOCK_ROWS
-from wordmill.functions.text import cut_comment, sanitize_path_part, strip_ws
+from wordmill.constants import CONFIG_STOPWORDS
+from wordmill.functions.text import TOKEN_PATTERN, cut_comment, sanitize_path_part, strip_ws
 from wordmill.functions.time import iso_utc, trunc_second
 from wordmill.operators import analytics, attempts, chunking, ingest, occurrences, profile, selection, transcripts
 from wordmill.operators.tokens import lemma_table
 from wordmill.plans.physical import small_table, spread
+from wordmill.schemas import PAGE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,33 +56,10 @@ TREND_TOP_N = 15
 CHUNK_CHARS = 1000
 SEGMENT_SECONDS = 37
 MIN_LENGTH_LONG = 5
-
-PAGE_SCHEMA = StructType(
-    [
-        StructField("source_type", StringType()),
-        StructField("source_id", StringType()),
-        StructField(
-            "items",
-            ArrayType(
-                StructType(
-                    [
-                        StructField(
-                            "snippet",
-                            StructType(
-                                [
-                                    StructField("title", StringType()),
-                                    StructField("description", StringType()),
-                                    StructField("publishedAt", StringType()),
-                                    StructField("resourceId", StructType([StructField("videoId", StringType())])),
-                                ]
-                            ),
-                        )
-                    ]
-                )
-            ),
-        ),
-    ]
-)
+# Short blocks, so that conversations of a few turns have several.
+BLOCK_ROWS = 3
+# Fetched conversations of at least so many turns count as saved.
+SAVED_TURNS = 6
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,6 +173,14 @@ def q_min_length_frequency(spark, sf_dir):
     return analytics.word_frequency(documents_text(spark, sf_dir), stopwords=STOPWORDS, min_len=MIN_LENGTH_LONG)
 
 
+def q_stopword_frame_frequency(spark, sf_dir):
+    """Stop words as a frame, not yet trimmed: the first word of each document."""
+    docs = documents_text(spark, sf_dir)
+    first = F.regexp_extract("text", TOKEN_PATTERN, 0)
+    words = docs.select(F.concat(F.lit(" "), first, F.lit(" ")).alias("stop")).distinct()
+    return analytics.word_frequency(docs, stopwords=words)
+
+
 # ---------------------------------------------------------------------------
 # Trend family
 # ---------------------------------------------------------------------------
@@ -314,7 +299,7 @@ def q_api_items(spark, sf_dir):
         F.when(F.col("event_type") != "signup", F.array(item)).alias("items"),
     )
     landed = ev.select(F.to_json(page).alias("json"))
-    pages = landed.select(F.from_json("json", PAGE_SCHEMA).alias("p")).select("p.*")
+    pages = landed.select(F.from_json("json", PAGE).alias("p")).select("p.*")
     items = ingest.flatten_pages(pages)
     return items.select(
         "video_id",
@@ -325,6 +310,18 @@ def q_api_items(spark, sf_dir):
     )
 
 
+def q_items_with_source(spark, sf_dir):
+    """Event items with channel columns of their source; the sources are the
+    event types, and an item of any other source has none."""
+    ev = table(spark, sf_dir, "events")
+    items = event_items(spark, sf_dir).withColumns({"title": F.col("source_id"), "description": F.lit(None).cast("string")})
+    kinds = ev.filter("event_type <> 'signup'").groupBy("event_type").agg(F.min("event_id").cast("string").alias("channel_id"))
+    sources = kinds.select(
+        F.lit("events").alias("source_type"), F.col("event_type").alias("source_id"), "channel_id", F.upper("event_type").alias("channel_name")
+    )
+    return ingest.attach_source(items, sources)
+
+
 def q_id_list_clean(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", cut_comment("url").alias("source_id"))
     return pages.filter(F.col("source_id") != "")
@@ -359,7 +356,7 @@ def q_sanitize_names(spark, sf_dir):
 
 
 def q_segments_to_text(spark, sf_dir):
-    return transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=SEGMENT_BLOCK_ROWS)
+    return transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=BLOCK_ROWS)
 
 
 def q_strip_time_marks(spark, sf_dir):
@@ -371,8 +368,7 @@ def q_chunk_text(spark, sf_dir):
 
 
 def q_keyword_occurrences(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations")
-    return occurrences.keyword_occurrences(conv, OCCURRENCE_KEYWORDS, keys=("conv_id", "turn"))
+    return occurrences.keyword_occurrences(segments(spark, sf_dir), OCCURRENCE_KEYWORDS, keys=("conv_id", "ord", "start"))
 
 
 # ---------------------------------------------------------------------------
@@ -400,7 +396,7 @@ def _outcomes(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
     fetched = conv.groupBy(F.col("conv_id").alias("video_id")).agg(
         F.count_if(F.col("text").isNotNull() & (F.col("text") != "")).alias("n_segments"),
-        F.lit(True).alias("saved"),
+        (F.count(F.lit(1)) >= SAVED_TURNS).alias("saved"),
     )
     return attempts.classify_outcomes(listed_documents(spark, sf_dir), attempt_state(spark, sf_dir), landed, fetched, NOW)
 
@@ -471,7 +467,7 @@ def q_transcript_frequency(spark, sf_dir):
     never span a line, so per-block cleaning gives the same words as
     cleaning the joined text (the exact whole-text strip is
     ``strip_time_marks``)."""
-    blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=SEGMENT_BLOCK_ROWS)
+    blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=BLOCK_ROWS)
     return analytics.word_frequency(analytics.cleaned(blocks), stopwords=STOPWORDS)
 
 
@@ -481,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "word_cloud_weights": q_word_cloud_weights,
     "lemma_frequency": q_lemma_frequency,
     "min_length_frequency": q_min_length_frequency,
+    "stopword_frame_frequency": q_stopword_frame_frequency,
     "word_trend": q_word_trend,
     "top_word_series": q_top_word_series,
     "trend_matrix": q_trend_matrix,
@@ -495,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "incremental_items": q_incremental_items,
     "new_watermarks": q_new_watermarks,
     "api_items": q_api_items,
+    "items_with_source": q_items_with_source,
     "id_list_clean": q_id_list_clean,
     "resolve_identifiers": q_resolve_identifiers,
     "sanitize_names": q_sanitize_names,

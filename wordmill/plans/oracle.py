@@ -7,7 +7,7 @@ oracle needs no scalability: windows and recursion are fine here.
 
 from __future__ import annotations
 
-from wordmill.constants import CONFIG_STOPWORDS, SEGMENT_BLOCK_ROWS, SIZE_BINS, WAIT_SECONDS
+from wordmill.constants import CONFIG_STOPWORDS, SIZE_BINS, WAIT_SECONDS
 from wordmill.functions.text import WHITESPACE
 from wordmill.plans import catalog as C
 
@@ -79,11 +79,11 @@ kept AS (
   FROM items i LEFT JOIN wm ON wm.source_type = i.source_type AND wm.source_id = i.source_id
   WHERE wm.last_date IS NULL OR i.published_at > wm.last_date)"""
 
-SEGMENTS_TEXT = f"""SELECT conv_id, CAST(floor(turn / {SEGMENT_BLOCK_ROWS}) AS BIGINT) AS block,
+SEGMENTS_TEXT = f"""SELECT conv_id, CAST(floor(turn / {C.BLOCK_ROWS}) AS BIGINT) AS block,
        string_agg(printf('[%d:%02d] %s', CAST(floor(turn * {C.SEGMENT_SECONDS}) AS BIGINT) // 60,
                          CAST(floor(turn * {C.SEGMENT_SECONDS}) AS BIGINT) % 60, text), chr(10) ORDER BY turn) AS text
 FROM conversations
-GROUP BY conv_id, CAST(floor(turn / {SEGMENT_BLOCK_ROWS}) AS BIGINT)"""
+GROUP BY conv_id, CAST(floor(turn / {C.BLOCK_ROWS}) AS BIGINT)"""
 
 ATTEMPT_STATE = """log AS (
   SELECT user_id AS video_id, date_trunc('second', ts) AS at_ts, event_id, event_type = 'purchase' AS ok
@@ -108,13 +108,14 @@ rs AS (
 
 OUTCOMES = f"""{RETRY},
 fetched AS (
-  SELECT conv_id AS video_id, count(*) FILTER (WHERE text IS NOT NULL AND text <> '') AS n_segments
+  SELECT conv_id AS video_id, count(*) FILTER (WHERE text IS NOT NULL AND text <> '') AS n_segments, count(*) >= {C.SAVED_TURNS} AS saved
   FROM conversations GROUP BY conv_id),
 oc AS (
   SELECT rs.video_id, rs.channel_name,
          CASE WHEN NOT rs.eligible THEN 'backoff_skip'
               WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = rs.video_id) THEN 'already_landed'
-              WHEN coalesce(f.n_segments, 0) > 0 THEN 'downloaded'
+              WHEN f.n_segments > 0 AND f.saved THEN 'downloaded'
+              WHEN f.n_segments > 0 THEN 'save_failed'
               ELSE 'unavailable' END AS outcome
   FROM rs LEFT JOIN fetched f ON f.video_id = rs.video_id)"""
 
@@ -155,6 +156,11 @@ SQL: dict[str, str] = {
     "word_cloud_weights": f"SELECT word, count, CAST(count AS DOUBLE) / max(count) OVER () AS weight FROM ({_freq()})",
     "lemma_frequency": _freq(lemmas=True),
     "min_length_frequency": _freq(min_len=C.MIN_LENGTH_LONG),
+    "stopword_frame_frequency": f"""SELECT word, CAST(count(*) AS BIGINT) AS count
+FROM (SELECT unnest(regexp_extract_all(lower(text), {TOKEN})) AS word FROM documents)
+WHERE length(word) >= 3 AND word NOT IN (
+  SELECT lower(regexp_extract(text, {TOKEN})) FROM documents WHERE text IS NOT NULL)
+GROUP BY word""",
     "word_trend": f"WITH {TREND} SELECT word, date, count FROM trend",
     "top_word_series": f"""WITH {TREND},
 totals AS (SELECT word, sum(count) AS total FROM trend GROUP BY word),
@@ -192,6 +198,12 @@ FROM wm FULL OUTER JOIN bm ON wm.source_type = bm.source_type AND wm.source_id =
     "api_items": f"""SELECT CAST(event_id AS VARCHAR) AS video_id, event_type AS title, strftime(ts, {ISO}) AS published_at,
        event_type AS source_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events WHERE event_type <> 'signup'""",
+    "items_with_source": f"""WITH src AS (
+  SELECT event_type, CAST(min(event_id) AS VARCHAR) AS channel_id, upper(event_type) AS channel_name
+  FROM events WHERE event_type <> 'signup' GROUP BY event_type)
+SELECT CAST(e.event_id AS VARCHAR) AS video_id, e.event_type AS title, strftime(e.ts, {ISO}) AS published_at,
+       CAST(NULL AS VARCHAR) AS description, src.channel_id, src.channel_name, 'events' AS source_type, e.event_type AS source_id
+FROM events e LEFT JOIN src ON src.event_type = e.event_type""",
     "id_list_clean": f"""SELECT page_id, source_id FROM (
   SELECT page_id, trim(split_part(trim(url, {WS}), '#', 1), {WS}) AS source_id FROM pages)
 WHERE source_id <> ''""",
@@ -244,7 +256,7 @@ SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, chunk FROM c WHERE chunk_n
   SELECT conv_id, turn, unnest(range(len(l))) AS line_no, unnest(l) AS line
   FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations WHERE text IS NOT NULL)),
 kw AS {_values([(k,) for k in C.OCCURRENCE_KEYWORDS], ["keyword"])}
-SELECT conv_id, turn, CAST(line_no AS INTEGER) AS line_no, keyword, line
+SELECT conv_id, turn AS ord, CAST(turn * {C.SEGMENT_SECONDS} AS DOUBLE) AS start, CAST(line_no AS INTEGER) AS line_no, keyword, line
 FROM lines JOIN kw ON regexp_matches(line, kw.keyword, 'i')""",
     "attempt_state": f"WITH {ATTEMPT_STATE} SELECT video_id, attempts, last_attempt FROM st",
     "retry_eligibility": f"WITH {RETRY} SELECT video_id, attempts, last_attempt, eligible FROM rs",

@@ -32,7 +32,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from wordmill.constants import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, HOT_KEY_ROWS, SALT_BUCKETS
+from wordmill.constants import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, HOT_KEY_ROWS, HOT_KEYS_MAX, SALT_BUCKETS
 from wordmill.session import checkpoint_dir
 
 
@@ -209,8 +209,9 @@ def salted_join(
     ``wordmill.skew.hotKeyRows`` rows are hot: their ``big`` rows are spread
     over ``wordmill.skew.saltBuckets`` buckets by a hash of ``spread_cols``
     and their ``keyed`` row is replicated once per bucket; every other key
-    joins in bucket 0. The hot-key list is broadcast: it has at most
-    ``rows(big) / hotKeyRows`` entries. Rows of ``big`` with a null key
+    joins in bucket 0. The hot-key list is broadcast: it holds the
+    ``HOT_KEYS_MAX`` hottest keys at most, so a key beyond it has less than
+    one ``HOT_KEYS_MAX``-th of the rows and needs no salt. Rows of ``big`` with a null key
     match nothing; they are spread over ``NULL_KEY_SALTS`` salts without any
     replication. When ``keyed`` turns out small, AQE still turns the final
     join into a broadcast join at run time.
@@ -221,10 +222,12 @@ def salted_join(
     hot_rows = _conf_int(spark, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
     buckets = _conf_int(spark, "wordmill.skew.saltBuckets", SALT_BUCKETS)
     if count_col is None:
-        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot = F.broadcast(counts.filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+        counts, n = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), F.col("_n")
     else:
-        hot = F.broadcast(keyed.filter(F.col(count_col) >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+        counts, n = keyed, F.col(count_col)
+    # Keys are unique here, so the order is total and both sides salt alike.
+    hottest = counts.filter(n >= hot_rows).orderBy(n.desc(), *keys).limit(HOT_KEYS_MAX)
+    hot = F.broadcast(hottest.select(*keys, F.lit(True).alias("_hot")))
     row_hash = F.xxhash64(*[F.col(c) for c in spread_cols])
     has_key = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # A null key matches nothing, so its rows need no partner copies: they get
