@@ -226,6 +226,20 @@ def test_pii_secrets_and_addresses(spark):
         assert value not in out.text
 
 
+def test_pii_secrets_in_capitals_and_of_any_length(spark):
+    long = "0123456789abcdefABCD" * 10
+    values = ["9233A8EC77F0019233A8EC77F001", "aB3dEfGh1JkLmN0p", "f00dcafe" * 4, long, long + "x"]
+    names = ['TOKEN = "', "Password: ", "API_KEY=", "Secret=", "token="]
+    text = " ".join(n + v + ('"' if '"' in n else "") for n, v in zip(names, values, strict=True))
+    out = pii.pseudonymize(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    assert [p.kind for p in out.pii] == ["secret"] * 5
+    assert not any(v[:16] in out.text for v in values)
+    # Names, quotes and lengths stay; the hex blocks differ.
+    new = re.fullmatch('TOKEN = "(.*)" Password: (.*) API_KEY=(.*) Secret=(.*) token=(.*)', out.text).groups()
+    assert [len(v) for v in new] == [len(v) for v in values]
+    assert len({new[3][i : i + 64] for i in range(0, 192, 64)}) == 3
+
+
 @pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
 def test_near_dedup(rows, clashing, k, percent):
     done = near_dedup.mark_near_duplicates(clashing, words=k, percent=percent)

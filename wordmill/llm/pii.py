@@ -13,7 +13,7 @@ Candidates are found by one regular expression and validated by kind:
   day.month.year or day/month/year;
 * ``email``: local part and domain;
 * ``secret``: access key ids, and what is assigned to a password, token, secret
-  or api_key (16 letters and digits or more).
+  or api_key, in capitals or not (16 letters and digits or more).
 
 Each value is permuted within its own format by a keyed Feistel network: its
 digits are read as a pair of numbers (left, right) modulo sizes that cover
@@ -52,7 +52,7 @@ PATTERNS = {
     "ipv4": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,5}){2,5}",
-    "secret": r"AKIA[0-9A-Z]{16}|(?:password|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9]{16,128}",
+    "secret": r"AKIA[0-9A-Z]{16}|(?i:password|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9]{16,}+",
     "card": r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?:[ -]?[0-9]{1,3})?",
 }
 # No letter, digit or part of a longer number around a candidate.
@@ -240,9 +240,11 @@ def _email(value: Column, key: str) -> Column:
 
 def _secret(value: Column, key: str) -> Column:
     """The credential behind the name, replaced by keyed hex digits."""
-    name = F.regexp_extract(value, '^(AKIA|[A-Za-z_]+ ?[=:] ?"?)', 1)
+    name = F.regexp_extract(value, '^(AKIA|(?i:password|token|secret|api_key) ?[=:] ?"?)', 1)
     rest = F.length(value) - F.length(name)
-    stream = F.concat(*(F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.lit(i), value), 256) for i in range(2)))
+    # Hex blocks of 64 digits, as many as the credential is long.
+    block = lambda i: F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), i, value), 256)
+    stream = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(rest / 64).cast("int")), block), "")
     return F.concat(name, F.substr(F.when(name == "AKIA", F.upper(stream)).otherwise(stream), F.lit(1), rest))
 
 
