@@ -240,6 +240,27 @@ def test_pii_secrets_in_capitals_and_of_any_length(spark):
     assert len({new[3][i : i + 64] for i in range(0, 192, 64)}) == 3
 
 
+OVERLAPPING = [
+    ("3782 822463 10005", ["card"]), ("3056-930902-5904", ["card"]), ("Order 2024 4111 1111 1111 1111", ["card"]),
+    ("4111 1111 1111 1111 2024.", ["card"]), ("4111111111111111 4111 1111 1111 1111", ["card", "card"]),
+    ("BE68 5390 0754 7034 BANK", ["iban"]), ("ES91 2100 0418 4502 0005 1332 2024", ["iban"]), ("BE68539007547034 4111111111111111", ["iban", "card"]),
+    ("tel.555-323-4567 tel-555-323-4567 tel_555-323-4567_", ["phone"] * 3), ("+44 20 7946 0958 2024", ["phone"]),
+    ("2024-13-45 1984-02-29", ["date"]), ("a@b.example 4111111111111111 db_password=abcdefghijklmnopq", ["email", "card", "secret"]),
+    ("4111-1111-1111-1111-2024 1.555-323-4567 x4111111111111111", []), ("1234 5678 9012 3456 77", []),
+]
+
+
+def test_pii_inside_failed_candidates(spark):
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(OVERLAPPING)], "doc_id long, text string")
+    hidden = pii.pseudonymize(frame, "k").orderBy("doc_id").collect()
+    assert [[p.kind for p in r.pii] for r in hidden] == [kinds for _, kinds in OVERLAPPING]
+    for row, (text, kinds) in zip(hidden, OVERLAPPING, strict=True):
+        assert all(p.value in row.text for p in row.pii) and (row.text == text) == (not kinds)
+        assert not {"email", "secret"} & set(kinds) and len(row.text) == len(text) or "email" in kinds
+    back = pii.pseudonymize(spark.createDataFrame(hidden), "k", invert=True).orderBy("doc_id").collect()
+    assert [r.text for r in back][:11] == [t for t, _ in OVERLAPPING][:11]
+
+
 @pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
 def test_near_dedup(rows, clashing, k, percent):
     done = near_dedup.mark_near_duplicates(clashing, words=k, percent=percent)

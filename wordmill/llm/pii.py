@@ -1,10 +1,11 @@
 """Format-preserving pseudonyms for personal data, in DataFrame functions only.
 
-Candidates are found by one regular expression and validated by kind:
+Candidates are found by regular expressions and validated by kind:
 
-* ``card``: 13 to 19 digits (blanks or hyphens between groups) with a correct
-  check digit;
-* ``iban``: country, check digits and account with remainder 1 of 97;
+* ``card``: 13 to 19 digits (single blanks or hyphens between groups of any
+  size) with a correct check digit;
+* ``iban``: country, check digits and account with remainder 1 of 97, in the
+  length of the country;
 * ``ssn``: 3-2-4 digits of an assignable number;
 * ``phone``: North American numbers (assignable, or written with a plus sign or
   brackets), and other international numbers with a plus sign;
@@ -26,7 +27,11 @@ so the same number written in two ways stays linked. An address has no number
 format: its local part becomes a keyed hash (not invertible) and its domain a
 reserved one. A secret becomes keyed hex digits of the same length.
 
-Candidates that fail validation are left as they are.
+Candidates that fail validation are left as they are, and numbers inside or
+across them are tried. Of overlapping valid numbers the first one counts, at one
+place the first kind in the order of ``NUMBERS`` and the longest. A pseudonym
+depends on its value alone, so it can happen to make an overlapping number in
+front of it valid; ``invert`` then needs the column ``pii``.
 
 Defined cases: null text stays null with no findings; empty text stays empty;
 values next to letters or digits are no candidates; the result columns
@@ -45,20 +50,53 @@ ROUNDS = 8
 KEY_CONF = "wordmill.pii.key"
 DEMO_KEY = "demonstration key; set wordmill.pii.key"
 
-PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?+",
-    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4}",
-    "ipv4": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "phone": r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,5}){2,5}",
-    "secret": r"AKIA[0-9A-Z]{16}|(?i:password|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9]{16,}+",
-    "card": r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?:[ -]?[0-9]{1,3})?",
+EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+SECRET = r"AKIA[0-9A-Z]{16}|(?i:password|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9]{16,}+"
+# Addresses and credentials, of any length; they are cut out of the text first.
+TEXTS = rf"(?:(?<![A-Za-z0-9._%+-])(?:{EMAIL})|(?<![A-Za-z0-9])(?:{SECRET}))(?![A-Za-z0-9_@]|[.-][0-9])"
+
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_spans() -> list[str]:
+    """Countries of the list by their length, other countries by any."""
+    listed, by_length = "|".join(" ".join(IBAN_COUNTRIES.values()).split()), []
+    for length, countries in IBAN_COUNTRIES.items():
+        fours, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        by_length.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}")
+    other = f"(?!{listed})[A-Z]{{2}}[0-9]{{2}}"
+    ends = [f"(?: ?[A-Z0-9]{{4}}){{{n}}}{tail}" for n in range(7, 1, -1) for tail in (" ?[A-Z0-9]{1,3}", "")]
+    return ["(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(by_length) + ")"] + [other + end for end in ends]
+
+
+# For each kind of number the spans that a candidate may have, in the order in
+# which they are tried; a span ends where AFTER holds.
+SPANS = {
+    "date": [r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}"],
+    "ipv4": [r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"],
+    "ssn": [r"[0-9]{3}-[0-9]{2}-[0-9]{4}"],
+    "phone": [r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"]
+    + [rf"\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,5}}){{{n}}}" for n in range(5, 1, -1)],
+    "iban": _iban_spans(),
+    "card": [rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)],
 }
 # No letter, digit or part of a longer number around a candidate.
-BEFORE = r"(?<![A-Za-z0-9._%+-])"
-AFTER = r"(?![A-Za-z0-9_@]|[.-][0-9])"
-ANY = BEFORE + "(?:" + "|".join(PATTERNS.values()) + ")" + AFTER
+BEFORE = r"(?<![A-Za-z0-9])(?<![0-9][.-])"
+AFTER = r"(?![A-Za-z0-9@]|[.-][0-9])"
+# What a kind's spans have in common, to try them only there.
+QUICK = {kind: "(?:" + "|".join(f"(?:{s})" for s in spans) + ")" + AFTER for kind, spans in SPANS.items()} | {
+    "card": "[0-9](?:[ -]?[0-9]){12,18}" + AFTER
+}
+# The places where candidates start, overlapping ones too: texts are cut there.
+# The first look ahead only saves time.
+STARTS = "(?=[0-9+(]|[A-Z]{2}[0-9])" + BEFORE + "(?=" + "|".join(QUICK.values()) + ")"
+WINDOW = 64  # characters; no span is longer than 42
 
 FIRST_DAY = "1900-01-01"
 DAY_SIZES = (17, 4297)  # 73,049 days to 2099-12-31
@@ -249,21 +287,63 @@ def _secret(value: Column, key: str) -> Column:
 
 
 NUMBERS = {"date": _date, "ipv4": _ipv4, "ssn": _ssn, "phone": _phone, "iban": _iban, "card": _card}
+FOUND = "array<struct<kind:string,value:string>>"
+PARTS = "array<struct<text:string,kind:string,value:string>>"
+
+
+def _part(text: Column, kind: Column | None = None, value: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(text.alias("text"), (none if kind is None else kind).alias("kind"), (none if value is None else value).alias("value"))
+
 
+def hashed(value: Column, key: str, invert: bool) -> Column:
+    """The part of an address or credential; ``invert`` leaves it as it is."""
+    if invert:
+        return _part(value)
+    kind = F.when(value.rlike(f"^(?:{EMAIL})$"), F.lit("email")).otherwise(F.lit("secret"))
+    return _let(F.when(kind == "email", _email(value, key)).otherwise(_secret(value, key)), lambda v: _part(v, kind, v))
 
-def pseudonym(value: Column, key: str, invert: bool = False) -> Column:
-    """``struct(kind, value)`` of one candidate; kind is null where validation
-    fails, and the value is then unchanged. The first kind that matches and
-    validates counts."""
-    def named(kind: str):
-        return lambda v: F.when(v.isNotNull(), F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    hashed = {"email": (value.contains("@"), _email), "secret": (value.rlike(f"^(?:{PATTERNS['secret']})$"), _secret)}
-    options = [] if invert else [F.when(fits, named(k)(replace(value, key))) for k, (fits, replace) in hashed.items()]
+def number_at(window: Column, key: str, invert: bool, known: Column | None) -> Column:
+    """``struct(kind, size, value)`` of the number with which ``window``
+    begins, or null: the first kind and the first span that validate count.
+    With ``known``, only spans among these values do."""
+    options = []
     for kind, replace in NUMBERS.items():
-        fits = value.rlike(f"^(?:{PATTERNS[kind]})$") & ~value.contains("@")
-        options.append(F.when(fits, _let(replace(value, key, invert), named(kind))))
-    return F.coalesce(*options, F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value")))
+        spans = F.filter(F.array(*(F.regexp_extract(window, f"^(?:{s}){AFTER}", 0) for s in SPANS[kind])), lambda v: v != "")
+        if known is not None:
+            spans = F.filter(spans, lambda v: F.array_contains(known, v))
+        named = lambda v: F.struct(F.lit(kind).alias("kind"), F.length(v).alias("size"), replace(v, key, invert).alias("value"))  # noqa: B023, E731
+        made = F.transform(spans, named)
+        options.append(F.when(window.rlike("^" + QUICK[kind]), F.get(F.filter(made, lambda m: m["value"].isNotNull()), F.lit(0))))
+    return F.coalesce(*options)
+
+
+def numbers(text: Column, is_first: Column, key: str, invert: bool, known: Column | None) -> Column:
+    """The parts of a text between addresses and credentials (``is_first``:
+    nothing stands before it). From the left, the first valid number counts,
+    and what it covers is not tried again."""
+
+    def tried(piece: Column, i: Column, heads: Column) -> Column:
+        window = F.left(F.array_join(F.slice(heads, i + 1, F.lit(WINDOW)), ""), F.lit(WINDOW))
+        number = F.when((i > 0) | is_first, _let(window, lambda w: number_at(w, key, invert, known)))
+        return F.struct(piece.alias("text"), number.alias("number"))
+
+    def step(state: Column, piece: Column) -> Column:
+        text, number, covered = piece["text"], piece["number"], state["covered"]
+        size = F.length(text)
+        hit = (covered == 0) & number.isNotNull()
+        rest = F.substr(text, F.when(hit, number["size"]).otherwise(covered) + 1, size)
+        part = F.when(hit, _part(F.concat(number["value"], rest), number["kind"], number["value"])).otherwise(_part(rest))
+        return F.struct(
+            F.when(hit, F.greatest(number["size"] - size, F.lit(0))).otherwise(F.greatest(covered - size, F.lit(0))).cast("int").alias("covered"),
+            F.when(covered >= size, state["parts"]).otherwise(F.concat(state["parts"], F.array(part))).alias("parts"),
+        )
+
+    start = F.struct(F.lit(0).alias("covered"), F.array().cast(PARTS).alias("parts"))
+    heads_of = lambda pieces: F.transform(pieces, lambda p: F.left(p, F.lit(WINDOW)))
+    all_tried = lambda pieces: _let(heads_of(pieces), lambda heads: F.transform(pieces, lambda p, i: tried(p, i, heads)))
+    return F.aggregate(_let(F.split(text, STARTS, -1), all_tried), start, step, lambda s: s["parts"])
 
 
 def pii_key(spark: SparkSession) -> str:
@@ -273,25 +353,24 @@ def pii_key(spark: SparkSession) -> str:
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", invert: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in the text, ``n_pii`` and ``pii``. Texts
     without a candidate pass through unchanged. ``invert`` restores numbers
-    and dates that were permuted with the same key."""
+    and dates that were permuted with the same key; where numbers overlap, it
+    needs the column ``pii`` to tell which of them was replaced."""
     text = quoted(text_col).cast("string")
-    pieces, found = unused_name(docs, "pii_pieces"), unused_name(docs, "pii_found")
-    has = text.rlike("[0-9@]") & text.rlike(ANY)
-    parted = docs.withColumns(
-        {
-            pieces: F.when(has, F.struct(F.split(text, ANY, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("hits"))),
-        }
+    known = F.col("pii")["value"] if invert and dict(docs.dtypes).get("pii") == FOUND else None
+    parts = unused_name(docs, "pii_parts")
+    gaps = F.transform(
+        F.split(text, TEXTS, -1),
+        lambda g, i: F.when(g.rlike(STARTS), numbers(g, i == 0, key, invert, known)).otherwise(F.array(_part(g))),
     )
-    parted = parted.withColumn(found, F.transform(F.col(pieces)["hits"], lambda v: pseudonym(v, key, invert)))
+    hits = F.transform(F.regexp_extract_all(text, F.lit(TEXTS), F.lit(0)), lambda v: hashed(v, key, invert))
     # One gap more than hits: the text is gap, hit, gap, ..., gap.
-    joined = F.array_join(
-        F.zip_with(F.col(pieces)["gaps"], F.col(found), lambda g, h: F.concat(g, F.coalesce(h["value"], F.lit("")))), ""
-    )
-    pii = F.filter(F.col(found), lambda h: h["kind"].isNotNull())
+    all_parts = F.flatten(F.zip_with(gaps, hits, lambda g, h: F.when(h.isNull(), g).otherwise(F.concat(g, F.array(h)))))
+    parted = docs.withColumn(parts, F.when(text.rlike(TEXTS) | text.rlike(STARTS), all_parts))
+    pii = F.transform(F.filter(F.col(parts), lambda h: h["kind"].isNotNull()), lambda h: F.struct(h["kind"], h["value"]))
     return parted.withColumns(
         {
-            text_col: F.when(F.col(found).isNotNull(), joined).otherwise(text),
-            "pii": F.coalesce(pii, F.array().cast("array<struct<kind:string,value:string>>")),
+            text_col: F.when(F.col(parts).isNotNull(), F.array_join(F.col(parts)["text"], "")).otherwise(text),
+            "pii": F.coalesce(pii, F.array()).cast(FOUND),
             "n_pii": F.coalesce(F.size(pii), F.lit(0)).cast("bigint"),
         }
-    ).drop(pieces, found)
+    ).drop(parts)
