@@ -23,6 +23,17 @@ def test_matrix_total_is_the_sum_of_the_cells(spark):
     assert {r["word"]: r["total"] for r in A.trend_matrix(trend).collect()} == {"w": 100, "late": 2}
 
 
+def test_matrix_query_fails_on_a_day_without_a_column(spark, monkeypatch):
+    from wordmill.plans import catalog
+
+    days = [*catalog.MATRIX_DAYS, None]
+    monkeypatch.setattr(catalog, "trend", lambda *_: spark.createDataFrame([("w", d, 1) for d in days], "word string, date string, count long"))
+    assert [(r["word"], r["total"]) for r in catalog.q_trend_matrix(spark, "").collect()] == [("w", 30)]
+    days.append("2024-01-31")
+    with pytest.raises(Exception, match="no column for the day 2024-01-31"):
+        catalog.q_trend_matrix(spark, "").collect()
+
+
 def test_state_table_keeps_empty_versions(spark, scratch):
     table = W.StateTable(f"{scratch}/s", schemas.WATERMARKS)
     row = spark.createDataFrame([("p", "a", "1")], schemas.WATERMARKS)

@@ -161,10 +161,11 @@ def trend_days(trend: DataFrame) -> list[str]:
     return [r["d"].isoformat() for r in rows]
 
 
-def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFrame:
+def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None, must_cover: bool = False) -> DataFrame:
     """A5 + A6: word x day matrix of counts (missing cells 0) plus ``total``,
     the sum of the row's cells. ``days`` lists the columns; without it, all
-    days of the trend.
+    days of the trend. With ``must_cover``, a dated row outside ``days`` is an
+    error when the matrix is computed.
 
     Covers all words, not only the top ones. Up to ``CONDITIONAL_PIVOT_MAX_DAYS``
     day columns: one grouped aggregation with a conditional sum per day (a
@@ -177,6 +178,10 @@ def trend_matrix(trend: DataFrame, days: Iterable[str] | None = None) -> DataFra
     # ``YYYY-MM-DD`` labels are only the column names.
     dates = [dt.date.fromisoformat(d) for d in labels]
     dated = trend.select("word", F.col("date").cast("date").alias("_day"), "count")
+    if must_cover:
+        listed = F.col("_day").isNull() | F.col("_day").isin(dates)
+        stray = F.raise_error(F.concat(F.lit("trend_matrix: no column for the day "), F.col("_day").cast("string"))).cast("date")
+        dated = dated.select("word", F.when(listed, F.col("_day")).otherwise(stray).alias("_day"), "count")
     if len(labels) <= CONDITIONAL_PIVOT_MAX_DAYS:
         sums = [F.sum(F.when(F.col("_day") == F.lit(d), F.col("count"))).alias(label) for d, label in zip(dates, labels)]
         wide = dated.groupBy("word").agg(F.count(F.lit(1)).alias("_n"), *sums).drop("_n")

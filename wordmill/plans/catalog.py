@@ -194,12 +194,13 @@ def q_top_word_series(spark, sf_dir):
     return analytics.top_series(trend(spark, sf_dir), TREND_TOP_N)
 
 
-# The matrix's columns: every day on which the driver's events lie.
+# The matrix's columns: every day on which the driver's events lie. Any other
+# day is an error.
 MATRIX_DAYS = [f"2024-01-{day:02d}" for day in range(1, 31)]
 
 
 def q_trend_matrix(spark, sf_dir):
-    return analytics.trend_matrix(trend(spark, sf_dir), days=MATRIX_DAYS)
+    return analytics.trend_matrix(trend(spark, sf_dir), days=MATRIX_DAYS, must_cover=True)
 
 
 # ---------------------------------------------------------------------------
