@@ -428,6 +428,17 @@ def test_packing(spark, empty):
     assert packing.pack_ids(empty.withColumn("ids", F.array().cast("array<int>"))).count() == 0
 
 
+def test_packed_matrices_are_written(spark, scratch):
+    frame = spark.createDataFrame([(i, list(range(i))) for i in range(40)], "doc_id long, ids array<int>").repartition(2)
+    packed = packing.pack_ids(frame, row_length=16, rows_per_matrix=4, end_id=2)
+    packing.write_packed(packed, f"{scratch}/packed")
+    back = spark.read.parquet(f"{scratch}/packed")
+    assert back.dtypes == packed.dtypes and sorted(back.collect()) == sorted(packed.collect())
+    assert {r.doc_id for r in packing.unpack_segments(back, 16).collect()} == set(range(40))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        packing.write_packed(packed, f"{scratch}/packed")
+
+
 def test_best_fit_against_brute_force():
     rng = random.Random(8)
     for _ in range(50):

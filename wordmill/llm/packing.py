@@ -201,6 +201,12 @@ def pack_ids(
     return runs.mapInArrow(_pack(row_length, rows_per_matrix, end_id, pad_id, dtype, window_ids), SCHEMA)
 
 
+def write_packed(packed: DataFrame, path: str) -> None:
+    """Write the matrices as Parquet to a new folder on the shared store, by
+    Spark's commit protocol; ``spark.read.parquet(path)`` gives them back."""
+    packed.write.mode("errorifexists").parquet(path)
+
+
 def _unpack(row_length: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
