@@ -2,6 +2,7 @@
 ties and repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -145,6 +146,24 @@ def test_exact_dedup_goes_on_with_its_state(spark, scratch):
     assert exact_dedup.dedup_exact(spark, none).count() == 0
 
 
+def test_exact_dedup_reads_old_files_and_loses_no_row(spark, scratch, monkeypatch):
+    schema = "doc_id long, text string"
+    path, state = f"{scratch}/docs", f"{scratch}/state"
+    written(spark.createDataFrame([(1, "A")], schema), path, 1)
+    assert exact_dedup.dedup_exact(spark, path, checkpoint=state).count() == 1
+    before = set(os.listdir(path))
+    spark.createDataFrame([(2, "a"), (3, "b")], schema).coalesce(1).write.mode("append").parquet(path)
+    for name in set(os.listdir(path)) - before:
+        if name.endswith(".parquet"):
+            os.utime(f"{path}/{name}", (0, 1_600_000_000))  # years before the first file
+    done = exact_dedup.dedup_exact(spark, path, checkpoint=state).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in done} == {(1, 2, 2), (2, 2, 2), (3, 3, 1)}
+    found = exact_dedup.stream_state
+    monkeypatch.setattr(exact_dedup, "stream_state", lambda *a: found(*a).filter("n > 1"))
+    with pytest.raises(Exception, match="no state for the digest"):
+        exact_dedup.dedup_exact(spark, path, checkpoint=state).count()
+
+
 def test_license_scan(spark, clashing, empty):
     texts = [
         "SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND Apache-2.0 */",

@@ -64,6 +64,11 @@ def _keyed(rows: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     )
 
 
+# Files of any age are read; the file source's default drops what is 7 days
+# older than the newest file.
+MAX_FILE_AGE = "36500d"
+
+
 def _any_file(path: str) -> str:
     """A glob that matches ``path`` alone: a file stream takes a single file
     only as a match of a pattern."""
@@ -89,6 +94,7 @@ def stream_state(
         source = (
             spark.readStream.schema(spark.read.parquet(path).schema)
             .option("maxFilesPerTrigger", max_files_per_batch)
+            .option("maxFileAge", MAX_FILE_AGE)
             .parquet(_any_file(path))
         )
         state = (
@@ -140,7 +146,9 @@ def dedup_exact(
     mixed = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).filter(F.col("n_texts") > 1)
     mixed = materialize(mixed.select("digest"), "dedup-mixed")
 
-    result = rows.drop("text").join(groups, "digest")
+    # Every row has a state, or the run fails.
+    missing = F.raise_error(F.concat(F.lit("dedup_exact: no state for the digest "), F.hex("digest"))).cast("boolean")
+    result = rows.drop("text").join(groups, "digest", "left").filter(F.when(F.col("n").isNotNull(), F.lit(True)).otherwise(missing))
     if not mixed.isEmpty():
         # Different texts under one digest: their rows are grouped by text.
         by_text = rows.join(mixed, "digest", "left_semi")
