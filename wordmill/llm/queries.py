@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import chat, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, pieces, pii, quality
+from wordmill.llm import chat, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, pieces, pii, quality, repair, simhash
 from wordmill.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -126,6 +126,15 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_ids(encoded, end_id=END_ID)
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.mark_similar(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damaged(turns), turns)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -137,6 +146,8 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_source_mixing": op9_source_mixing,
     "op10_packed_ids": op10_packed_ids,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
