@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import chat, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, pieces, pii, quality, repair, simhash
+from wordmill.llm import chat, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, pieces, pii, quality, repair, search, simhash
 from wordmill.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -130,6 +130,10 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.mark_similar(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return repair.repair_report(repair.damaged(turns), turns)
@@ -147,6 +151,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_packed_ids": op10_packed_ids,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_ranked_search": op12_ranked_search,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -262,5 +267,32 @@ WITH based AS (
 SELECT doc_id, lang, source, unnest(CASE WHEN whole < 3 AND upto <= rest THEN range(whole + 1) ELSE range(whole) END) AS epoch,
   tokens::BIGINT AS tokens
 FROM run
+""",
+    "op12_ranked_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), counted AS (
+  SELECT r, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0
+), total AS (
+  SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM counted
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), held AS (
+  SELECT r, doc_id, n, unnest(terms) AS term FROM counted
+), placed AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM held SEMI JOIN asked USING (term) GROUP BY ALL
+), weighed AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM placed, total GROUP BY term, nd
+), scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // nt))))::BIGINT AS score
+  FROM placed JOIN weighed USING (term) JOIN asked USING (term), total GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r)::INT AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }
