@@ -54,6 +54,8 @@ OCCURRENCE_KEYWORDS = ("ing", "der", "que")
 TOP_N = 50
 TREND_TOP_N = 15
 CHUNK_CHARS = 1000
+# Short cells, so that conversations of some thousand characters have several.
+CELL_CHARS = 2500
 SEGMENT_SECONDS = 37
 MIN_LENGTH_LONG = 5
 # Short blocks, so that conversations of a few turns have several.
@@ -368,6 +370,12 @@ def q_chunk_text(spark, sf_dir):
     return chunking.chunk_text(documents_text(spark, sf_dir), ("doc_id",), max_chars=CHUNK_CHARS)
 
 
+def q_chunk_blocks(spark, sf_dir):
+    """Chunks of whole conversations, cut from their landed blocks."""
+    blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=BLOCK_ROWS)
+    return chunking.chunk_blocks(blocks, ("conv_id",), max_chars=CHUNK_CHARS, cell_chars=CELL_CHARS)
+
+
 def q_keyword_occurrences(spark, sf_dir):
     return occurrences.keyword_occurrences(segments(spark, sf_dir), OCCURRENCE_KEYWORDS, keys=("conv_id", "ord", "start"))
 
@@ -500,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "segments_to_text": q_segments_to_text,
     "strip_time_marks": q_strip_time_marks,
     "chunk_text": q_chunk_text,
+    "chunk_blocks": q_chunk_blocks,
     "keyword_occurrences": q_keyword_occurrences,
     "attempt_state": q_attempt_state,
     "retry_eligibility": q_retry_eligibility,

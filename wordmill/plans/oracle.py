@@ -252,6 +252,14 @@ WHERE (m.block BETWEEN bd.f AND bd.l) OR (bd.f IS NULL AND m.block = bd.mn)""",
   SELECT doc_id, chunk_no + 1, substr(rest, k + 1), trim(left(rest, k), {WS})
   FROM (SELECT doc_id, chunk_no, rest, {CHUNK_K} AS k FROM c WHERE length(rest) > 0))
 SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, chunk FROM c WHERE chunk_no >= 0""",
+    "chunk_blocks": f"""WITH RECURSIVE w AS (
+  SELECT conv_id, string_agg(text, chr(10) ORDER BY block) AS text FROM ({SEGMENTS_TEXT}) GROUP BY conv_id),
+c(conv_id, chunk_no, rest, chunk) AS (
+  SELECT conv_id, -1, text, CAST(NULL AS VARCHAR) FROM w
+  UNION ALL
+  SELECT conv_id, chunk_no + 1, substr(rest, k + 1), trim(left(rest, k), {WS})
+  FROM (SELECT conv_id, chunk_no, rest, {CHUNK_K} AS k FROM c WHERE length(rest) > 0))
+SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, chunk FROM c WHERE chunk_no >= 0""",
     "keyword_occurrences": f"""WITH lines AS (
   SELECT conv_id, turn, unnest(range(len(l))) AS line_no, unnest(l) AS line
   FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations WHERE text IS NOT NULL)),
