@@ -435,7 +435,7 @@ def test_packing(spark, empty):
     rng = random.Random(9)
     runs = {i: [rng.randint(0, 31999) for _ in range(rng.choice([0, 1, 3, 15, 16, 17, 40, 200]))] for i in range(120)}
     frame = spark.createDataFrame([*runs.items(), (500, None)], "doc_id long, ids array<int>").repartition(3)
-    packed = packing.pack_ids(frame, row_length=16, rows_per_matrix=4, end_id=2, window_ids=200)
+    packed = packing.pack_ids(frame, 32_000, row_length=16, rows_per_matrix=4, end_id=2, window_ids=200)
     back = {}
     for r in packing.unpack_segments(packed, 16).orderBy("doc_id", "start").collect():
         back.setdefault(r.doc_id, []).extend(r.ids)
@@ -444,12 +444,41 @@ def test_packing(spark, empty):
         positions = np.frombuffer(m.positions, "<u2").reshape(m.n_rows, 16)
         for ends, place in zip(m.cu_seqlens, positions):
             assert ends[-1] <= 16 and all(list(place[a:b]) == list(range(b - a)) for a, b in zip(ends, ends[1:]))
-    assert packing.pack_ids(empty.withColumn("ids", F.array().cast("array<int>"))).count() == 0
+    assert packing.pack_ids(empty.withColumn("ids", F.array().cast("array<int>")), 10).collect() == []
+
+
+@pytest.mark.parametrize("vocabulary, width", [(65_536, 2), (65_537, 4), (70_001, 4), (200_000, 4)])
+def test_packed_ids_of_any_vocabulary(spark, vocabulary, width):
+    """Ids at the border come back; an id outside the vocabulary is an error."""
+    run = [0, 1, 65_535, vocabulary - 1] * 5
+    frame = spark.createDataFrame([(1, run), (2, [vocabulary - 1])], "doc_id long, ids array<int>")
+    packed = packing.pack_ids(frame, vocabulary, row_length=32, end_id=vocabulary - 1)
+    assert {len(m.ids) for m in packed.collect()} == {m.n_rows * 32 * width for m in packed.collect()}
+    back = {r.doc_id: r.ids for r in packing.unpack_segments(packed, 32).collect()}
+    assert back == {1: [*run, vocabulary - 1], 2: [vocabulary - 1] * 2}
+    for stray in (vocabulary, -1, None):
+        bad = spark.createDataFrame([(1, [3, stray])], "doc_id long, ids array<int>")
+        with pytest.raises(Exception, match="outside the vocabulary|null among"):
+            packing.pack_ids(bad, vocabulary).collect()
+    with pytest.raises(ValueError):
+        packing.pack_ids(frame, vocabulary, end_id=vocabulary)
+
+
+def test_packed_texts(rows, clashing, empty):
+    """Texts encoded and packed in one task, the longest over many rows."""
+    proto = pieces.read_model(MODEL)
+    model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    packed = packing.pack_texts(clashing, proto, row_length=64, end_id=2)
+    back = {}
+    for r in packing.unpack_segments(packed, 64).orderBy("doc_id", "start").collect():
+        back.setdefault(r.doc_id, []).extend(r.ids)
+    assert back == {d: [*model.encode(t or ""), 2] for d, t, *_ in rows}
+    assert packing.pack_texts(empty, proto).collect() == []
 
 
 def test_packed_matrices_are_written(spark, scratch):
     frame = spark.createDataFrame([(i, list(range(i))) for i in range(40)], "doc_id long, ids array<int>").repartition(2)
-    packed = packing.pack_ids(frame, row_length=16, rows_per_matrix=4, end_id=2)
+    packed = packing.pack_ids(frame, 100, row_length=16, rows_per_matrix=4, end_id=2)
     packing.write_packed(packed, f"{scratch}/packed")
     back = spark.read.parquet(f"{scratch}/packed")
     assert back.dtypes == packed.dtypes and sorted(back.collect()) == sorted(packed.collect())

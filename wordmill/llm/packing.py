@@ -14,9 +14,13 @@ memory does not depend on the partition size, nothing is shuffled, and a task
 that is run again gives the same matrices. Only the last rows of a window have
 room left.
 
-Defined cases: null ids count as empty; an empty run is not stored (with
+Ids are stored in two bytes each if the vocabulary has at most 65,536 ids, else
+in four. An id outside ``0 .. vocabulary - 1`` is an error, never cut.
+
+Defined cases: null ids count as empty; a null among the ids is an error; an empty run is not stored (with
 ``end_id`` there is none); rows that share an id are packed separately; an
-empty table gives no matrices. Room at the end of a row holds ``pad_id`` and
+empty table gives no matrices; columns other than the id and the ids (or the
+text) are not carried along, so they may have any name. Room at the end of a row holds ``pad_id`` and
 belongs to no segment; its positions are 0.
 """
 
@@ -30,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import long_rows, quoted
+from wordmill.llm import pieces
+from wordmill.llm.common import long_rows, quoted, utf8
 
 ROW_LENGTH = 2048
 ROWS_PER_MATRIX = 64
@@ -144,7 +149,31 @@ ARROW = pa.schema(
 )
 
 
-def _pack(row_length: int, rows_per_matrix: int, end_id: int | None, pad_id: int, dtype: str, window_ids: int):
+def id_type(vocabulary: int) -> str:
+    """Bytes of an id: two hold 65,536 different ones."""
+    if not 0 < vocabulary <= 1 << 31:
+        raise ValueError("a vocabulary has 1 to 2**31 ids")
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def checked(lists: pa.ListArray, vocabulary: int) -> tuple[np.ndarray, list[int]]:
+    """All ids of a batch and where each row's begin, if they can be stored."""
+    ends = lists.offsets.to_numpy().tolist()
+    flat = lists.values[ends[0] : ends[-1]]
+    if flat.null_count:
+        raise ValueError("null among the ids")
+    flat = flat.to_numpy(zero_copy_only=False)
+    if len(flat) and (flat.min() < 0 or flat.max() >= vocabulary):
+        stray = flat.min() if flat.min() < 0 else flat.max()
+        raise ValueError(f"id {stray} is outside the vocabulary of {vocabulary} ids")
+    return flat, [e - ends[0] for e in ends]
+
+
+def _pack(row_length: int, rows_per_matrix: int, end_id: int | None, pad_id: int, vocabulary: int, window_ids: int):
+    dtype = id_type(vocabulary)
+    if not 0 <= pad_id < vocabulary or (end_id is not None and not 0 <= end_id < vocabulary):
+        raise ValueError(f"the end and padding ids lie in the vocabulary of {vocabulary} ids")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         full: list[list[Segment]] = []  # rows that are ready
@@ -160,16 +189,18 @@ def _pack(row_length: int, rows_per_matrix: int, end_id: int | None, pad_id: int
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            lists = batch.column(1)
-            for doc_id, ids in zip(doc_ids, lists):
-                ids = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.zeros(0, np.int32)
+            flat, ends = checked(batch.column(1), vocabulary)
+            flat = flat.astype(dtype)
+            for doc_id, a, b in zip(doc_ids, ends, ends[1:]):
+                ids = flat[a:b]
                 if end_id is not None:
-                    ids = np.append(ids, end_id)
-                for segment in split_run(doc_id, ids.astype(dtype), row_length):
+                    ids = np.append(ids, np.array(end_id, dtype))
+                for segment in split_run(doc_id, ids, row_length):
                     if len(segment[2]) == row_length:
                         full.append([segment])
                     else:
-                        rests.append(segment)
+                        # A copy, so that a rest does not hold its whole batch.
+                        rests.append((*segment[:2], segment[2].copy()))
                         held += len(segment[2])
                 if len(full) >= rows_per_matrix:
                     yield from flush(False)
@@ -184,21 +215,48 @@ def _pack(row_length: int, rows_per_matrix: int, end_id: int | None, pad_id: int
 
 def pack_ids(
     docs: DataFrame,
+    vocabulary: int,
     id_col: str = "doc_id",
     ids_col: str = "ids",
     row_length: int = ROW_LENGTH,
     rows_per_matrix: int = ROWS_PER_MATRIX,
     end_id: int | None = None,
     pad_id: int = 0,
-    vocabulary: int = 1 << 16,
     window_ids: int = WINDOW_IDS,
 ) -> DataFrame:
-    """Matrices of packed rows (see ``SCHEMA``). Ids are stored in two bytes if
-    ``vocabulary`` allows it, else in four."""
+    """Matrices of packed rows (see ``SCHEMA``) of the ids in a column.
+    ``vocabulary`` is the number of ids of the model that gave them."""
+    pack = _pack(row_length, rows_per_matrix, end_id, pad_id, vocabulary, window_ids)
     long_rows(docs)
-    dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     runs = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(ids_col).cast("array<int>").alias("ids"))
-    return runs.mapInArrow(_pack(row_length, rows_per_matrix, end_id, pad_id, dtype, window_ids), SCHEMA)
+    return runs.mapInArrow(pack, SCHEMA)
+
+
+def pack_texts(
+    docs: DataFrame,
+    proto: bytes,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_length: int = ROW_LENGTH,
+    rows_per_matrix: int = ROWS_PER_MATRIX,
+    end_id: int | None = None,
+    pad_id: int = 0,
+    window_ids: int = WINDOW_IDS,
+) -> DataFrame:
+    """Matrices of the piece ids of a text column: encoded and packed in one
+    task, so the ids never leave Python between the two."""
+    vocabulary = pieces.vocabulary(proto)
+    pack = _pack(row_length, rows_per_matrix, end_id, pad_id, vocabulary, window_ids)
+    long_rows(docs)
+    model = docs.sparkSession.sparkContext.broadcast(proto)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces.ChunkTable(model.value)
+        encoded = (pa.RecordBatch.from_arrays([b.column(0), pieces.encode_batch(table, b.column(1))], ["doc", "ids"]) for b in batches)
+        return pack(encoded)
+
+    texts = docs.select(quoted(id_col).cast("bigint").alias("doc"), utf8(quoted(text_col)).alias("text"))
+    return texts.mapInArrow(run, SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
@@ -207,12 +265,14 @@ def write_packed(packed: DataFrame, path: str) -> None:
     packed.write.mode("errorifexists").parquet(path)
 
 
-def _unpack(row_length: int, dtype: str):
+def _unpack(row_length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, starts, runs = [], [], []
             for m in batch.to_pylist():
-                ids = np.frombuffer(m["ids"], dtype).reshape(m["n_rows"], row_length)
+                # The width of an id follows from the size of the matrix.
+                width = len(m["ids"]) // (m["n_rows"] * row_length)
+                ids = np.frombuffer(m["ids"], f"<u{width}").reshape(m["n_rows"], row_length)
                 for r, ends in enumerate(m["cu_seqlens"]):
                     for i, (a, b) in enumerate(zip(ends, ends[1:])):
                         docs.append(m["doc_ids"][r][i])
@@ -229,7 +289,6 @@ def _unpack(row_length: int, dtype: str):
     return run
 
 
-def unpack_segments(packed: DataFrame, row_length: int = ROW_LENGTH, vocabulary: int = 1 << 16) -> DataFrame:
+def unpack_segments(packed: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
     """``doc_id, start, ids`` of every segment, read back from the matrices."""
-    dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    return packed.mapInArrow(_unpack(row_length, dtype), "doc_id bigint, start bigint, ids array<int>")
+    return packed.mapInArrow(_unpack(row_length), "doc_id bigint, start bigint, ids array<int>")

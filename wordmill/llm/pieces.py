@@ -47,6 +47,11 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
+def vocabulary(proto: bytes) -> int:
+    """Number of ids of a model."""
+    return sentencepiece.SentencePieceProcessor(model_proto=proto).get_piece_size()
+
+
 def chunks_are_apart(model: sentencepiece.SentencePieceProcessor) -> bool:
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
     crossing = any(MARK in p.lstrip(MARK) for p in pieces)

@@ -122,8 +122,7 @@ END_ID = 2  # </s> of the piece model
 
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode_texts(docs, pieces.read_model(PIECE_MODEL))
-    return packing.pack_ids(encoded, end_id=END_ID)
+    return packing.pack_texts(docs, pieces.read_model(PIECE_MODEL), end_id=END_ID)
 
 
 def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
