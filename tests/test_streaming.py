@@ -7,7 +7,8 @@ import os
 from wordmill import schemas
 from wordmill.operators import attempts as T
 from wordmill.sources.writers import StateTable
-from wordmill.streaming.ingest import start_attempt_state, start_ingest
+from wordmill.streaming.attempts import read_attempt_state, start_attempt_state
+from wordmill.streaming.ingest import start_ingest
 
 
 def land(folder, name, pages):
@@ -48,25 +49,24 @@ def test_attempt_state_stream(spark, scratch):
     start_attempt_state(spark, logdir, state, ckpt).awaitTermination()
     spark.createDataFrame(second, schemas.ATTEMPT_LOG).write.mode("append").parquet(logdir)
     start_attempt_state(spark, logdir, state, ckpt).awaitTermination()
-    got = {r["video_id"]: (r["attempts"], r["last_attempt"]) for r in StateTable(state, schemas.ATTEMPTS).read(spark).collect()}
+    got = {r["video_id"]: (r["attempts"], r["last_attempt"]) for r in read_attempt_state(spark, state).collect()}
     whole = spark.createDataFrame(first + second, schemas.ATTEMPT_LOG)
     assert got == {r["video_id"]: (r["attempts"], r["last_attempt"]) for r in T.fold_attempts(whole).collect()}
     assert got == {"x": (1, t("2025-01-01 00:00:05")), "y": (2, t("2025-01-01 00:00:06"))}
 
 
 def test_replayed_attempt_batch_counts_once(spark, scratch):
-    from wordmill.streaming.ingest import attempt_microbatch
-
-    state = os.path.join(scratch, "state")
+    """A batch that failed after its rows were written runs again."""
+    logdir, state, ckpt = (os.path.join(scratch, n) for n in ("log", "state", "ckpt3"))
     t = lambda s: dt.datetime.fromisoformat(s)
-    process = attempt_microbatch(state)
-    b0 = spark.createDataFrame([("x", t("2025-01-01 00:00:01"), False)], schemas.ATTEMPT_LOG)
-    b1 = spark.createDataFrame([("x", t("2025-01-01 00:00:02"), False), ("y", t("2025-01-01 00:00:03"), False)], schemas.ATTEMPT_LOG)
-    process(b0, 0)
-    process(b1, 1)
-    process(b1, 1)  # replay after a failure that followed the state write
-    got = {r["video_id"]: r["attempts"] for r in StateTable(state, schemas.ATTEMPTS).read(spark).collect()}
-    assert got == {"x": 2, "y": 1}
+    for i, rows in enumerate(([("x", t("2025-01-01 00:00:01"), False)], [("x", t("2025-01-01 00:00:02"), False), ("y", t("2025-01-01 00:00:03"), False)])):
+        spark.createDataFrame(rows, schemas.ATTEMPT_LOG).write.mode("append").parquet(logdir)
+        start_attempt_state(spark, logdir, state, ckpt).awaitTermination()
+    # Undo the commit of the last batch, as if the run had died before it.
+    for name in ("1", ".1.crc"):
+        os.remove(os.path.join(ckpt, "commits", name))
+    start_attempt_state(spark, logdir, state, ckpt).awaitTermination()
+    assert {r["video_id"]: r["attempts"] for r in read_attempt_state(spark, state).collect()} == {"x": 2, "y": 1}
 
 
 def test_replayed_ingest_batch_is_harmless(spark, scratch):

@@ -18,6 +18,10 @@ from wordmill.functions.time import elapsed_micros, timestamp_param, trunc_secon
 from wordmill.plans.physical import salted_join
 
 
+# What can become of a listed video in a landing round.
+OUTCOMES = ("backoff_skip", "already_landed", "downloaded", "save_failed", "unavailable")
+
+
 def fold_attempts(log: DataFrame, seq_col: str | None = None) -> DataFrame:
     """``video_id, attempts, last_attempt`` from the attempt log.
 

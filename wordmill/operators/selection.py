@@ -11,10 +11,12 @@ import functools
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions.time import parse_date_param, timestamp_param
+from wordmill.plans.physical import bounded_broadcast
 
 
 def union_lists(*lists: DataFrame) -> DataFrame:
@@ -43,11 +45,29 @@ def keyword_condition(keywords: Sequence[str], columns: Sequence[str] = ("title"
     return functools.reduce(lambda a, b: a | b, hits)
 
 
+# Channel lists up to this length become an in-code hash set; longer ones, and
+# any frame, are joined.
+INLINE_CHANNELS_MAX = 1_000
+
+
 def channel_condition(channels: Sequence[str], column: str = "channel_name") -> Column:
     """exact, case-sensitive membership (an in-code hash set)."""
     return F.coalesce(F.col(column).isin(list(channels)), F.lit(False))
 
 
+def in_channels(videos: DataFrame, channels: Sequence[str] | DataFrame, column: str = "channel_name") -> DataFrame:
+    """F2 for long lists: a semi join with the names (a list, or the first
+    column of a frame). The names are broadcast after a check of their size;
+    beyond it Spark shuffles both sides and may filter the scan with a Bloom
+    filter of the names. The list is no part of the plan's text."""
+    if isinstance(channels, DataFrame):
+        names = channels.select(F.col(channels.columns[0]).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    else:
+        rows = pa.table({column: pa.array(sorted({c for c in channels if c is not None}), pa.string())})
+        names = videos.sparkSession.createDataFrame(rows)
+    return videos.join(bounded_broadcast(names), column, "left_semi").select(*videos.columns)
+
+
 # A time of day followed by a zone: "Z", "UTC", "+02:00", "+0200", "+02".
 _ZONE = r"(:[0-9]{2}(?:\.[0-9]+)?)\s*(?:[Zz]|UTC|[+-][0-9]{2}(?::?[0-9]{2})?)$"
 
@@ -110,16 +130,19 @@ def selection_condition(
 def select_videos(
     videos: DataFrame,
     keywords: Sequence[str] | None = None,
-    channels: Sequence[str] | None = None,
+    channels: Sequence[str] | DataFrame | None = None,
     start_date: str | None = None,
     end_date: str | None = None,
     literal_keywords: bool = False,
     end_inclusive_day: bool = False,
     dedupe: bool = False,
 ) -> DataFrame:
-    """Filter a video list. ``published_at`` keeps its original text; the
+    """Filter a video list. Channels beyond ``INLINE_CHANNELS_MAX`` names, or in
+    a frame, are joined (:func:`in_channels`). ``published_at`` keeps its original text; the
     parsed time is used only inside the predicate. ``dedupe`` drops repeated
     ``video_id`` rows (off by default: the original keeps them)."""
-    cond = selection_condition(keywords, channels, start_date, end_date, literal_keywords, end_inclusive_day)
-    out = videos.filter(cond)
+    long = isinstance(channels, DataFrame) or (channels is not None and len(channels) > INLINE_CHANNELS_MAX)
+    inline = None if long else channels
+    cond = selection_condition(keywords, inline, start_date, end_date, literal_keywords, end_inclusive_day)
+    out = (in_channels(videos, channels) if long else videos).filter(cond)
     return out.dropDuplicates(["video_id"]) if dedupe else out

@@ -60,6 +60,19 @@ def segments_to_text(
     return lines.groupBy(*keys, "block").agg(F.array_join(F.transform(ordered, lambda s: s["l"]), "\n").alias("text"))
 
 
+def text_to_blocks(
+    texts: DataFrame, keys: Sequence[str] = ("video_id",), text_col: str = "text", block_rows: int = SEGMENT_BLOCK_ROWS
+) -> DataFrame:
+    """Whole texts -> ``keys..., block, text`` of at most ``block_rows`` lines;
+    joined by newlines they are the text again. Narrow: no shuffle."""
+    lines = F.split(F.col(text_col), "\n", -1)
+    starts = F.sequence(F.lit(0), F.floor((F.size("_lines") - 1) / block_rows).cast("int"))
+    part = F.array_join(F.slice("_lines", F.col("block") * block_rows + 1, F.lit(block_rows)), "\n")
+    rows = texts.filter(F.col(text_col).isNotNull()).select(*keys, lines.alias("_lines"))
+    rows = rows.select(*keys, "_lines", F.explode(starts).alias("block"))
+    return rows.select(*keys, F.col("block").cast("bigint").alias("block"), part.alias("text"))
+
+
 def clean_blocks(blocks: DataFrame, keys: Sequence[str] = ("video_id",), text_col: str = "text") -> DataFrame:
     """X1-X3 on block-form transcripts, exactly as on the joined text.
 

@@ -29,8 +29,9 @@ from wordmill.functions.text import TOKEN_PATTERN, cut_comment, sanitize_path_pa
 from wordmill.functions.time import iso_utc, trunc_second
 from wordmill.operators import analytics, attempts, chunking, ingest, occurrences, profile, selection, transcripts
 from wordmill.operators.tokens import lemma_table
-from wordmill.plans.physical import small_table, spread
+from wordmill.plans.physical import materialize, scratch_path, small_table, spread
 from wordmill.schemas import PAGE
+from wordmill.sources import bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,8 @@ OLD_WATERMARKS = (
 NOW = "2024-01-30 12:00:00"
 LANGUAGES = ("de", "fr", "es", "en")
 OCCURRENCE_KEYWORDS = ("ing", "der", "que")
+# A long list of plain keywords: all strings of three of these letters.
+KEYWORD_LIST = tuple(a + b + c for a in "aeinrst" for b in "aeinrst" for c in "aeinrst")
 TOP_N = 50
 TREND_TOP_N = 15
 CHUNK_CHARS = 1000
@@ -192,6 +195,22 @@ def q_word_trend(spark, sf_dir):
     return trend(spark, sf_dir)
 
 
+def q_bucketed_trend(spark, sf_dir):
+    """The word trend from transcripts in buckets: written once, then joined
+    with the publish times where they lie. The rows of the trend are written
+    before the table goes."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("video_id"), "text")
+    times = table(spark, sf_dir, "events").filter("event_id % 5 = 0")
+    times = times.select((F.col("event_id") / 5).cast("bigint").alias("video_id"), iso_utc("ts").alias("published_at"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    landed = bucketed.create_bucketed(spark, scratch_path(spark, "bucketed"), docs.schema, ["video_id"], buckets, slots=1)
+    try:
+        landed.append(docs, block_col=None)
+        return materialize(analytics.word_trend(landed.join(times), stopwords=STOPWORDS), "bucketed-trend")
+    finally:
+        landed.forget(spark, delete=True)
+
+
 def q_top_word_series(spark, sf_dir):
     return analytics.top_series(trend(spark, sf_dir), TREND_TOP_N)
 
@@ -225,6 +244,23 @@ def q_select_date_range(spark, sf_dir):
     return out.select(*_SELECT_COLS)
 
 
+def q_select_date_zones(spark, sf_dir):
+    """Publish times as text with and without a zone, with fractions, and text
+    that is no time: the wall clock as written counts."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    text = F.regexp_replace(iso_utc("ts"), "Z$", "")
+    kind = F.col("event_id") % 5
+    times = (
+        F.when(kind == 0, F.concat(text, F.lit("Z")))
+        .when(kind == 1, F.concat(text, F.lit("+02:00")))
+        .when(kind == 2, text)
+        .when(kind == 3, F.concat(text, F.lit(".250-0530")))
+        .otherwise(F.concat(F.lit("on "), text))
+    )
+    rows = ev.select(F.col("event_id").cast("string").alias("video_id"), times.alias("published_at"))
+    return selection.select_videos(rows, start_date=START_DATE, end_date=END_DATE)
+
+
 def q_select_all_conditions(spark, sf_dir):
     out = selection.select_videos(
         videos(spark, sf_dir), keywords=KEYWORDS, channels=CHANNELS, start_date=START_DATE, end_date=END_DATE
@@ -370,6 +406,10 @@ def q_chunk_text(spark, sf_dir):
     return chunking.chunk_text(documents_text(spark, sf_dir), ("doc_id",), max_chars=CHUNK_CHARS)
 
 
+def q_keyword_list_occurrences(spark, sf_dir):
+    return occurrences.keyword_list_occurrences(segments(spark, sf_dir), KEYWORD_LIST, keys=("conv_id", "ord", "start"))
+
+
 def q_chunk_blocks(spark, sf_dir):
     """Chunks of whole conversations, cut from their landed blocks."""
     blocks = transcripts.segments_to_text(segments(spark, sf_dir), keys=("conv_id",), block_rows=BLOCK_ROWS)
@@ -488,11 +528,13 @@ QUERIES: dict[str, Query] = {
     "min_length_frequency": q_min_length_frequency,
     "stopword_frame_frequency": q_stopword_frame_frequency,
     "word_trend": q_word_trend,
+    "bucketed_trend": q_bucketed_trend,
     "top_word_series": q_top_word_series,
     "trend_matrix": q_trend_matrix,
     "select_keywords": q_select_keywords,
     "select_channels": q_select_channels,
     "select_date_range": q_select_date_range,
+    "select_date_zones": q_select_date_zones,
     "select_all_conditions": q_select_all_conditions,
     "union_lists": q_union_lists,
     "corpus_join": q_corpus_join,
@@ -510,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "chunk_text": q_chunk_text,
     "chunk_blocks": q_chunk_blocks,
     "keyword_occurrences": q_keyword_occurrences,
+    "keyword_list_occurrences": q_keyword_list_occurrences,
     "attempt_state": q_attempt_state,
     "retry_eligibility": q_retry_eligibility,
     "retry_work_list": q_retry_work_list,

@@ -162,6 +162,7 @@ WHERE length(word) >= 3 AND word NOT IN (
   SELECT lower(regexp_extract(text, {TOKEN})) FROM documents WHERE text IS NOT NULL)
 GROUP BY word""",
     "word_trend": f"WITH {TREND} SELECT word, date, count FROM trend",
+    "bucketed_trend": f"WITH {TREND} SELECT word, date, count FROM trend",
     "top_word_series": f"""WITH {TREND},
 totals AS (SELECT word, sum(count) AS total FROM trend GROUP BY word),
 top AS (SELECT word, row_number() OVER (ORDER BY total DESC, word) AS rank FROM totals
@@ -174,6 +175,11 @@ FROM trend JOIN top ON top.word = trend.word""",
     "select_keywords": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {KW_COND}",
     "select_channels": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {CH_COND}",
     "select_date_range": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {DATE_COND}",
+    "select_date_zones": f"""SELECT CAST(event_id AS VARCHAR) AS video_id, CASE event_id % 5
+    WHEN 0 THEN t || 'Z' WHEN 1 THEN t || '+02:00' WHEN 2 THEN t WHEN 3 THEN t || '.250-0530' END AS published_at
+FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS t,
+        date_trunc('second', ts) + CASE WHEN event_id % 5 = 3 THEN INTERVAL 250 MILLISECOND ELSE INTERVAL 0 SECOND END AS wall FROM events)
+WHERE event_id % 5 < 4 AND wall >= TIMESTAMP '{C.START_DATE} 00:00:00' AND wall <= TIMESTAMP '{C.END_DATE} 00:00:00'""",
     "select_all_conditions": f"WITH {VIDEOS} SELECT {SELECT_COLS} FROM videos WHERE {KW_COND} AND {CH_COND} AND {DATE_COND}",
     "union_lists": f"""WITH {VIDEOS}
 SELECT * FROM videos
@@ -252,6 +258,12 @@ WHERE (m.block BETWEEN bd.f AND bd.l) OR (bd.f IS NULL AND m.block = bd.mn)""",
   SELECT doc_id, chunk_no + 1, substr(rest, k + 1), trim(left(rest, k), {WS})
   FROM (SELECT doc_id, chunk_no, rest, {CHUNK_K} AS k FROM c WHERE length(rest) > 0))
 SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, chunk FROM c WHERE chunk_no >= 0""",
+    "keyword_list_occurrences": f"""WITH lines AS (
+  SELECT conv_id, turn, unnest(range(len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations WHERE text IS NOT NULL)),
+kw AS {_values([(k,) for k in C.KEYWORD_LIST], ["keyword"])}
+SELECT conv_id, turn AS ord, CAST(turn * {C.SEGMENT_SECONDS} AS DOUBLE) AS start, CAST(line_no AS INTEGER) AS line_no, keyword, line
+FROM lines JOIN kw ON contains(lower(line), kw.keyword)""",
     "chunk_blocks": f"""WITH RECURSIVE w AS (
   SELECT conv_id, string_agg(text, chr(10) ORDER BY block) AS text FROM ({SEGMENTS_TEXT}) GROUP BY conv_id),
 c(conv_id, chunk_no, rest, chunk) AS (

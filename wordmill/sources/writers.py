@@ -8,15 +8,21 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import warnings
+import zlib
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wordmill.metrics import JobMetrics
 from wordmill.operators.analytics import sorted_counts, sorted_trend
 from wordmill.operators.ingest import new_rows
-from wordmill.plans.physical import delete_path
+from wordmill.plans.physical import delete_path, materialized
+from wordmill.sources.files import DataFile, data_files, read_bytes, write_bytes
+from wordmill.sources.key_index import KeyIndex
 from wordmill.sources.readers import empty, path_exists
 
 
@@ -52,6 +58,23 @@ def append_new(batch: DataFrame, target: str, key: str = "video_id", fmt: str =
     return rows
 
 
+def append_indexed(batch: DataFrame, target: str, key: str = "video_id") -> list[str]:
+    """K1 / D3 for large Parquet targets: append the rows of ``batch`` whose
+    ``key`` is not yet in ``target``, asking the target's key index which files
+    may hold one (see :class:`wordmill.sources.key_index.KeyIndex`). Without a
+    known key no row of the target is read; without a new row nothing is
+    written. Returns the files that were read."""
+    spark, index = batch.sparkSession, KeyIndex(target, key)
+    there = path_exists(spark, target)
+    with materialized(batch, "append-batch") as rows:
+        existing, files = index.known(rows) if there else (None, [])
+        new = new_rows(rows, existing, key)
+        if not there or not new.isEmpty():
+            new.write.mode("append").parquet(target)
+            index.update(spark)
+    return files
+
+
 def write_list(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """K2: overwrite a selected video list."""
     _writer(df, fmt, "overwrite").save(path)
@@ -74,8 +97,13 @@ def write_matrix(matrix: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def write_transcripts(transcripts: DataFrame, path: str, mode: str = "append") -> None:
     """K6: transcripts as Parquet partitioned by channel (the partition
-    folder plays the role of the channel directory)."""
-    transcripts.write.mode(mode).partitionBy("channel_id").parquet(path)
+    folder plays the role of the channel directory).
+
+    Rows are rebalanced by channel first: a channel's rows meet in one task and
+    make one file, small channels share a task, and a channel beyond the
+    advisory partition size is split over several tasks and files."""
+    rows = transcripts.hint("rebalance", "channel_id")
+    rows.write.mode(mode).partitionBy("channel_id").parquet(path)
 
 
 class StateTable:
@@ -83,16 +111,24 @@ class StateTable:
 
     Each version is a folder ``v=<n>`` of its own, also when it has no rows.
     ``write(df, version)`` replaces exactly that folder, so a replayed
-    micro-batch rewrites its own version; ``read()`` returns the highest
-    committed version, or an empty frame. The newest ``KEEP`` versions stay,
-    older ones are deleted after a write.
+    micro-batch rewrites its own version, and then writes a manifest of the
+    version's files and its row count. ``read()`` returns the highest version
+    that agrees with its manifest, or an empty frame; versions that do not
+    (a file is missing, cut or unreadable) are skipped, with the reason in
+    ``skipped`` and a warning. The newest ``KEEP`` versions stay, older ones are
+    deleted after a write.
     """
 
     KEEP = 5
+    MANIFEST = "_manifest"
 
     def __init__(self, path: str, schema: StructType):
         self.path = path.rstrip("/")
         self.schema = schema
+        self.skipped: dict[int, str] = {}
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/v={int(version)}"
 
     def versions(self, spark: SparkSession) -> list[int]:
         """Committed versions, ascending."""
@@ -101,12 +137,42 @@ class StateTable:
         root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-        found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-        return sorted(v for v in found if path_exists(spark, f"{self.path}/v={v}/_SUCCESS"))
+        found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].lstrip("-").isdigit()]
+        return sorted(v for v in found if path_exists(spark, f"{self._folder(v)}/_SUCCESS"))
+
+    def fault(self, spark: SparkSession, version: int) -> str | None:
+        """Why a version cannot be used, or None. A version from before there
+        were manifests has none, and only has to be readable."""
+        folder = self._folder(version)
+        body = read_bytes(spark, f"{folder}/{self.MANIFEST}")
+        try:
+            manifest = json.loads(body) if body is not None else None
+        except ValueError:
+            return "its manifest is damaged"
+        if manifest is not None:
+            have = {os.path.basename(f.path): f.size for f in data_files(spark, folder)}
+            if have != manifest["files"]:
+                odd = sorted(n for n in have.keys() | manifest["files"].keys() if have.get(n) != manifest["files"].get(n))
+                return f"its files are not those of the manifest: {', '.join(odd)}"
+        try:
+            rows = spark.read.schema(self.schema).parquet(folder).count()
+        except Exception as error:  # a damaged Parquet file has many faces
+            return f"it cannot be read: {str(error).splitlines()[0]}"
+        if manifest is not None and rows != manifest["rows"]:
+            return f"it has {rows} rows, its manifest {manifest['rows']}"
+        return None
 
     def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
-        """Highest written version (below ``before`` when given)."""
-        return max((v for v in self.versions(spark) if before is None or v < int(before)), default=None)
+        """Highest sound version (below ``before`` when given)."""
+        for v in reversed(self.versions(spark)):
+            if before is not None and v >= int(before):
+                continue
+            reason = self.fault(spark, v)
+            if reason is None:
+                return v
+            self.skipped[v] = reason
+            warnings.warn(f"state {self._folder(v)} is skipped: {reason}", stacklevel=3)
+        return None
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The latest version, or with ``before`` the latest version older
@@ -116,14 +182,67 @@ class StateTable:
         v = self.latest_version(spark, before)
         if v is None:
             return empty(spark, self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.path}/v={v}")
+        return spark.read.schema(self.schema).parquet(self._folder(v))
 
     def write(self, df: DataFrame, version: int) -> None:
-        spark = df.sparkSession
+        spark, folder = df.sparkSession, self._folder(version)
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        out.write.mode("overwrite").parquet(f"{self.path}/v={int(version)}")
+        metrics = JobMetrics()
+        metrics.count(out, "rows").write.mode("overwrite").parquet(folder)
+        files = {os.path.basename(f.path): f.size for f in data_files(spark, folder)}
+        body = {"files": files, "rows": metrics.values()["rows"]}
+        write_bytes(spark, f"{folder}/{self.MANIFEST}", json.dumps(body).encode())
         for old in self.versions(spark)[: -self.KEEP]:
-            delete_path(spark, f"{self.path}/v={old}")
+            delete_path(spark, self._folder(old))
+
+
+class DeltaTable:
+    """State as changed rows per batch: ``write(df, batch)`` stores the rows
+    that a batch changed and nothing else; the state is the last row of each
+    key. :meth:`compact` folds the batches so far into one snapshot."""
+
+    def __init__(self, path: str, schema: StructType, key: str):
+        self.path, self.schema, self.key = path.rstrip("/"), schema, key
+
+    def _list(self, spark: SparkSession, kind: str) -> list[int]:
+        found = StateTable(f"{self.path}/{kind}", self.schema)
+        return found.versions(spark)
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        """A replayed batch replaces its own rows."""
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        out.write.mode("overwrite").parquet(f"{self.path}/deltas/v={int(batch)}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The last row of each key; map-side folding, one row a key moves."""
+        snapshot = max(self._list(spark, "snapshots"), default=None)
+        deltas = [v for v in self._list(spark, "deltas") if snapshot is None or v > snapshot]
+        parts = [f"{self.path}/deltas/v={v}" for v in deltas]
+        if snapshot is not None:
+            parts.append(f"{self.path}/snapshots/v={snapshot}")
+        if not parts:
+            return empty(spark, self.schema)
+        columns = [f.name for f in self.schema.fields]
+        version = F.regexp_extract("_metadata.file_path", r"/v=(\d+)/", 1).cast("bigint")
+        rows = spark.read.schema(self.schema).parquet(*parts).select(*columns, version.alias("_v"))
+        last = rows.groupBy(self.key).agg(F.max_by(F.struct(*columns), "_v").alias("_row"))
+        return last.select("_row.*")
+
+    def compact(self, spark: SparkSession, keep: Column | None = None) -> None:
+        """One snapshot of the state (only rows that meet ``keep``), then the
+        older batches are deleted. A crash in between loses nothing: batches up
+        to the snapshot are not read again."""
+        deltas = self._list(spark, "deltas")
+        if not deltas:
+            return
+        state = self.read(spark) if keep is None else self.read(spark).filter(keep)
+        older = self._list(spark, "snapshots")
+        state.write.mode("overwrite").parquet(f"{self.path}/snapshots/v={deltas[-1]}")
+        for v in older:
+            if v != deltas[-1]:
+                delete_path(spark, f"{self.path}/snapshots/v={v}")
+        for v in deltas:
+            delete_path(spark, f"{self.path}/deltas/v={v}")
 
 
 def append_log(entries: DataFrame, path: str) -> None:
@@ -152,9 +271,82 @@ def fingerprint(spark: SparkSession, paths: Iterable[str], params: dict | None =
     return hashlib.sha256("|".join(parts).encode()).hexdigest()[:24]
 
 
+class PartialCounts:
+    """S9 + K9: counts of a growing folder, kept as mergeable partial counts.
+
+    Every run counts only the files that no earlier run has counted and stores
+    their counts as one *generation* with the list of its files (path, size and
+    modification time). The result is the sum over the generations. A file that
+    changed or went voids its generation: the files of it that are still there
+    are counted anew. Beyond ``MERGE`` generations the counts are merged.
+
+    A generation counts from the moment its list is written, which is last; lists
+    of void generations are deleted first. So a crash at any point costs work,
+    never a wrong sum.
+    """
+
+    MERGE = 16
+
+    def __init__(self, cache_dir: str, key: str, schema: StructType):
+        self.path, self.schema = f"{cache_dir.rstrip('/')}/{key}", schema
+        self.counted: list[str] = []  # files that the last call has read
+
+    def _list(self, generation: int) -> str:
+        return f"{self.path}/files-{generation:08d}"
+
+    def _generations(self, spark: SparkSession) -> dict[int, set[DataFile]]:
+        out = {}
+        for f in data_files(spark, self.path):
+            name = os.path.basename(f.path)
+            if name.startswith("files-"):
+                body = read_bytes(spark, f.path)
+                out[int(name[6:])] = {DataFile(*x) for x in json.loads(zlib.decompress(body))}
+        return out
+
+    def _store(self, counts: DataFrame, files: Iterable[DataFile], generation: int, void: Iterable[int] = ()) -> None:
+        spark = counts.sparkSession
+        counts.write.mode("overwrite").parquet(f"{self.path}/counts/v={generation}")
+        for old in void:
+            delete_path(spark, self._list(old))
+        listed = json.dumps([[f.path, f.size, f.modified] for f in sorted(files, key=lambda f: f.path)])
+        write_bytes(spark, self._list(generation), zlib.compress(listed.encode()))
+
+    def update(self, spark: SparkSession, root: str, count: Callable[[list[str]], DataFrame]) -> DataFrame:
+        """The counts of all data files under ``root``. ``count`` gives the
+        counts of the files it is called with; all its columns but the last,
+        the number, are the key."""
+        there = set(data_files(spark, root))
+        known = self._generations(spark)
+        for generation in [g for g, files in known.items() if not files <= there]:
+            delete_path(spark, self._list(generation))
+            del known[generation]
+        fresh = there.difference(*known.values())
+        self.counted = sorted(f.path for f in fresh)
+        last = max(known, default=-1)
+        if fresh:
+            last += 1
+            self._store(count(self.counted), fresh, last)
+            known[last] = fresh
+        if len(known) > self.MERGE:
+            last += 1
+            self._store(self._sum(spark, known), set().union(*known.values()), last, void=known)
+            for old in known:
+                delete_path(spark, f"{self.path}/counts/v={old}")
+            known = {last: there}
+        return self._sum(spark, known)
+
+    def _sum(self, spark: SparkSession, generations: Iterable[int]) -> DataFrame:
+        paths = [f"{self.path}/counts/v={g}" for g in generations]
+        if not paths:
+            return empty(spark, self.schema)
+        *keys, number = self.schema.names
+        parts = spark.read.schema(self.schema).parquet(*paths)
+        return parts.groupBy(*keys).agg(F.sum(number).cast("bigint").alias(number))
+
+
 def cached(spark: SparkSession, cache_dir: str, key: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """S9 + K9: reuse a result written under ``cache_dir/key``; otherwise
-    compute, write (unsorted Parquet, strings stay strings) and read back."""
+    """Reuse a result written under ``cache_dir/key``; otherwise compute, write
+    (unsorted Parquet, strings stay strings) and read back."""
     path = f"{cache_dir.rstrip('/')}/{key}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return spark.read.parquet(path)

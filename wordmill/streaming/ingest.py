@@ -24,10 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wordmill import schemas
-from wordmill.operators import attempts as attempt_ops
 from wordmill.operators.ingest import ingest_batch
-from wordmill.sources.readers import path_exists
-from wordmill.sources.writers import StateTable
+from wordmill.sources.writers import StateTable, append_indexed
 
 
 def ingest_microbatch(
@@ -38,41 +36,21 @@ def ingest_microbatch(
     Rows first, watermark version ``batch_id`` second. The batch starts
     from the watermark version before its own, so a replay (after a failure
     at any point) sees the state of the first attempt; rows it already
-    appended are skipped by the anti join against the target.
+    appended are skipped by the anti join against the target, which reads
+    only the files that may hold a key of the batch (``writers.append_indexed``).
     """
     wm_table = StateTable(watermark_path, schemas.WATERMARKS)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        existing = None
-        if path_exists(session, target_path):
-            existing = session.read.parquet(target_path)
         old = wm_table.read(session, before=batch_id)
-        result = ingest_batch(batch, sources, existing, old, use_watermark)
-        result.rows.write.mode("append").parquet(target_path)
+        result = ingest_batch(batch, sources, None, old, use_watermark)
+        append_indexed(result.rows, target_path)
         wm_table.write(result.watermarks, batch_id)
 
     return process
 
 
-def attempt_microbatch(state_path: str) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body of the attempt-state stream.
-
-    Merging is not idempotent (failures add up), so a batch merges into the
-    state version *before* its own and overwrites version ``batch_id``: a
-    replayed batch recomputes the same version instead of counting its
-    entries twice.
-    """
-    table = StateTable(state_path, schemas.ATTEMPTS)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        merged = attempt_ops.merge_attempts(table.read(session, before=batch_id), batch)
-        table.write(merged, batch_id)
-
-    return process
-
-
 def start_ingest(
     spark: SparkSession,
     landing_dir: str,
@@ -97,20 +75,3 @@ def start_ingest(
     writer = pages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-
-
-def start_attempt_state(
-    spark: SparkSession,
-    log_dir: str,
-    state_path: str,
-    checkpoint_location: str,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """D9 as a stream: each micro-batch of new attempt-log files is merged
-    into the versioned state table (``merge_attempts``); only the new
-    entries and the current state are read per batch."""
-    log = spark.readStream.schema(schemas.ATTEMPT_LOG).parquet(log_dir)
-    process = attempt_microbatch(state_path)
-    writer = log.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
