@@ -27,7 +27,8 @@ with nothing). Documents are linked when their sets overlap by at least
    of different hubs meet by bands; shingles that no other class of such buckets
    has bound their overlap from above, and pairs that the bound allows are
    compared on full sets. Pairs inside a component need no comparison: they
-   cannot change it.
+   cannot change it. So in each group the largest component is left out of one
+   side, and pairs formed are at most its strays times its members.
 4. *Components* by repeated minimum over neighbours with pointer jumping, all
    in tables; nothing is collected.
 
@@ -383,16 +384,40 @@ def _side(able: DataFrame, mark: str, on: list[str], columns: list[str]) -> Data
     return able.select(*on, *(F.col(c).alias(f"{c}_{mark}") for c in columns))
 
 
+GROUP_SLICE = 5_000  # members of a group that one task compares
+
+
+def _stray_pairs(rows: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """Pairs of classes of the same group (equal ``on``) and different
+    components, each once, as ``<column>_a, <column>_b``.
+
+    The largest component of a group is left out of one side: only its strays,
+    the classes of other components, meet all members. So the pairs formed are
+    at most strays times members; a settled component costs nothing. The members
+    of a large group are dealt over several tasks, its strays go to each."""
+    sizes = rows.groupBy(*on, "component").agg(F.count(F.lit(1)).alias("m"))
+    groups = sizes.groupBy(*on).agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("parts"))
+    slots = F.ceil(F.col("m") / GROUP_SLICE).cast("int")
+    groups = groups.filter("parts > 1").select(*on, F.col("top.component").alias("main"), slots.alias("slots"))
+    groups = bounded_broadcast(materialize(groups, "near-groups"))
+    held = rows.join(groups, on)
+    slot = F.pmod(F.xxhash64("class"), F.col("slots")).cast("int")
+    members = _side(held.withColumn("slot", slot), "b", [*on, "slot", "main"], columns)
+    strays = held.filter("component <> main").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    pairs = _side(strays, "a", [*on, "slot"], columns).join(members, [*on, "slot"])
+    # Two strays meet in both orders.
+    once = (F.col("component_b") == F.col("main")) | (F.col("class_a") < F.col("class_b"))
+    return pairs.filter((F.col("component_a") != F.col("component_b")) & once)
+
+
 def _may_link(percent: int):
-    """Pairs once, across components, that ``most`` allows."""
-    within = F.least("most_a", "most_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    return (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & within
+    """Pairs that ``most`` allows."""
+    return F.least("most_a", "most_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
 
 
 def _around_hubs(able: DataFrame, percent: int) -> DataFrame:
     """Links across components between classes of the same hub."""
     near = able.filter(F.col("diff").isNotNull())
-    columns = ["class", "component", "n", "most", "diff"]
     a, b = (F.col(f"diff_{m}") for m in "ab")
     need = percent * (F.col("n_a") + F.col("n_b"))
     # First by sizes alone, then exactly.
@@ -404,7 +429,7 @@ def _around_hubs(able: DataFrame, percent: int) -> DataFrame:
         + F.size(F.array_intersect(a["removed"], b["removed"]))
         + F.size(F.array_intersect(a["added"], b["added"]))
     )
-    pairs = _side(near, "a", ["hub"], columns).join(_side(near, "b", ["hub"], columns), "hub")
+    pairs = _stray_pairs(near, ["hub"], ["class", "component", "n", "most", "diff"])
     linked = _may_link(percent) & (at_most * (100 + percent) >= need) & (common * (100 + percent) >= need)
     return pairs.filter(linked).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
@@ -414,8 +439,7 @@ def _across_hubs(able: DataFrame, percent: int) -> DataFrame:
     by the bands of one collection, which is enough to find every pair of a
     bucket; each pair is formed at the first band that it shares."""
     placed = able.select("*", F.posexplode("bands").alias("place", "band"), F.col("diff").isNotNull().alias("near"))
-    columns = ["class", "component", "n", "most", "hub", "near", "bands"]
-    pairs = _side(placed, "a", ["place", "band"], columns).join(_side(placed, "b", ["place", "band"], columns), ["place", "band"])
+    pairs = _stray_pairs(placed, ["place", "band"], ["class", "component", "n", "most", "hub", "near", "bands"])
     done = (F.col("hub_a") == F.col("hub_b")) & F.col("near_a") & F.col("near_b")
     same = F.transform(F.arrays_zip("bands_a", "bands_b"), lambda z: z["bands_a"] == z["bands_b"])
     first = F.array_position(same, True) == F.col("place") + 1

@@ -137,15 +137,29 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> DataFrame:
-    """At most ``max_rows // 2`` labelled ids of each class: those with the
-    smallest hash. One row per document: label, and whether it calibrates."""
-    known = (
+def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """One row per labelled document: ``sample_id, label, rank``."""
+    return (
         labels.filter(quoted(id_col).isNotNull() & quoted(label_col).isNotNull())
         .groupBy(quoted(id_col).alias("sample_id"))
         .agg(F.min(quoted(label_col)).cast("int").alias("label"))
         .withColumn("rank", F.xxhash64("sample_id"))
     )
+
+
+def prior_shift(known: DataFrame, max_rows: int) -> float:
+    """What the logarithm of the odds of good quality loses by the sample: it
+    takes a smaller share of the class that is larger than ``max_rows // 2``."""
+    n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter("label IN (0, 1)").collect()}
+    if len(n) < 2:
+        return 0.0
+    kept = {label: min(count, max_rows // 2) / count for label, count in n.items()}
+    return float(np.log(kept[0] / kept[1]))
+
+
+def labelled_sample(known: DataFrame, max_rows: int) -> DataFrame:
+    """At most ``max_rows // 2`` labelled ids of each class: those with the
+    smallest hash. One row per document: label, and whether it calibrates."""
     halves = [known.filter(F.col("label") == v).orderBy("rank", "sample_id").limit(max_rows // 2) for v in (0, 1)]
     sample = halves[0].unionByName(halves[1])
     held_out = F.pmod(F.xxhash64("sample_id", F.lit("fold")), F.lit(CALIBRATION_SHARE)) == 0
@@ -185,10 +199,13 @@ def fit_quality(
     label_col: str = "quality",
     max_rows: int = MAX_ROWS,
 ) -> QualityModel | None:
-    """Fit and calibrate the classifier on labelled rows of ``docs``."""
+    """Fit and calibrate the classifier on labelled rows of ``docs``. The
+    probability is that under the shares of the classes in all labels, whatever
+    part of each the sample holds."""
     long_rows(docs)
+    known = known_labels(labels, id_col, label_col)
     # Bounded by max_rows, so the broadcast is too; the texts are not shuffled.
-    sample = F.broadcast(labelled_sample(docs, labels, id_col, label_col, max_rows))
+    sample = F.broadcast(labelled_sample(known, max_rows))
     texts = docs.join(sample, quoted(id_col) == F.col("sample_id")).select(
         utf8(quoted(text_col)).alias("text"), "label", "held_out"
     )
@@ -212,6 +229,7 @@ def fit_quality(
         held = rows.filter("held_out").select("label", F.udf(margin, VectorUDT())("index", "value").alias("features"))
         platt = LogisticRegression(maxIter=50, regParam=1e-3, standardization=False).fit(held)
         model.slope, model.offset = float(platt.coefficients[0]), platt.intercept
+    model.offset += prior_shift(known, max_rows)
     return model
 
 
