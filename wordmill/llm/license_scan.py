@@ -7,10 +7,15 @@ lower-cased. The words are joined by single blanks and every phrase is
 searched with a blank at both ends, so one pass over the text finds all places
 of all phrases at word borders, overlapping ones included.
 
-An expression is what follows a tag on its line: licence identifiers joined by
-``or`` < ``and`` < ``with`` and brackets. It is turned into postfix form and
-evaluated on restriction levels: ``or`` takes the freer side, ``and`` the
-stricter, ``with`` lowers a copyleft level by one.
+An expression is what follows a tag and a colon on the tag's line; the tags'
+places come from the automaton, however their words are joined. It is made of
+licence identifiers joined by ``or`` < ``and`` < ``with`` and brackets; ``with``
+stands between two plain identifiers, a licence and its exception. It is turned
+into postfix form and evaluated on restriction levels: ``or`` takes the freer
+side (the left one of equals), ``and`` both and the stricter level, ``with``
+lowers a copyleft level by one. What is left is the reduced expression: the
+licences that bind whoever chooses the freest way, joined by ``AND``. Words
+behind a complete expression are no part of it.
 
 Defined cases: null and empty texts have no words, no places, no labels and
 score 0; a tag without a well-formed expression gives the label
@@ -62,7 +67,8 @@ MORE_PHRASES = {
     "no part of this publication may be reproduced": "no-reproduction",
 }
 TAG_PHRASES = {"spdx license identifier": "spdx", "license expression": "license-expression"}
-TAG = re.compile(rb"(?:spdx-license-identifier|license-expression)[ \t]*:([^\r\n]*)")
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+BEHIND_TAG = re.compile(rb"[ \t]*:([^\r\n]*)")
 
 # How sure one place of a label makes a notice.
 CERTAINTY = {"gpl": 0.6, "cc-by": 0.6, "reserved": 0.5, "public-domain": 0.3, "creative-commons": 0.5}
@@ -90,60 +96,65 @@ def level(identifier: str) -> int:
 
 def postfix(expression: str) -> list[str] | None:
     """The expression in postfix order (shunting-yard), or None if it is not
-    well formed. Reading stops at the first character of no token, such as a
-    closing comment mark."""
+    well formed. Reading stops behind a complete expression and at the first
+    character of no token, such as a closing comment mark."""
     out: list[str] = []
     stack: list[str] = []
-    operand_next = True
+    before = ""  # the token before
     at = 0
     while (m := TOKEN.match(expression, at)) is not None:
         at, token = m.end(), m[1].lower()
+        operand_next = before in ("", "(") or before in PRECEDENCE
         if token == "(":
-            if not operand_next:
+            if before == "with":
                 return None
+            if not operand_next:
+                break
             stack.append(token)
         elif token == ")":
-            if operand_next:
+            if operand_next or "(" not in stack:
                 return None
-            while stack and stack[-1] != "(":
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                return None
             stack.pop()
         elif token in PRECEDENCE:
-            if operand_next:
+            # An exception belongs to a plain licence identifier.
+            if operand_next or token == "with" and (before == ")" or stack[-1:] == ["with"]):
                 return None
             while stack and stack[-1] != "(" and PRECEDENCE[stack[-1]] >= PRECEDENCE[token]:
                 out.append(stack.pop())
             stack.append(token)
-            operand_next = True
         else:
             if not operand_next:
-                return None
+                break
             out.append(token)
-            operand_next = False
-    if operand_next or "(" in stack:
+        before = token
+    if before in ("", "(") or before in PRECEDENCE or "(" in stack:
         return None
     return out + stack[::-1]
 
 
-def evaluate(tokens: list[str]) -> tuple[int, list[str]]:
-    """Restriction level and licence identifiers of a postfix expression."""
-    stack: list[int] = []
+def evaluate(tokens: list[str]) -> tuple[int, list[str], list[str]]:
+    """Restriction level, all licence identifiers, and the licences of the
+    reduced expression, of a postfix expression."""
+    stack: list[tuple[int, list[str]]] = []
     names: list[str] = []
-    exceptions = {i - 1 for i, t in enumerate(tokens) if t == "with"}
     for i, token in enumerate(tokens):
-        if token in PRECEDENCE:
-            right, left = stack.pop(), stack.pop()
-            if token == "with":
-                stack.append(left - 1 if 2 <= left <= 4 else left)
-            else:
-                stack.append((min if token == "or" else max)(left, right))
-        else:
-            stack.append(level(token))
-            if i not in exceptions:
+        if token not in PRECEDENCE:
+            stack.append((level(token), [token]))
+            if tokens[i + 1 : i + 2] != ["with"]:
                 names.append(token)
-    return stack[0], names
+            continue
+        right, left = stack.pop(), stack.pop()
+        if token == "with":
+            lower = left[0] - 1 if 2 <= left[0] <= 4 else left[0]
+            stack.append((lower, [f"{left[1][0]} WITH {right[1][0]}"]))
+        elif token == "or":
+            stack.append(left if left[0] <= right[0] else right)
+        else:
+            stack.append((max(left[0], right[0]), left[1] + [x for x in right[1] if x not in left[1]]))
+    rank, chosen = stack[0]
+    return rank, names, sorted(chosen)
 
 
 class Scanner:
@@ -167,13 +178,24 @@ class Scanner:
         return len(words), out
 
 
-def expressions(body: bytes) -> list[dict]:
+def expressions(body: bytes, places: list[tuple[int, str, bool]]) -> list[dict]:
+    """The expressions behind the tags among the places of a text."""
+    lengths = {label: len(phrase.split()) for phrase, label in TAG_PHRASES.items()}
+    starts = [(word, lengths[label]) for word, label, _ in places if label in lengths]
+    if not starts:
+        return []
+    wanted = {w for start, n in starts for w in (start, start + n - 1)}
+    spans = {i: m.span() for i, m in enumerate(WORD.finditer(body)) if i in wanted}
     out = []
-    for m in TAG.finditer(body.lower()):
-        text = m[1].decode("utf-8", "replace").strip()
+    for start, n in starts:
+        begin, end = spans[start][0], spans[start + n - 1][1]
+        behind = BEHIND_TAG.match(body, end)
+        if behind is None or b"\n" in body[begin:end] or b"\r" in body[begin:end]:
+            continue
+        text = behind[1].decode("utf-8", "replace").strip()
         tokens = postfix(text)
-        rank, names = evaluate(tokens) if tokens else (UNKNOWN_LEVEL, [])
-        out.append({"expression": text, "valid": bool(tokens), "level": rank, "licenses": names})
+        rank, names, chosen = evaluate(tokens) if tokens else (UNKNOWN_LEVEL, [], [])
+        out.append({"expression": text, "valid": bool(tokens), "level": rank, "licenses": names, "reduced": " AND ".join(chosen)})
     return out
 
 
@@ -184,6 +206,7 @@ EXPRESSION = StructType(
         StructField("valid", BooleanType()),
         StructField("level", IntegerType()),
         StructField("licenses", ArrayType(StringType())),
+        StructField("reduced", StringType()),
     ]
 )
 SCAN = StructType(
@@ -207,6 +230,7 @@ ARROW_SCAN = pa.struct(
                         ("valid", pa.bool_()),
                         ("level", pa.int32()),
                         ("licenses", pa.list_(pa.string())),
+                        ("reduced", pa.string()),
                     ]
                 )
             ),
@@ -218,7 +242,7 @@ ARROW_SCAN = pa.struct(
 
 def scan_text(scanner: Scanner, body: bytes) -> dict:
     n_words, places = scanner.places(body)
-    tagged = expressions(body) if any(label in TAG_PHRASES.values() for _, label, _ in places) else []
+    tagged = expressions(body, places)
     doubt = 1.0
     for label in sorted({label for _, label, _ in places} - set(TAG_PHRASES.values())):
         doubt *= 1 - CERTAINTY.get(label, OTHER_CERTAINTY)
@@ -234,7 +258,7 @@ def scan_text(scanner: Scanner, body: bytes) -> dict:
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", more_phrases: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with ``n_words``, ``places`` (word, label, base), ``expressions``
-    (text, valid, level, licenses) and ``score`` (0: no notice found, towards
+    (text, valid, level, licenses, reduced) and ``score`` (0: no notice found, towards
     1: surely licensed text)."""
     long_rows(docs)
     phrases = {p: (label, False) for p, label in {**MORE_PHRASES, **TAG_PHRASES, **(more_phrases or {})}.items()}
@@ -258,3 +282,10 @@ def labels(places: str = "places", exprs: str = "expressions", base_only: bool =
         flat = F.flatten(F.transform(exprs, lambda e: F.when(e["valid"], e["licenses"]).otherwise(F.array(F.lit("spdx-invalid")))))
         names = F.concat(names, flat)
     return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+
+def strictest(field: str, exprs: str = "expressions") -> F.Column:
+    """``level`` or ``reduced`` of the strictest well-formed expression (the
+    first of equals by its reduced form); null without one."""
+    ranked = F.transform(F.filter(exprs, lambda e: e["valid"]), lambda e: F.struct((-e["level"]).alias("rank"), e["reduced"].alias("reduced"), e["level"].alias("level")))
+    return F.array_min(ranked)[field]

@@ -42,6 +42,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         license_scan.labels(base_only=True).alias("base_labels"),
         license_scan.labels().alias("labels"),
         "score",
+        license_scan.strictest("level").alias("license_level"),
+        license_scan.strictest("reduced").alias("license_expression"),
     )
 
 
@@ -114,7 +116,7 @@ MIX_SHARE = 0.5
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix_sources(docs, mixing.document_levels(), mixing.DOCUMENT_WEIGHTS, share=MIX_SHARE)
-    return mixed.select("doc_id", "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("tokens"))
+    return mixed.select("doc_id", "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("estimated_tokens"))
 
 
 END_ID = 2  # </s> of the piece model
@@ -264,7 +266,7 @@ WITH based AS (
   SELECT *, sum(tokens) OVER (PARTITION BY d, l, s ORDER BY key) AS upto FROM keyed
 )
 SELECT doc_id, lang, source, unnest(CASE WHEN whole < 3 AND upto <= rest THEN range(whole + 1) ELSE range(whole) END) AS epoch,
-  tokens::BIGINT AS tokens
+  tokens::BIGINT AS estimated_tokens
 FROM run
 """,
     "op12_ranked_search": r"""
