@@ -5,8 +5,9 @@ pieces cannot cross the start of a marker run. A text then falls apart into
 chunks (a run of markers and the characters up to the next run), and the ids
 of a text are the ids of its chunks in a row. Each task keeps a table of the
 distinct chunks it has met, segments each one once with the library, and joins
-the ids back by position with array indexing. The table is bounded: it starts
-anew beyond ``max_chunks`` entries or ``max_chunk_chars`` characters.
+the ids back by position with array indexing. The table is bounded: beyond
+``max_chunks`` entries or ``max_chunk_chars`` characters it keeps only chunks
+that came up more than once.
 
 Models for which this does not hold (pieces across markers, a normalizer that
 changes text, no dummy prefix) are detected and their texts encoded whole.
@@ -18,7 +19,7 @@ replaces a column of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from wordmill.llm.common import long_rows, quoted, unused_name, utf8
 
 MARK = "▁"
-MAX_CHUNKS = 150_000
+MAX_CHUNKS = 250_000
 MAX_CHUNK_CHARS = 20_000_000
 # New chunks go to the library in texts of about so many characters, which
 # costs much less than a call for each chunk.
@@ -80,6 +81,20 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+class Codes(dict):
+    """Numbers of the chunks met; a chunk that is asked for the first time gets
+    the next number and is noted as new."""
+
+    def __init__(self, known: Iterable[str] = ()):
+        super().__init__((chunk, i) for i, chunk in enumerate(known))
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class ChunkTable:
     def __init__(self, proto: bytes, max_chunks: int = MAX_CHUNKS, max_chars: int = MAX_CHUNK_CHARS):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
@@ -87,14 +102,34 @@ class ChunkTable:
         marked = (self.model.id_to_piece(i).startswith(MARK) for i in range(self.model.get_piece_size()))
         self.marked = np.fromiter(marked, bool, self.model.get_piece_size())
         self.max_chunks, self.max_chars = max_chunks, max_chars
-        self._clear()
-
-    def _clear(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = Codes()
         self.chars = 0
         self.ids = np.zeros(0, np.int32)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _shrink(self) -> None:
+        """Keep the chunks that came up again since the last time, half of the
+        table at most."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > self.max_chunks // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: self.max_chunks // 2]])
+        names = list(self.code)
+        names = [names[i] for i in keep.tolist()]
+        self.chars = sum(map(len, names))
+        if self.chars > self.max_chars // 2:
+            keep, names, self.chars = keep[:0], [], 0
+        self.code = Codes(names)
+        places, ends = self._places(keep)
+        self.ids, self.length = self.ids[places], self.length[keep]
+        self.start = ends - self.length
+        self.uses = np.zeros(len(keep), np.int64)
+
+    def _places(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the table the ids of some chunks are, one chunk after the
+        other, and where each chunk ends in that row."""
+        length = self.length[code]
+        ends = np.cumsum(length)
+        return np.repeat(self.start[code] - (ends - length), length) + np.arange(int(length.sum())), ends
 
     def _segment(self, single: list[str], other: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids and number of ids of each chunk, in order, some chunks at a
@@ -108,46 +143,44 @@ class ChunkTable:
             ids = self.model.encode(c, num_threads=1) if c else [self.model.piece_to_id(MARK)]
             yield np.array(ids, np.int32), np.array([len(ids)])
 
-    def _add(self, distinct: set[str]) -> None:
-        other = [c for c in distinct if not c or c[0] == " "]
-        single = list(distinct.difference(other))
-        new = single + other
-        ids, length = map(np.concatenate, zip(*self._segment(single, other)))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
+    def _add(self, new: list[str]) -> None:
+        spaced = [not c or c[0] == " " for c in new]
+        single = [c for c, s in zip(new, spaced) if not s]
+        other = [c for c, s in zip(new, spaced) if s]
+        order = np.argsort(np.array(spaced), kind="stable")
+        ids, counts = map(np.concatenate, zip(*self._segment(single, other)))
+        length, start = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        length[order] = counts
+        start[order] = len(self.ids) + np.cumsum(counts) - counts
+        self.start = np.concatenate([self.start, start])
         self.length = np.concatenate([self.length, length])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.ids = np.concatenate([self.ids, ids])
-        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> pa.ListArray:
         if not self.apart:
             return pa.array(self.model.encode(texts, num_threads=1), pa.list_(pa.int32()))
+        if len(self.code) > self.max_chunks or self.chars > self.max_chars:
+            self._shrink()
         split = [chunks(t) for t in texts]
-        distinct = set().union(*split)
-        if len(self.code) + len(distinct) > self.max_chunks or self.chars > self.max_chars:
-            self._clear()
-        new = distinct - self.code.keys()
-        if new:
-            self._add(new)
         n_chunks = np.fromiter(map(len, split), np.int64, len(split))
         code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(split)), np.int64, int(n_chunks.sum()))
-        length = self.length[code]
-        ends = np.cumsum(length)
-        places = np.repeat(self.start[code] - (ends - length), length) + np.arange(int(length.sum()))
+        if self.code.new:
+            new, self.code.new = self.code.new, []
+            self._add(new)
+        self.uses += np.bincount(code, minlength=len(self.uses))
+        places, ends = self._places(code)
         offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_chunks)])]
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(self.ids[places], pa.int32()))
 
 
 def joined_texts(single: list[str]) -> Iterator[str]:
-    part, size = [], 0
-    for c in single:
-        part.append(c)
-        size += len(c)
-        if size >= JOINED_CHARS:
-            yield " ".join(part)
-            part, size = [], 0
-    if part:
-        yield " ".join(part)
+    """Chunks joined to texts of about ``JOINED_CHARS`` characters."""
+    ends = np.cumsum(np.fromiter(map(len, single), np.int64, len(single)))
+    part = np.flatnonzero(np.diff(ends // JOINED_CHARS, prepend=-1, append=-1)).tolist()
+    for i, j in zip(part, part[1:]):
+        yield " ".join(single[i:j])
 
 
 # Texts encoded at a time inside a task; bounds the index arrays.
