@@ -308,6 +308,49 @@ def test_pii_secrets_in_capitals_and_of_any_length(spark):
     assert len({new[3][i : i + 64] for i in range(0, 192, 64)}) == 3
 
 
+PLAIN_FORMS = [
+    ("at 2024-01-15T10:00:00Z", ["date"], True), ("born 12/31/1999, 02/30/2001", ["date"], True), ("31/12/1999 05/06/2001", ["date", "date"], True),
+    ("a@b.com_x", ["email"], False), ("mail müller@x.de!", ["email"], False), ("данные@почта.рф", ["email"], False),
+    ("password: hunter2!", ["secret"], False), ("api-key: 0123456789abcdef0", ["secret"], False), ('{"pwd": "s3cr3t#x"}', ["secret"], False),
+    ("use ghp_16C7e42F292c6912E7710c838347Ae178B4a now", ["secret"], False), ("eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmNHl0w", ["secret"], False),
+    ("host 2001:0db8:0000:0000:0000:ff00:0042:8329.", ["ipv6"], True), ("2001:db8::ff00:42:8329 fe80::1", ["ipv6", "ipv6"], False),
+    ("std::vector abc::def 10:30:45 00:1A:2B:3C:4D:5E password: required token: yes 1:2:3:4::5:6:7:8", [], True), ("pwd: /home/u1/src", [], True),
+    ("password reset on 12/13/14 and key: value", [], True),
+]
+
+
+def test_pii_plain_forms(spark):
+    frame = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(PLAIN_FORMS)], "doc_id long, text string")
+    hidden = pii.pseudonymize(frame, "k").orderBy("doc_id").collect()
+    assert [[p.kind for p in r.pii] for r in hidden] == [kinds for _, kinds, _ in PLAIN_FORMS]
+    back = pii.pseudonymize(spark.createDataFrame(hidden), "k", invert=True).orderBy("doc_id").collect()
+    for row, old, (text, kinds, restored) in zip(hidden, back, PLAIN_FORMS, strict=True):
+        assert (row.text == text) == (not kinds) and all(p.value in row.text for p in row.pii)
+        assert not restored or old.text == text
+    assert not any(v in r.text for r in hidden for v in ("hunter2", "s3cr3t", "0123456789abcdef0", "16C7e42F", "eyJzdWI", "ller@", "данные", "8329"))
+    # An address keeps its pseudonym in every writing and comes back in full.
+    assert hidden[11].pii[0].value == hidden[12].pii[0].value
+    assert back[12].text == "2001:0db8:0000:0000:0000:ff00:0042:8329 fe80:0000:0000:0000:0000:0000:0000:0001"
+
+
+def test_pii_month_first_dates_are_permuted(spark):
+    days = spark.range(73049).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d")).filter("day(d) > 12")
+    text = F.date_format("d", "MM/dd/yyyy")
+    out = days.select(text.alias("d"), pii._date(text, "k", False).alias("p")).withColumn("back", pii._date(F.col("p"), "k", True))
+    rows = out.collect()
+    assert len(rows) == 44249 == len({r.p for r in rows}) == len({r.d for r in rows} & {r.p for r in rows})
+    assert all(r.back == r.d for r in rows) and sum(r.p == r.d for r in rows) < 10
+
+
+def test_pii_key_is_in_no_plan(spark):
+    frame = spark.createDataFrame([(1, "4111 1111 1111 1111 a@b.com token=abcdefghijklmnop1")], "doc_id long, text string")
+    hidden = pii.pseudonymize(frame, "a very secret key")
+    assert hidden.first().n_pii == 3
+    assert "secret key" not in hidden._jdf.queryExecution().toString() + hidden._jdf.queryExecution().executedPlan().toString()
+    with pytest.warns(UserWarning, match="published key"):
+        assert pii.pii_key(spark) == pii.DEMO_KEY
+
+
 OVERLAPPING = [
     ("3782 822463 10005", ["card"]), ("3056-930902-5904", ["card"]), ("Order 2024 4111 1111 1111 1111", ["card"]),
     ("4111 1111 1111 1111 2024.", ["card"]), ("4111111111111111 4111 1111 1111 1111", ["card", "card"]),

@@ -10,11 +10,15 @@ Candidates are found by regular expressions and validated by kind:
 * ``phone``: North American numbers (assignable, or written with a plus sign or
   brackets), and other international numbers with a plus sign;
 * ``ipv4``: four octets;
-* ``date``: a calendar date from 1900 to 2099, written year-month-day or
-  day.month.year or day/month/year;
-* ``email``: local part and domain;
-* ``secret``: access key ids, and what is assigned to a password, token, secret
-  or api_key, in capitals or not (16 letters and digits or more).
+* ``ipv6``: eight groups, or fewer around one ``::`` with a digit among them;
+* ``date``: a calendar date from 1900 to 2099, written year-month-day (a time
+  may follow behind a T) or day.month.year or day/month/year, and
+  month/day/year where it cannot be day/month/year;
+* ``email``: local part and domain, of any script;
+* ``secret``: access keys and tokens with a known beginning; what is assigned to
+  a password, passphrase, token, secret or api key, in capitals or not: 16
+  letters and digits or more, or 16 characters (for passwords 6) or more with a
+  letter and a digit among them.
 
 Each value is permuted within its own format by a keyed Feistel network: its
 digits are read as a pair of numbers (left, right) modulo sizes that cover
@@ -22,7 +26,9 @@ exactly the valid values, and rounds add a keyed hash of the one side to the
 other. That is a bijection, so different values keep different pseudonyms and
 equal values, in whatever document, the same one; ``invert=True`` takes it back. Check
 digits are computed anew, so pseudonyms validate again. Dates are permuted as
-day numbers. Separators stay where they are; digits are compared without them,
+day numbers; month/day/year dates among those that can be nothing else. An
+``ipv6`` is permuted as 128 bits and written out in full, so that ``invert``
+gives the address, not its short form. Separators stay where they are; digits are compared without them,
 so the same number written in two ways stays linked. An address has no number
 format: its local part becomes a keyed hash (not invertible) and its domain a
 reserved one. A secret becomes keyed hex digits of the same length.
@@ -33,6 +39,12 @@ place the first kind in the order of ``NUMBERS`` and the longest. A pseudonym
 depends on its value alone, so it can happen to make an overlapping number in
 front of it valid; ``invert`` then needs the column ``pii``.
 
+The key reaches the executors as the value of a scalar subquery: neither
+``explain()`` nor the event log shows it.
+
+Not found, as the writing does not tell them from other numbers or words: bare
+ten-digit phone numbers, passwords without a digit, names and postal addresses.
+
 Defined cases: null text stays null with no findings; empty text stays empty;
 values next to letters or digits are no candidates; the result columns
 ``n_pii`` and ``pii`` (kind and pseudonym in order) replace columns of the same
@@ -41,19 +53,33 @@ name.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.llm.common import quoted, unused_name
 
 ROUNDS = 8
-KEY_CONF = "wordmill.pii.key"
-DEMO_KEY = "demonstration key; set wordmill.pii.key"
-
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-SECRET = r"AKIA[0-9A-Z]{16}|(?i:password|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9]{16,}+"
+# Spark itself redacts settings with "secret" in their name in its event log.
+KEY_CONF = "spark.wordmill.pii.secret"
+DEMO_KEY = f"demonstration key; set {KEY_CONF}"
+
+LOCAL = r"\p{L}\p{M}\p{N}._%+-"
+EMAIL = rf"[{LOCAL}]++@[\p{{L}}\p{{M}}\p{{N}}-]++(?:\.[\p{{L}}\p{{M}}\p{{N}}-]++)+"
+# What tokens of well-known services begin with.
+MARKED = r"A[KS]IA(?=[0-9A-Z]{16})|gh[opsur]_(?=[A-Za-z0-9]{16})|github_pat_|glpat-|xox[abeprs]-|sk-(?=[A-Za-z0-9_-]*[0-9])|eyJ(?=[A-Za-z0-9_-]+\.eyJ)"
+PASSWORD = r"(?i:password|passwd|passphrase|pwd)"
+NAMED = r"(?i:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)"
+ASSIGNED = r"[\"']? ?[=:] ?[\"']?"
+MIXED = r"(?=[^\s\"',;]*[0-9])(?=[^\s\"',;]*[A-Za-z])"
+LONG = r"[A-Za-z0-9_+/=~.-]{15,}[A-Za-z0-9_=+/-]"
+SECRET = (
+    rf"(?:{MARKED})[A-Za-z0-9_-]{{10,}}+(?:\.[A-Za-z0-9_-]{{10,}}+)*|{PASSWORD}{ASSIGNED}(?!/){MIXED}[^\s\"',;]{{5,}}[^\s\"',;.:)]"
+    rf"|{NAMED}{ASSIGNED}(?!/)(?:{MIXED}{LONG}|[A-Za-z0-9]{{16,}}+)(?![A-Za-z0-9_@]|[.-][0-9])"
+)
 # Addresses and credentials, of any length; they are cut out of the text first.
-TEXTS = rf"(?:(?<![A-Za-z0-9._%+-])(?:{EMAIL})|(?<![A-Za-z0-9])(?:{SECRET}))(?![A-Za-z0-9_@]|[.-][0-9])"
+TEXTS = rf"(?<![{LOCAL}])(?:{EMAIL})(?!@)|(?<![A-Za-z0-9])(?:{SECRET})"
 
 IBAN_COUNTRIES = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -80,6 +106,10 @@ def _iban_spans() -> list[str]:
 SPANS = {
     "date": [r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}"],
     "ipv4": [r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"],
+    "ipv6": [
+        r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}",
+        r"(?=[A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?",
+    ],
     "ssn": [r"[0-9]{3}-[0-9]{2}-[0-9]{4}"],
     "phone": [r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"]
     + [rf"\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,5}}){{{n}}}" for n in range(5, 1, -1)],
@@ -89,30 +119,38 @@ SPANS = {
 # No letter, digit or part of a longer number around a candidate.
 BEFORE = r"(?<![A-Za-z0-9])(?<![0-9][.-])"
 AFTER = r"(?![A-Za-z0-9@]|[.-][0-9])"
+# A time may follow a date, and no further group an address.
+AFTER_KIND = {"date": r"(?![A-SU-Za-z0-9@]|T(?![0-9]{2})|[.-][0-9])", "ipv6": AFTER + r"(?!:[0-9A-Fa-f:])"}
 # What a kind's spans have in common, to try them only there.
-QUICK = {kind: "(?:" + "|".join(f"(?:{s})" for s in spans) + ")" + AFTER for kind, spans in SPANS.items()} | {
-    "card": "[0-9](?:[ -]?[0-9]){12,18}" + AFTER
+QUICK = {kind: "(?:" + "|".join(f"(?:{s})" for s in spans) + ")" + AFTER_KIND.get(kind, AFTER) for kind, spans in SPANS.items()} | {
+    "card": "[0-9](?:[ -]?[0-9]){12,18}" + AFTER,
+    "ipv6": "(?<!:)" + "(?:" + "|".join(f"(?:{s})" for s in SPANS["ipv6"]) + ")" + AFTER_KIND["ipv6"],
 }
 # The places where candidates start, overlapping ones too: texts are cut there.
 # The first look ahead only saves time.
-STARTS = "(?=[0-9+(]|[A-Z]{2}[0-9])" + BEFORE + "(?=" + "|".join(QUICK.values()) + ")"
+STARTS = "(?=[0-9+(]|[A-Z]{2}[0-9]|[A-Fa-f0-9]{0,4}:[0-9A-Fa-f:])" + BEFORE + "(?=" + "|".join(QUICK.values()) + ")"
 WINDOW = 64  # characters; no span is longer than 42
 
 FIRST_DAY = "1900-01-01"
 DAY_SIZES = (17, 4297)  # 73,049 days to 2099-12-31
+LATE_SIZES = (59, 750)  # 44,249 of these days and one: behind the 12th of a month
 
 
 def digits_of(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def keyed_number(key: str, *parts: Column) -> Column:
+def keyed_hash(key: str | Column, *parts: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
+
+
+def keyed_number(key: str | Column, *parts: Column) -> Column:
     """A keyed 60-bit hash of the parts."""
-    hashed = F.sha2(F.concat_ws("|", F.lit(key), *(p.cast("string") for p in parts)), 256)
+    hashed = keyed_hash(key, *(p.cast("string") for p in parts))
     return F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
 
 
-def feistel(left: Column, right: Column, size_left: Column, size_right: Column, tweak: Column, key: str, invert: bool) -> Column:
+def feistel(left: Column, right: Column, size_left: Column, size_right: Column, tweak: Column, key: str | Column, invert: bool) -> Column:
     """``struct(l, r)``: the pair permuted within its sizes. Odd rounds change
     the left side by a hash of the right, even rounds the other way round."""
     rounds = F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)) if invert else F.sequence(F.lit(1), F.lit(ROUNDS))
@@ -138,7 +176,7 @@ def _padded(number: Column, width: Column) -> Column:
     return F.concat(F.repeat(F.lit("0"), (width - F.length(text)).cast("int")), text)
 
 
-def permute_digits(digits: Column, tweak: Column, key: str, invert: bool) -> Column:
+def permute_digits(digits: Column, tweak: Column, key: str | Column, invert: bool) -> Column:
     """Digits of the same number, for any number of 2 to 36 digits."""
     n = F.length(digits)
     half = F.floor(n / 2).cast("int")
@@ -174,7 +212,7 @@ def luhn_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def _card(value: Column, key: str, invert: bool) -> Column:
+def _card(value: Column, key: str | Column, invert: bool) -> Column:
     digits = digits_of(value)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = _let(permute_digits(body, F.lit("card"), key, invert), lambda b: F.concat(b, luhn_digit(b)))
@@ -192,7 +230,7 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
-def _iban(value: Column, key: str, invert: bool) -> Column:
+def _iban(value: Column, key: str | Column, invert: bool) -> Column:
     plain = F.replace(value, F.lit(" "), F.lit(""))
     country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
     valid = _mod97(F.concat(account, F.substr(plain, F.lit(1), F.lit(4)))) == 1
@@ -203,11 +241,40 @@ def _iban(value: Column, key: str, invert: bool) -> Column:
     return F.when(valid, into_format(value, F.concat(check, digits_of(new))))
 
 
-def _date(value: Column, key: str, invert: bool) -> Column:
+def _early_days(month: Column) -> Column:
+    """Days behind the 12th from FIRST_DAY to the start of a month (months
+    counted from there)."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.date_diff(F.add_months(first, month), first) - 12 * month
+
+
+def _month_first(day: Column, key: str | Column, invert: bool) -> Column:
+    """The days behind the 12th of a month permuted among themselves: they are
+    counted without the others. They are one less than the pairs of the network;
+    a value that is sent to the pair left over is sent on."""
+    a, b = LATE_SIZES
+    start = F.lit(FIRST_DAY).cast("date")
+    index = F.date_diff(day, start) - 12 * (F.months_between(F.trunc(day, "month"), start).cast("int") + 1)
+
+    def once(i: Column) -> Column:
+        mixed = feistel(F.floor(i / b).cast("bigint"), i % b, F.lit(a), F.lit(b), F.lit("month first"), key, invert)
+        return _let(mixed, lambda p: p["l"] * b + p["r"])
+
+    def to_date(i: Column) -> Column:
+        guess = F.floor(i * 2400 / (a * b - 1)).cast("int")  # 2,400 months; the guess is less than two off
+        near = F.sequence(F.greatest(guess - 2, F.lit(0)), F.least(guess + 2, F.lit(2399)))
+        month = F.array_max(F.filter(near, lambda m: _early_days(m) <= i))
+        return _let(month, lambda m: F.date_add(F.add_months(start, m), (i - _early_days(m) + 12).cast("int")))
+
+    left_over = F.lit(a * b - 1).cast("bigint")
+    return _let(_let(once(index), lambda i: F.when(i == left_over, once(left_over)).otherwise(i)), to_date)
+
+
+def _date(value: Column, key: str | Column, invert: bool) -> Column:
     iso = F.substr(value, F.lit(5), F.lit(1)) == "-"
     mark = F.substr(value, F.lit(3), F.lit(1))
-    flipped = F.concat_ws("-", F.substr(value, F.lit(7), F.lit(4)), F.substr(value, F.lit(4), F.lit(2)), F.substr(value, F.lit(1), F.lit(2)))
-    day = F.date_diff(F.when(iso, value).otherwise(flipped).try_cast("date"), F.lit(FIRST_DAY).cast("date")).cast("bigint")
+    year, second, first = (F.substr(value, F.lit(i), F.lit(n)) for i, n in ((7, 4), (4, 2), (1, 2)))
+    day = F.date_diff(F.when(iso, value).otherwise(F.concat_ws("-", year, second, first)).try_cast("date"), F.lit(FIRST_DAY).cast("date")).cast("bigint")
     a, b = DAY_SIZES
     left, right = F.floor(day / b).cast("bigint"), day % b
     mixed = feistel(left, right, F.lit(a), F.lit(b), F.lit("date"), key, invert)
@@ -215,10 +282,12 @@ def _date(value: Column, key: str, invert: bool) -> Column:
     text = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
         F.concat(F.date_format(new, "dd"), mark, F.date_format(new, "MM"), mark, F.date_format(new, "yyyy"))
     )
-    return F.when(day.between(0, a * b - 1), text)
+    american = F.when((mark == "/") & day.isNull() & year.between("1900", "2099"), F.concat_ws("-", year, first, second).try_cast("date"))
+    flipped = F.date_format(_month_first(american, key, invert), "MM/dd/yyyy")
+    return F.when(day.between(0, a * b - 1), text).otherwise(F.when(american.isNotNull(), flipped))
 
 
-def _ipv4(value: Column, key: str, invert: bool) -> Column:
+def _ipv4(value: Column, key: str | Column, invert: bool) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda o: o.cast("bigint"))
     left, right = (F.element_at(octets, i) * 256 + F.element_at(octets, i + 1) for i in (1, 3))
     mixed = feistel(left, right, F.lit(65536), F.lit(65536), F.lit("ipv4"), key, invert)
@@ -226,7 +295,37 @@ def _ipv4(value: Column, key: str, invert: bool) -> Column:
     return F.when(F.forall(octets, lambda o: o <= 255), new)
 
 
-def _ssn(value: Column, key: str, invert: bool) -> Column:
+def _ipv6(value: Column, key: str | Column, invert: bool) -> Column:
+    """All 128 bits, in halves of 64 that are combined by exclusive or."""
+    count = lambda text: F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, ":")))
+    head, tail = F.split_part(value, F.lit("::"), F.lit(1)), F.split_part(value, F.lit("::"), F.lit(2))
+    left_out = 8 - count(head) - count(tail)
+    zeros = F.repeat(F.lit("0:"), F.greatest(left_out, F.lit(0)))
+    full = F.when(value.contains("::"), F.concat(F.when(head == "", "").otherwise(F.concat(head, F.lit(":"))), zeros, tail)).otherwise(value)
+    groups = F.filter(F.split(full, ":"), lambda g: g != "")
+    digits = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+    half = lambda i: F.conv(F.substr(digits, F.lit(i), F.lit(16)), 16, -10).cast("bigint")
+    rounds = F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)) if invert else F.sequence(F.lit(1), F.lit(ROUNDS))
+
+    def mask(n: Column, other: Column) -> Column:
+        hashed = keyed_hash(key, F.lit("ipv6"), n.cast("string"), other.cast("string"))
+        return _let(hashed, lambda h: F.conv(F.substring(h, 1, 16), 16, -10).cast("bigint"))
+
+    def turn(pair: Column, n: Column) -> Column:
+        odd = n % 2 == 1
+        return F.struct(
+            F.when(odd, pair["l"].bitwiseXOR(mask(n, pair["r"]))).otherwise(pair["l"]).alias("l"),
+            F.when(odd, pair["r"]).otherwise(pair["r"].bitwiseXOR(mask(n, pair["l"]))).alias("r"),
+        )
+
+    mixed = F.aggregate(rounds, F.struct(half(1).alias("l"), half(17).alias("r")), turn)
+    bits = _let(mixed, lambda p: F.concat(*(F.lower(F.lpad(F.hex(p[side]), 16, "0")) for side in ("l", "r"))))
+    new = F.rtrim(F.regexp_replace(bits, "(.{4})", "$1:"), F.lit(":"))
+    one_gap = ~value.contains("::") | ((left_out >= 1) & (F.locate("::", value, 1) > 0))
+    return F.when((F.size(groups) == 8) & (~value.contains("::") | (left_out > 0)), new)
+
+
+def _ssn(value: Column, key: str | Column, invert: bool) -> Column:
     area, group, serial = (F.substr(value, F.lit(i), F.lit(n)).cast("bigint") for i, n in ((1, 3), (5, 2), (8, 4)))
     # Assignable areas are 1 to 899 without 666: 898 of them, counted from 0.
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -241,7 +340,7 @@ def _ssn(value: Column, key: str, invert: bool) -> Column:
     return F.when(valid, _let(mixed, text))
 
 
-def _phone(value: Column, key: str, invert: bool) -> Column:
+def _phone(value: Column, key: str | Column, invert: bool) -> Column:
     digits = digits_of(value)
     american = ~value.startswith("+") | (value.startswith("+1") & (F.length(digits) == 11))
     national = F.substr(digits, F.length(digits) - 9, F.lit(10))
@@ -271,22 +370,22 @@ def _phone(value: Column, key: str, invert: bool) -> Column:
     return F.when(american, F.when(valid | marked, ours)).otherwise(F.when(F.length(digits).between(8, 15), other))
 
 
-def _email(value: Column, key: str) -> Column:
-    name = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 16)
+def _email(value: Column, key: str | Column) -> Column:
+    name = F.substring(keyed_hash(key, F.lit("email"), F.lower(value)), 1, 16)
     return F.concat(F.lit("u"), name, F.lit("@masked.invalid"))
 
 
-def _secret(value: Column, key: str) -> Column:
+def _secret(value: Column, key: str | Column) -> Column:
     """The credential behind the name, replaced by keyed hex digits."""
-    name = F.regexp_extract(value, '^(AKIA|(?i:password|token|secret|api_key) ?[=:] ?"?)', 1)
+    name = F.regexp_extract(value, f"^(?:{MARKED}|{NAMED}{ASSIGNED})", 0)
     rest = F.length(value) - F.length(name)
     # Hex blocks of 64 digits, as many as the credential is long.
-    block = lambda i: F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), i, value), 256)
+    block = lambda i: keyed_hash(key, F.lit("secret"), i.cast("string"), value)
     stream = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(rest / 64).cast("int")), block), "")
-    return F.concat(name, F.substr(F.when(name == "AKIA", F.upper(stream)).otherwise(stream), F.lit(1), rest))
+    return F.concat(name, F.substr(F.when(name.rlike("^A[KS]IA"), F.upper(stream)).otherwise(stream), F.lit(1), rest))
 
 
-NUMBERS = {"date": _date, "ipv4": _ipv4, "ssn": _ssn, "phone": _phone, "iban": _iban, "card": _card}
+NUMBERS = {"date": _date, "ipv4": _ipv4, "ipv6": _ipv6, "ssn": _ssn, "phone": _phone, "iban": _iban, "card": _card}
 FOUND = "array<struct<kind:string,value:string>>"
 PARTS = "array<struct<text:string,kind:string,value:string>>"
 
@@ -296,7 +395,7 @@ def _part(text: Column, kind: Column | None = None, value: Column | None = None)
     return F.struct(text.alias("text"), (none if kind is None else kind).alias("kind"), (none if value is None else value).alias("value"))
 
 
-def hashed(value: Column, key: str, invert: bool) -> Column:
+def hashed(value: Column, key: str | Column, invert: bool) -> Column:
     """The part of an address or credential; ``invert`` leaves it as it is."""
     if invert:
         return _part(value)
@@ -304,13 +403,13 @@ def hashed(value: Column, key: str, invert: bool) -> Column:
     return _let(F.when(kind == "email", _email(value, key)).otherwise(_secret(value, key)), lambda v: _part(v, kind, v))
 
 
-def number_at(window: Column, key: str, invert: bool, known: Column | None) -> Column:
+def number_at(window: Column, key: str | Column, invert: bool, known: Column | None) -> Column:
     """``struct(kind, size, value)`` of the number with which ``window``
     begins, or null: the first kind and the first span that validate count.
     With ``known``, only spans among these values do."""
     options = []
     for kind, replace in NUMBERS.items():
-        spans = F.filter(F.array(*(F.regexp_extract(window, f"^(?:{s}){AFTER}", 0) for s in SPANS[kind])), lambda v: v != "")
+        spans = F.filter(F.array(*(F.regexp_extract(window, f"^(?:{s}){AFTER_KIND.get(kind, AFTER)}", 0) for s in SPANS[kind])), lambda v: v != "")
         if known is not None:
             spans = F.filter(spans, lambda v: F.array_contains(known, v))
         named = lambda v: F.struct(F.lit(kind).alias("kind"), F.length(v).alias("size"), replace(v, key, invert).alias("value"))  # noqa: B023, E731
@@ -319,7 +418,7 @@ def number_at(window: Column, key: str, invert: bool, known: Column | None) -> C
     return F.coalesce(*options)
 
 
-def numbers(text: Column, is_first: Column, key: str, invert: bool, known: Column | None) -> Column:
+def numbers(text: Column, is_first: Column, key: str | Column, invert: bool, known: Column | None) -> Column:
     """The parts of a text between addresses and credentials (``is_first``:
     nothing stands before it). From the left, the first valid number counts,
     and what it covers is not tried again."""
@@ -347,7 +446,16 @@ def numbers(text: Column, is_first: Column, key: str, invert: bool, known: Colum
 
 
 def pii_key(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_CONF, DEMO_KEY)
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        warnings.warn(f"{KEY_CONF} is not set: pseudonyms are made with a published key", stacklevel=2)
+    return key or DEMO_KEY
+
+
+def _hidden(spark: SparkSession, key: str) -> Column:
+    """The key as a scalar subquery over a one-row table, whose rows plans do
+    not show."""
+    return spark.createDataFrame([(key,)], "key string").scalar()
 
 
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", invert: bool = False) -> DataFrame:
@@ -356,6 +464,9 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", invert: bool
     and dates that were permuted with the same key; where numbers overlap, it
     needs the column ``pii`` to tell which of them was replaced."""
     text = quoted(text_col).cast("string")
+    key_name = unused_name(docs, "pii_key")
+    hidden = _hidden(docs.sparkSession, key)
+    key = F.col(key_name)
     known = F.col("pii")["value"] if invert and dict(docs.dtypes).get("pii") == FOUND else None
     parts = unused_name(docs, "pii_parts")
     gaps = F.transform(
@@ -365,7 +476,7 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", invert: bool
     hits = F.transform(F.regexp_extract_all(text, F.lit(TEXTS), F.lit(0)), lambda v: hashed(v, key, invert))
     # One gap more than hits: the text is gap, hit, gap, ..., gap.
     all_parts = F.flatten(F.zip_with(gaps, hits, lambda g, h: F.when(h.isNull(), g).otherwise(F.concat(g, F.array(h)))))
-    parted = docs.withColumn(parts, F.when(text.rlike(TEXTS) | text.rlike(STARTS), all_parts))
+    parted = docs.withColumn(key_name, hidden).withColumn(parts, F.when(text.rlike(TEXTS) | text.rlike(STARTS), all_parts))
     pii = F.transform(F.filter(F.col(parts), lambda h: h["kind"].isNotNull()), lambda h: F.struct(h["kind"], h["value"]))
     return parted.withColumns(
         {
@@ -373,4 +484,4 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", invert: bool
             "pii": F.coalesce(pii, F.array()).cast(FOUND),
             "n_pii": F.coalesce(F.size(pii), F.lit(0)).cast("bigint"),
         }
-    ).drop(parts)
+    ).drop(parts, key_name)
