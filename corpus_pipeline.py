@@ -4,6 +4,14 @@
 returns a DataFrame that is written as Parquet and read again as the next
 stage's documents. All but the last keep the columns of ``documents``; the last
 gives the token ids.
+
+Defined cases: further columns, of whatever name, are kept by all stages but the
+last. Null and empty texts fail the counted rules; in the other stages they are
+one empty line (line dedup, which writes a null text as empty), similar to
+nothing (near dedup), of no size (mixing) and without ids (encoding). Rows with a
+null id pass near dedup; rows that repeat an id stay or go together there. A null
+language or source is a leaf of its own in the mixing. Empty tables give empty
+tables; without labels of both classes the counted rules alone decide.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.llm import line_dedup, mixing, near_dedup, pieces, quality
-from wordmill.llm.common import quoted, table
+from wordmill.llm.common import quoted, table, unused_name
 from wordmill.plans.physical import bounded_broadcast, materialize
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,9 +45,10 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the smallest id.
     Only the ids that go are joined with the documents."""
     found = near_dedup.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.groupBy("doc").agg(F.min("component").alias("first")).filter("doc <> first").select("doc")
+    goes = unused_name(docs, "near_id")
+    gone = found.groupBy("doc").agg(F.min("component").alias("first")).filter("doc <> first").select(F.col("doc").alias(goes))
     gone = bounded_broadcast(materialize(gone, "near-gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("doc"), "left_anti")
+    return docs.join(gone, quoted("doc_id") == F.col(goes), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
