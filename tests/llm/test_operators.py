@@ -164,6 +164,27 @@ def test_exact_dedup_reads_old_files_and_loses_no_row(spark, scratch, monkeypatc
         exact_dedup.dedup_exact(spark, path, checkpoint=state).count()
 
 
+@pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda t: F.substring(exact_dedup.sha256(t), 1, 1) == F.unhex(F.lit("00"))])
+def test_exact_dedup_reads_older_texts_through_their_locators(spark, scratch, digest):
+    """A folder per day and one state: day two meets texts of day one, also
+    when all digests collide; without the file the digest alone counts."""
+    schema, state = "doc_id long, text string", f"{scratch}/state"
+    one = written(spark.createDataFrame([(90, "A"), (91, "b")], schema), f"{scratch}/day 1", 1)
+    two = written(spark.createDataFrame([(1, "a"), (2, "c")], schema), f"{scratch}/day2", 1)
+    exact_dedup.dedup_exact(spark, one, checkpoint=state, digest=digest).collect()
+    done = exact_dedup.dedup_exact(spark, two, checkpoint=state, digest=digest)
+    got = {r.doc_id: (r.keep_id, r.kept, r.checked) for r in done.collect()}
+    if digest is exact_dedup.sha256:
+        assert got == {1: (90, False, True), 2: (2, True, True)}
+        assert "day" in next(r.keep_file for r in done.collect() if r.doc_id == 1)
+    else:  # the kept text of the one digest is "b": neither text is equal to it
+        assert got == {1: (1, True, True), 2: (2, True, True)}
+    os.rename(one, f"{scratch}/elsewhere")
+    three = written(spark.createDataFrame([(3, "a")], schema), f"{scratch}/day3", 1)
+    got = [(r.keep_id, r.kept, r.checked) for r in exact_dedup.dedup_exact(spark, three, checkpoint=state, digest=digest).collect()]
+    assert got == [(90 if digest is exact_dedup.sha256 else 91, False, False)]
+
+
 def license_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lower(text))
 

@@ -14,17 +14,24 @@ as empty. Of equal texts the row with the largest document id stays.
    later meet the old state.
 2. Hits (digests of two rows or more) are checked on full bytes: their texts
    are grouped by digest *and* whole text (copies collapse in each task). A
-   digest with more than one text is split into one group per text.
+   digest with more than one text is split into one group per text. With a
+   state of earlier runs, a kept text in a file that no longer lies under the
+   path (a folder per day, say) is read through its locator and compared too.
 3. Every row then looks up its group.
 
 Defined cases: null ids come last (they stay only in a group without other
-ids); of rows with equal text and equal id the one with the greater locator
+ids); a kept text that cannot be read through its locator any more (the file is
+gone, or holds another row there) leaves ``checked`` false: its group is told by
+digest alone; where different texts share a digest, ``group_size`` counts the
+rows that can be read; of rows with equal text and equal id the one with the greater locator
 stays, so exactly one row of each group is kept; an empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +127,36 @@ def stream_state(
     return stored.select(F.col("key.digest").alias("digest"), keeper.alias("keeper"), n.alias("n"))
 
 
+def _readable(spark: SparkSession, urls: list[str]) -> list[str]:
+    """The files among ``urls`` (encoded, as in the locators) that exist, as
+    paths for the reader, which takes them for patterns."""
+    jvm, found = spark._jvm, []
+    for url in urls:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            found.append(re.sub(r"([\[\]{}*?\\])", r"\\\1", path.toString()))
+    return found
+
+
+def _left_behind(
+    spark: SparkSession, state: DataFrame, rows: DataFrame, schema, id_col: str, text_col: str, digest
+) -> tuple[DataFrame, DataFrame]:
+    """Hits whose kept text lies in no file of ``rows``: their ``digest`` and
+    ``keeper``, and the texts read through the locators (``digest, keeper,
+    text``). Only names of files pass the driver."""
+    here = rows.select(F.col("keeper.locator.file").alias("file")).distinct()
+    kept = state.filter(F.col("n") > 1).select("digest", "keeper", F.col("keeper.locator.file").alias("file"))
+    gone = materialize(kept.join(here, "file", "left_anti"), "dedup-gone")
+    paths = _readable(spark, [r["file"] for r in gone.select("file").distinct().collect()])
+    gone = gone.drop("file")
+    if not paths:
+        return gone, rows.limit(0)
+    older = _keyed(spark.read.schema(schema).parquet(*paths), id_col, text_col, digest)
+    # The row at the locator must still be the one that the state knows.
+    known = gone.select(F.col("digest").alias("d"), F.col("keeper").alias("k"))
+    return gone, older.join(known, (F.col("digest") == F.col("d")) & F.col("keeper").eqNullSafe(F.col("k")), "left_semi")
+
+
 def dedup_exact(
     spark: SparkSession,
     path: str,
@@ -130,19 +167,24 @@ def dedup_exact(
     digest=sha256,
 ) -> DataFrame:
     """Per row of the Parquet table at ``path``: ``doc_id, keep_id,
-    group_size, kept, digest, keep_file, keep_row``.
+    group_size, kept, digest, keep_file, keep_row, checked``.
 
     ``checkpoint`` names a state to go on with; by default the run gets its
     own under the shared checkpoint folder.
     """
+    table = spark.read.parquet(path)
     state = stream_state(
         spark, path, checkpoint or scratch_path(spark, "dedup-stream"), id_col, text_col, max_files_per_batch, digest
     )
-    rows = _keyed(spark.read.parquet(path), id_col, text_col, digest)
+    rows = _keyed(table, id_col, text_col, digest)
     groups = state.select("digest", F.col("keeper").alias("stays"), "n")
 
     hits = bounded_broadcast(state.filter(F.col("n") > 1).select("digest"))
-    texts = rows.join(hits, "digest", "left_semi").groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
+    compared = rows
+    if checkpoint:
+        gone, older = _left_behind(spark, state, rows, table.schema, id_col, text_col, digest)
+        compared = rows.unionByName(older)
+    texts = compared.join(hits, "digest", "left_semi").groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
     mixed = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).filter(F.col("n_texts") > 1)
     mixed = materialize(mixed.select("digest"), "dedup-mixed")
 
@@ -152,10 +194,15 @@ def dedup_exact(
     if not mixed.isEmpty():
         # Different texts under one digest: their rows are grouped by text.
         by_text = rows.join(mixed, "digest", "left_semi")
-        split = by_text.groupBy("digest", "text").agg(F.max("keeper").alias("stays"), F.count(F.lit(1)).alias("n"))
+        split = compared.join(mixed, "digest", "left_semi").groupBy("digest", "text").agg(F.max("keeper").alias("stays"), F.count(F.lit(1)).alias("n"))
         result = result.join(mixed, "digest", "left_anti").unionByName(
             by_text.join(split, ["digest", "text"]).drop("text")
         )
+    if checkpoint:
+        unread = gone.join(older.select("digest"), "digest", "left_anti").select("digest", F.lit(False).alias("checked"))
+        result = result.join(unread, "digest", "left").withColumn("checked", F.col("checked").isNull())
+    else:
+        result = result.withColumn("checked", F.lit(True))
     return result.select(
         F.col("keeper.id").alias("doc_id"),
         F.col("stays.id").alias("keep_id"),
@@ -164,4 +211,5 @@ def dedup_exact(
         "digest",
         F.col("stays.locator.file").alias("keep_file"),
         F.col("stays.locator.row").alias("keep_row"),
+        "checked",
     )
