@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import MAX_ATTEMPTS, WAIT_SECONDS
 from wordmill.functions.time import elapsed_micros, timestamp_param, trunc_second
-from wordmill.plans.physical import salted_join
+from wordmill.plans.physical import may_have_hot_key, salted_join
 
 
 # What can become of a listed video in a landing round.
@@ -52,7 +52,10 @@ def _fails_after_last_ok(log: DataFrame, seq_col: str | None) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
     )
     fails = entries.filter(~F.col("ok"))
-    joined = salted_join(fails, last_ok, ["video_id"], "inner", "_n", ["_o"])
+    if may_have_hot_key(fails):
+        joined = salted_join(fails, last_ok, ["video_id"], "inner", "_n", ["_o"])
+    else:
+        joined = fails.join(last_ok, "video_id")
     return joined.filter(F.col("_last_ok").isNull() | (F.col("_o") > F.col("_last_ok")))
 
 
@@ -77,21 +80,27 @@ def retry_eligible(attempts: Column, last_attempt: Column, now: Column) -> Colum
 def retry_status(videos: DataFrame, state: DataFrame, now, key: str = "video_id") -> DataFrame:
     """J7 + F14: every listed video with its state and ``eligible`` flag.
 
-    The list's own keys are folded together with the state, so the counts that
-    find often-listed videos come from the same aggregate.
+    Where the list is long enough for a hot video, its keys are folded together
+    with the state, so the counts that find often-listed videos come from the
+    same aggregate; a shorter list is joined as it is.
     """
     now_col = timestamp_param(now) if not isinstance(now, Column) else now
-    listed = videos.select(
-        key, F.lit(None).cast("bigint").alias("attempts"), F.lit(None).cast("timestamp_ntz").alias("last_attempt"), F.lit(1).alias("_n")
-    )
     known = state.select(key, "attempts", "last_attempt", F.lit(0).alias("_n"))
-    facts = known.unionByName(listed).groupBy(key).agg(
-        F.max("attempts").alias("attempts"), F.max("last_attempt").alias("last_attempt"), F.sum("_n").alias("_n")
-    )
-    joined = salted_join(videos, facts, [key], "left", "_n", videos.columns).drop("_n")
+    joined = _join_facts(videos, known, key, {c: F.max(c) for c in ("attempts", "last_attempt")})
     return joined.withColumn("eligible", retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col))
 
 
+def _join_facts(videos: DataFrame, stacked: DataFrame, key: str, facts: dict[str, Column]) -> DataFrame:
+    """``videos`` with ``facts``, aggregates over the rows of ``stacked`` (which
+    carry ``_n = 0``) that have the same key."""
+    named = [c.alias(name) for name, c in facts.items()]
+    if not may_have_hot_key(videos):
+        return videos.join(stacked.groupBy(key).agg(*named), key, "left")
+    listed = videos.select(F.col(key), F.lit(1).alias("_n"))
+    folded = stacked.unionByName(listed, allowMissingColumns=True).groupBy(key).agg(F.sum("_n").alias("_n"), *named)
+    return salted_join(videos, folded, [key], "left", "_n", videos.columns).drop("_n")
+
+
 def work_list(videos: DataFrame, state: DataFrame, transcripts: DataFrame, now, key: str = "video_id") -> DataFrame:
     """Eligible videos that have no transcript yet (F13 via anti join)."""
     status = retry_status(videos, state, now, key).filter(F.col("eligible"))
@@ -115,10 +124,10 @@ def classify_outcomes(
     5. ``unavailable`` - nothing fetched or empty (failure, recorded).
 
     ``fetched`` holds ``key, n_segments, saved``. The per-video facts (retry
-    state, landed, fetched, saved, times listed) are stacked with a union and folded by
-    one grouped aggregate (partial aggregation, one row per video), then
-    joined to the list once; a video listed very many times is split by the
-    salted join.
+    state, landed, fetched, saved, times listed where the list is long) are stacked
+    with a union and folded by one grouped aggregate (partial aggregation, one row
+    per video), then joined to the list once; a video listed very many times is
+    split by the salted join.
     """
     now_col = timestamp_param(now) if not isinstance(now, Column) else now
     null_ts = F.lit(None).cast("timestamp_ntz")
@@ -134,16 +143,8 @@ def classify_outcomes(
         ),
     ]
     stacked = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("_n", F.lit(0))
-    listed = videos.select(F.col(key), F.lit(1).alias("_n"))
-    facts = stacked.unionByName(listed, allowMissingColumns=True).groupBy(key).agg(
-        F.sum("_n").alias("_n"),
-        F.max("_a").alias("attempts"),
-        F.max("_t").alias("last_attempt"),
-        F.max("_landed").alias("_landed"),
-        F.max("_got").alias("_got"),
-        F.max("_saved").alias("_saved"),
-    )
-    out = salted_join(videos, facts, [key], "left", "_n", videos.columns).drop("_n")
+    columns = {"attempts": "_a", "last_attempt": "_t", "_landed": "_landed", "_got": "_got", "_saved": "_saved"}
+    out = _join_facts(videos, stacked, key, {name: F.max(c) for name, c in columns.items()})
     eligible = retry_eligible(F.col("attempts"), F.col("last_attempt"), now_col)
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     outcome = (

@@ -191,6 +191,16 @@ def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(value) if value else default
 
 
+def may_have_hot_key(big: DataFrame) -> bool:
+    """Whether ``big`` holds enough rows for a hot key (see :func:`salted_join`).
+
+    One count that reads no more columns than the filters of ``big`` need.
+    Below the bound a plain join does, without key counts, hot-key list and
+    salt. Ask it of scans; on a join or a fold the count would repeat the work.
+    """
+    return big.count() >= _conf_int(big.sparkSession, "wordmill.skew.hotKeyRows", HOT_KEY_ROWS)
+
+
 def salted_join(
     big: DataFrame,
     keyed: DataFrame,
