@@ -545,6 +545,50 @@ def test_mixing(monkeypatch, clashing, empty, rows, rows_per_prefix):
     assert mixing.mix_sources(empty, levels, {}).count() == 0
 
 
+@pytest.mark.parametrize("digits", [1, 2])
+def test_mixing_in_steps(spark, monkeypatch, digits):
+    """A hot leaf is narrowed in several steps, repeated ids stay together, and
+    the tokens are those that the caller counts."""
+    monkeypatch.setattr(mixing, "ROWS_PER_PREFIX", 1)
+    monkeypatch.setattr(mixing, "DIGITS_PER_STEP", digits)
+    rng = random.Random(4)
+    rows = [(i % 520, "hot" if i % 520 < 500 else f"s{i % 3}", rng.randint(0, 9)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n long").withColumn("text", F.lit("")).repartition(5)
+    sums, size, copies = {}, {}, {}
+    for d, s, n in rows:
+        sums[s] = sums.get(s, 0) + n
+        size[s, d] = size.get((s, d), 0) + n
+        copies[s, d] = copies.get((s, d), 0) + 1
+    for share in (0.3, 0.77, 1.0):
+        done = mixing.mix_sources(docs, {"source": F.col("source")}, {}, share=share, tokens=F.col("n"), max_epochs=1)
+        got = sorted((r.source, r.doc_id) for r in done.collect())
+        left, todo, budget = int(sum(sums.values()) * share), sorted(sums, key=lambda s: (sums[s], s)), {}
+        while todo and sums[todo[0]] * len(todo) <= left:
+            budget[todo[0]] = sums[todo[0]]
+            left -= sums[todo.pop(0)]
+        budget |= {s: left // len(todo) for s in todo}
+        want = []
+        for s in sums:
+            whole, rest = divmod(budget[s], sums[s])
+            if whole:
+                want += [(s, d) for x, d in size for _ in range(copies[x, d]) if x == s]
+                continue
+            for d in sorted((d for x, d in size if x == s), key=lambda d: hashlib.md5(f"{mixing.SEED}/{whole}/{d}".encode()).hexdigest()):
+                rest -= size[s, d]
+                if rest < 0:
+                    break
+                want += [(s, d)] * copies[s, d]
+        assert got == sorted(want)
+
+
+def test_counted_tokens(spark, clashing):
+    model = pieces.read_model(MODEL)
+    docs = clashing.select("doc_id", "text")
+    got = docs.select("doc_id", pieces.counted_tokens(docs, model).alias("n")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        ((r.doc_id, len(r.ids or [])) for r in pieces.encode_texts(docs, model).collect()), key=repr)
+
+
 def test_packing(spark, empty):
     rng = random.Random(9)
     runs = {i: [rng.randint(0, 31999) for _ in range(rng.choice([0, 1, 3, 15, 16, 17, 40, 200]))] for i in range(120)}

@@ -11,11 +11,14 @@ A leaf's budget is spent in epochs: whole passes first, then the *token
 prefix* of one more pass, in the seeded order of that epoch (MD5 of seed, epoch
 and id): documents are taken while the running sum stays within the budget.
 
-The running sum needs no sort of a whole leaf: tokens are added up per leaf and
-leading hex digits of the order key, a window over these few sums finds the
-digits where the budget ends, and only the documents with these digits are
-sorted. The result per leaf is one cut-off key, so the selection itself is a
-filter; document texts are not shuffled.
+The running sum needs no sort of a whole leaf. Levels, id and size are written
+once, without the text. Tokens are added up per leaf and the next two hex digits
+of the order key; a window over these 256 sums at most finds the digits where the
+budget ends, and only the documents with these digits (one in 256) go to the next
+step, until about ``ROWS_PER_PREFIX`` are left for a sort by the whole key. So no
+task holds more of a leaf than that, however large it is. The result per leaf is
+one cut-off key, so the selection itself is a filter; document texts are not
+shuffled, and are read once more, for the result.
 
 Defined cases: a null or missing level counts as ``unknown``; a node without a
 weight has weight 1; nodes with weight 0 get nothing; rows that share an id
@@ -37,8 +40,10 @@ from wordmill.plans.physical import bounded_broadcast, materialize
 SEED = 20240229
 MAX_EPOCHS = 3
 BYTES_PER_TOKEN = 4
-# Rows of one leaf that share the leading digits of the order key, about.
-ROWS_PER_PREFIX = 4_000
+# Hex digits of the order key by which a step narrows a leaf.
+DIGITS_PER_STEP = 2
+# Rows of one leaf that are left after the last step, about.
+ROWS_PER_PREFIX = 256
 UNKNOWN = "unknown"
 
 
@@ -104,6 +109,16 @@ def leaf_budgets(
     return leaves.join(budget, list(levels))
 
 
+def running_tokens(rows: DataFrame, names: Sequence[str], part: Column, as_name: str) -> DataFrame:
+    """Tokens of each leaf ``names`` by ``part`` of the order key, with the tokens
+    ``before`` it and ``upto`` its end."""
+    sums = rows.groupBy(*names, part.alias(as_name)).agg(
+        F.sum("size").alias("size"), F.first("rest").alias("rest"), F.first("before").alias("start")
+    )
+    running = F.sum("size").over(Window.partitionBy(*names).orderBy(as_name)) + F.col("start")
+    return sums.withColumn("upto", running).withColumn("before", F.col("upto") - F.col("size"))
+
+
 def mix_sources(
     docs: DataFrame,
     levels: Mapping[str, Column],
@@ -125,13 +140,14 @@ def mix_sources(
     """
     names = [unused_name(docs, f"mix_level_{name}") for name in levels]
     level_weights = {n: weights.get(name, {}) for n, name in zip(names, levels)}
-    size, key, epoch = (unused_name(docs, f"mix_{x}_") for x in ("size", "key", "epoch"))
+    size, place, key, epoch = (unused_name(docs, f"mix_{x}_") for x in ("size", "place", "key", "epoch"))
     n_tokens = tokens if tokens is not None else estimated_tokens(quoted(text_col))
     based = docs.withColumns(
         {n: F.coalesce(c.cast("string"), F.lit(UNKNOWN)) for n, c in zip(names, levels.values())}
-        | {size: F.coalesce(n_tokens, F.lit(0)).cast("bigint")}
+        | {size: F.coalesce(n_tokens, F.lit(0)).cast("bigint"), place: F.coalesce(quoted(id_col).cast("string"), F.lit("null"))}
     )
-    leaves = based.groupBy(*names).agg(F.sum(size).alias("tokens"), F.count(F.lit(1)).alias("n"))
+    sizes = materialize(based.select(*names, size, place), "mix-sizes")
+    leaves = sizes.groupBy(*names).agg(F.sum(size).alias("tokens"), F.count(F.lit(1)).alias("n"))
     leaves = materialize(leaves, "mix-leaves")
     totals = leaves.agg(F.sum("tokens"), F.max("n")).first()
     if total_tokens is None:
@@ -141,26 +157,20 @@ def mix_sources(
     plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
     plan = materialize(plan.select(*names, "whole", "rest"), "mix-plan")
 
-    order = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("whole"), F.coalesce(quoted(id_col).cast("string"), F.lit("null"))))
-    digits = 1
+    order = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("whole"), F.col(place)))
+    keyed = sizes.join(bounded_broadcast(plan), names).select(*names, "rest", order.alias("key"), F.col(size).alias("size"))
+    left = keyed.withColumn("before", F.lit(0).cast("bigint"))
+    ends = plan.select(*names, F.lit("").alias("prefix"), F.lit(0).cast("bigint").alias("before"))
+    digits = 0
     while 16**digits * ROWS_PER_PREFIX < (totals[1] or 0):
-        digits += 1
-    keyed = based.select(*names, size, quoted(id_col)).join(bounded_broadcast(plan), names)
-    keyed = keyed.select(*names, "rest", order.alias("key"), F.col(size).alias("size"))
-    keyed = keyed.withColumn("prefix", F.substring("key", 1, digits))
-    sums = keyed.groupBy(*names, "prefix").agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
-    running = F.sum("size").over(Window.partitionBy(*names).orderBy("prefix"))
-    ends = (
-        sums.withColumn("upto", running)
-        .filter("upto > rest")
-        .groupBy(*names)
-        .agg(F.min(F.struct("prefix", (F.col("upto") - F.col("size")).alias("before"))).alias("end"))
-        .select(*names, F.col("end.prefix").alias("prefix"), F.col("end.before").alias("before"))
-    )
-    ends = materialize(ends, "mix-ends")
-    last = keyed.join(bounded_broadcast(ends), [*names, "prefix"])
-    running = F.sum("size").over(Window.partitionBy(*names).orderBy("key"))
-    cuts = last.withColumn("upto", running + F.col("before")).filter("upto <= rest").groupBy(*names).agg(F.max("key").alias("cut"))
+        digits += DIGITS_PER_STEP
+        over = running_tokens(left, names, F.substring("key", 1, digits), "prefix").filter("upto > rest")
+        over = over.groupBy(*names).agg(F.min(F.struct("prefix", "before")).alias("end"))
+        ends = materialize(over.select(*names, "end.prefix", "end.before"), "mix-ends")
+        left = left.drop("before").join(bounded_broadcast(ends), names).filter(F.col("key").startswith(F.col("prefix")))
+        left = materialize(left.drop("prefix"), "mix-left")
+    fitting = running_tokens(left, names, F.col("key"), "key").filter("upto <= rest")
+    cuts = fitting.groupBy(*names).agg(F.max("key").alias("cut"))
     # Without a fitting document the bare prefix is the cut-off: it sorts
     # after all keys with smaller digits and before all keys that start with it.
     cuts = ends.join(cuts, names, "left").select(*names, F.coalesce("cut", "prefix").alias("cut"))

@@ -25,9 +25,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from wordmill.llm.common import long_rows, quoted, unused_name, utf8
 
@@ -228,6 +228,21 @@ def encode_texts(docs: DataFrame, proto: bytes, text_col: str = "text", ids_col:
     return docs.withColumn(ids_col, encode(utf8(quoted(text_col))))
 
 
+def counted_tokens(docs: DataFrame, proto: bytes, text_col: str = "text") -> Column:
+    """The number of ids of the text, for use in ``docs``; the ids stay in the
+    Python task."""
+    long_rows(docs)
+    model = docs.sparkSession.sparkContext.broadcast(proto)
+
+    @F.arrow_udf(LongType())
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = ChunkTable(model.value)
+        for batch in batches:
+            yield encode_batch(table, batch).value_lengths().cast(pa.int64())
+
+    return count(utf8(quoted(text_col)))
+
+
 def decode_ids(docs: DataFrame, proto: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the text of the ids, as the library's ``decode``."""
     long_rows(docs)
