@@ -52,9 +52,11 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many tokens as there are, by target weights, in two epochs at most."""
+    """As many tokens as there are, by target weights, in two epochs at most.
+    Tokens are counted with the model of the last stage."""
+    tokens = pieces.counted_tokens(docs, pieces.read_model(PIECE_MODEL))
     mixed = mixing.mix_sources(
-        docs, mixing.document_levels(), mixing.DOCUMENT_WEIGHTS, share=1.0, max_epochs=MIX_EPOCHS
+        docs, mixing.document_levels(), mixing.DOCUMENT_WEIGHTS, share=1.0, tokens=tokens, max_epochs=MIX_EPOCHS
     )
     return mixed.select(*map(quoted, docs.columns))
 
